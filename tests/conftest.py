@@ -5,7 +5,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
+
+import fixtures  # noqa: E402
+from cabrank.operators.clean import clean_trips  # noqa: E402
+from cabrank.schema import LOOKUP_SCHEMA, YELLOW  # noqa: E402
 
 TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
 
@@ -44,3 +48,19 @@ def sf_dir():
 @pytest.fixture(scope="session")
 def small_dir():
     return str(TESTDATA / "sf0.001")
+
+
+@pytest.fixture
+def raw_trips(spark):
+    rows = fixtures.with_type(fixtures.KEPT + fixtures.DROPPED, "yellow_taxi")
+    return spark.createDataFrame(rows, fixtures.text_schema(fixtures.TRIP_COLUMNS))
+
+
+@pytest.fixture
+def trips(raw_trips):
+    return clean_trips(raw_trips, YELLOW.pickup, YELLOW.dropoff)
+
+
+@pytest.fixture
+def zones(spark):
+    return spark.createDataFrame(fixtures.ZONES, LOOKUP_SCHEMA)

@@ -1,0 +1,86 @@
+from datetime import datetime
+
+import fixtures
+import pytest
+from cabrank.functions.conditions import non_negative
+from cabrank.operators.clean import as_text, clean_trips, with_month
+from cabrank.schema import YELLOW
+from pyspark.sql import functions as F
+
+
+def test_keeps_exactly_the_well_formed_trips(ansi, trips):
+    assert sorted(row.id for row in trips.collect()) == [row[0] for row in fixtures.KEPT]
+
+
+def test_columns_are_typed(ansi, trips):
+    assert trips.columns == fixtures.TRIP_COLUMNS
+    kinds = dict(trips.dtypes)
+    assert kinds["tpep_pickup_datetime"] == kinds["tpep_dropoff_datetime"] == "timestamp_ntz"
+    assert kinds["trip_distance"] == kinds["fare_amount"] == kinds["passenger_count"] == "double"
+    assert kinds["PULocationID"] == kinds["DOLocationID"] == "int"
+    assert kinds["id"] == kinds["taxi_type"] == "string"
+
+
+def test_id_with_decimal_point(ansi, trips):
+    assert trips.filter("id = 'y06'").first().PULocationID == 2
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_wall_clock_does_not_depend_on_the_session_zone(spark, ansi, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        raw = spark.createDataFrame([("2023-03-12 02:30:00",), ("2023-01-01 00:00:00.25",)], "at string")
+        assert clean_trips(raw, "at", amounts=()).collect() == [(datetime(2023, 3, 12, 2, 30),)]
+        typed = raw.select(F.col("at").cast("timestamp_ntz").alias("at"))
+        assert clean_trips(typed, "at", amounts=()).collect() == [(datetime(2023, 3, 12, 2, 30),)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_typed_input_gives_the_same_trips(ansi, trips):
+    again = clean_trips(trips, YELLOW.pickup, YELLOW.dropoff)
+    assert again.schema == trips.schema
+    assert sorted(again.collect(), key=str) == sorted(trips.collect(), key=str)
+
+
+def test_inferred_input_gives_the_same_trips(spark, ansi, raw_trips, trips, tmp_path):
+    raw_trips.write.option("header", True).csv(str(tmp_path / "raw"))
+    inferred = spark.read.csv(str(tmp_path / "raw"), header=True, inferSchema=True)
+    cleaned = clean_trips(inferred, YELLOW.pickup, YELLOW.dropoff)
+    assert sorted(row.id for row in cleaned.collect()) == sorted(row.id for row in trips.collect())
+
+
+def test_a_date_is_not_a_moment(spark, ansi):
+    days = spark.sql("select date'2023-01-01' as at")
+    assert clean_trips(days, "at", amounts=()).count() == 0
+
+
+def test_without_time_columns_only_amounts_count(ansi, raw_trips):
+    kept = {row.id for row in clean_trips(raw_trips).collect()}
+    assert {"x01", "x02", "x03", "x04", "x10", "x11"} <= kept
+    assert not {"x05", "x06", "x07", "x08", "x09", "x12"} & kept
+
+
+def test_empty_input(ansi, raw_trips):
+    empty = clean_trips(raw_trips.limit(0), YELLOW.pickup, YELLOW.dropoff)
+    assert empty.count() == 0 and empty.columns == raw_trips.columns
+
+
+def test_number_kinds(spark, ansi):
+    values = spark.sql("select cast(-1 as int) as i, cast(-1.5 as decimal(4,1)) as d, cast('nan' as float) as f")
+    for name in values.columns:
+        assert values.filter(non_negative(values, name)).count() == 0
+    ones = spark.sql("select 1 as i, cast(1.5 as decimal(4,1)) as d, cast(-0.0 as double) as f, '0.0001' as t")
+    for name in ones.columns:
+        assert ones.filter(non_negative(ones, name)).count() == 1
+
+
+def test_as_text(ansi, trips):
+    text = as_text(trips)
+    assert text.columns == trips.columns and {kind for _, kind in text.dtypes} == {"string"}
+    row = text.filter("id = 'y06'").first()
+    assert (row.tpep_pickup_datetime, row.trip_distance, row.PULocationID) == ("2023-03-01 00:00:00", "0.0", "2")
+
+
+def test_month_of_pickup(trips):
+    assert with_month(trips, YELLOW.pickup).filter("id = 'y10'").first().trip_month == 202203
