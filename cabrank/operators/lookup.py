@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 << 20
-SKETCH_LIMIT = 1_000_000
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+HEAVY_KEYS = 1_000
+SKETCH_ITEMS = 10_000
+SKETCH_GROUPS = 256
 
 
 def fits_broadcast(
@@ -50,48 +52,51 @@ def left_lookup(
     return _spread_lookup(rows, lookup, key, lookup_key, rows if keys_from is None else keys_from)
 
 
+def heavy_keys(df: DataFrame, key: str, most: int) -> list:
+    """The values of a column that hold more than ``1 / most`` of the rows.
+
+    There are fewer than ``most`` of them, whatever the data, so they may visit
+    the driver. They come from a frequent-items sketch per task, merged in two
+    steps so that no task receives the sketches of all others: one scan of the
+    column, no shuffle of its values. Counts are estimates, so a key close to
+    the limit may go either way.
+    """
+    tracked = min(10 * most, SKETCH_ITEMS)
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    per_group = df.groupBy(group.alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"), F.count("*").alias("n")
+    )
+    # Grouping by a constant, as the sketch functions fail on a task without input.
+    merged = per_group.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("total")
+    )
+    top = merged.select("total", F.inline(F.expr(f"approx_top_k_estimate(sketch, {most})")))
+    heavy = top.filter(F.col("item").isNotNull() & (F.col("count") * most > F.col("total")))
+    return [row.item for row in heavy.select("item").collect()]
+
+
 def _spread_lookup(
     rows: DataFrame, lookup: DataFrame, key: str, lookup_key: str, keys_from: DataFrame
 ) -> DataFrame:
     """Shuffle join that gives every heavy key as many salts as there are partitions.
 
-    A key is heavy if it holds more than one partition's fair share of the rows,
-    so there are fewer heavy keys than partitions, and broadcasting them is safe.
-    They come from a sketch: one scan of the key column and no shuffle of it. A
-    key the sketch misjudges only changes how rows spread, never the result.
+    Rows of a heavy key, and rows without a key, take one salt each; the lookup
+    entries of a heavy key are repeated for every salt, so each row still meets
+    its entries exactly once. Both sides see one fixed list of heavy keys. Which
+    keys are on it changes only how the rows spread, never the result.
     """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tracked = min(max(10 * parts, 1_000), SKETCH_LIMIT)
-    heavy = (
-        keys_from.agg(
-            F.expr(f"approx_top_k(`{key}`, {parts}, {tracked})").alias("top"),
-            F.count("*").alias("total"),
-        )
-        .select("total", F.inline("top"))
-        .filter((F.col("item").isNotNull()) & (F.col("count") * parts > F.col("total")))
-        .select(F.col("item").alias("_heavy"))
-    )
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(keys_from, key, min(parts, HEAVY_KEYS))
     # The salt is a function of the row and its input partition only, both of
     # which a retried task sees again, so a lost executor cannot move rows
     # between partitions. The partition number separates exact copies.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *map(F.col, rows.columns)), F.lit(parts))
-    left = (
-        rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), spread.cast("int")).otherwise(0),
-        )
-        .drop("_heavy")
-    )
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *map(F.col, rows.columns)), F.lit(parts)).cast("int")
+    salted = F.col(key).isNull() | F.col(key).isin(heavy)
+    left = rows.withColumn("_salt", F.when(salted, spread).otherwise(0))
+
     every_salt = F.sequence(F.lit(0), F.lit(parts - 1))
-    right = (
-        lookup.join(F.broadcast(heavy), F.col(lookup_key) == F.col("_heavy"), "left")
-        .withColumn(
-            "_lookup_salt",
-            F.explode(F.when(F.col("_heavy").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_heavy")
-    )
+    salts = F.when(F.col(lookup_key).isin(heavy), every_salt).otherwise(F.array(F.lit(0)))
+    right = lookup.withColumn("_lookup_salt", F.explode(salts))
+
     on = (F.col(key) == F.col(lookup_key)) & (F.col("_salt") == F.col("_lookup_salt"))
     return left.join(right, on, "left").drop("_salt", "_lookup_salt")

@@ -1,0 +1,74 @@
+"""The whole report job on small files."""
+
+import fixtures
+import pytest
+from cabrank.plans.taxi_reports import run_reports
+from cabrank.schema import GREEN, LOOKUP_SCHEMA
+from cabrank.sinks.reports import write_report, write_rows
+
+REPORTS = {
+    "task2/yellow_pickup_counts": ["Pickup_Borough,Yellow_Pickup_Count", "Manhattan,6", "Queens,3", ",1"],
+    "task2/yellow_dropoff_counts": ["Dropoff_Borough,Yellow_Dropoff_Count", "Manhattan,6", "Queens,2", "Unknown,1", ",1"],
+    "task2/green_pickup_counts": ["Pickup_Borough,Green_Pickup_Count", "Manhattan,2"],
+    "task2/green_dropoff_counts": ["Dropoff_Borough,Green_Dropoff_Count", "Manhattan,1", "Queens,1"],
+    "task3/daily_trip_counts": ["Date,count", "2023-01-01,1", "2023-01-07,1"],
+    "task4/top_yellow_pickup": ["Pickup_Borough,count", "Manhattan,6", "Queens,3", ",1"],
+    "task4/top_yellow_dropoff": ["Dropoff_Borough,count", "Manhattan,6", "Queens,2", ",1", "Unknown,1"],
+    "task4/top_green_pickup": ["Pickup_Borough,count", "Manhattan,2"],
+    "task4/top_green_dropoff": ["Dropoff_Borough,count", "Manhattan,1", "Queens,1"],
+    "task5/trip_count": ["pickup_day,total_trips", "2023-06-01,1", "2023-06-02,3", "2023-06-03,2"],
+    "task5/anomalies": ["pickup_day,total_trips", "2023-06-01,1", "2023-06-02,3"],
+    "task6/fare_per_mile": ["fare_per_mile,outlier", ",", "5.0,false", "20000.0,false"],
+    "task8/month_yellow": ["pickup_month,trip_count", "June,6"],
+    "task8/month_green": ["pickup_month,trip_count", "January,2"],
+}
+
+SORTED_REPORTS = ("task3", "task4", "task5/anomalies")
+
+JUNE = [
+    (f"j{i}", f"2023-06-0{day} 12:00:00", f"2023-06-0{day} 12:10:00", "3.0", "9.0", "2.0", None, None)
+    for i, day in enumerate((1, 2, 2, 2, 3, 3))
+]
+
+
+@pytest.fixture
+def inputs(spark, zones, tmp_path):
+    def trips(rows, fleet, name):
+        columns = [column.replace("tpep", "lpep") if fleet == GREEN else column for column in fixtures.TRIP_COLUMNS]
+        rows = fixtures.with_type(rows, fleet.taxi_type if fleet == GREEN else "yellow_taxi")
+        write_rows(spark.createDataFrame(rows, fixtures.text_schema(columns)), str(tmp_path / name))
+        return str(tmp_path / name)
+
+    from cabrank.schema import YELLOW
+
+    june = [(*row[:6], "1", "1") for row in JUNE]
+    write_report(spark.createDataFrame(fixtures.ZONES, LOOKUP_SCHEMA), str(tmp_path / "zones"))
+    return {
+        "yellow": trips(fixtures.KEPT + fixtures.DROPPED + june, YELLOW, "yellow"),
+        "green": trips([row for row in fixtures.KEPT if row[0] in ("y01", "y03")] + fixtures.DROPPED, GREEN, "green"),
+        "zones": str(tmp_path / "zones"),
+    }
+
+
+@pytest.mark.parametrize("by_month", [False, True], ids=["flat", "by_month"])
+def test_all_reports(spark, ansi, inputs, tmp_path, capsys, by_month):
+    run_reports(spark, out=str(tmp_path / "out"), run_id="r1", by_month=by_month, **inputs)
+    for name, expected in REPORTS.items():
+        files = sorted((tmp_path / "out").glob(f"{name}_r1/part-*"))
+        assert files, name
+        text = [file.read_text().splitlines() for file in files]
+        got = [text[0][0]] + [line for lines in text for line in lines[1:]]
+        want = with_june(name, expected)
+        if name.startswith(SORTED_REPORTS):
+            assert got == want, name
+        else:
+            assert got[0] == want[0] and sorted(got[1:]) == sorted(want[1:]), name
+    shown = capsys.readouterr().out
+    columns = 15 + by_month
+    assert f"|       16|          {columns}|" in shown and "Manhattan" in shown
+    assert "37.50%" in shown and "50.00%" in shown  # 6 of 16 and 1 of 2
+
+
+def with_june(name, expected):
+    """The June trips start and end in zone 1, which adds six to Manhattan."""
+    return [line.replace("Manhattan,6", "Manhattan,12") if "yellow" in name else line for line in expected]

@@ -1,0 +1,109 @@
+"""Joining a lookup: the size check, and heavy keys beyond the broadcast bound."""
+
+import pytest
+from cabrank.operators.lookup import fits_broadcast, heavy_keys, left_lookup
+from cabrank.plans import order_trips
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+
+@pytest.fixture
+def shuffle_joins(spark):
+    """A session that broadcasts only on request."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def hot(spark):
+    """A third of the rows share key 7, a third have none; copies among them."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 5_000)
+    return spark.range(0, 60_000, 1, 4).select((F.col("id") % 20_000).alias("row"), key.cast("long").alias("k"))
+
+
+@pytest.fixture
+def large(spark):
+    return spark.range(0, 4_000).select(F.col("id").alias("lk"), (F.col("id") % 25).cast("string").alias("zone"))
+
+
+def test_bound_on_rows(large):
+    assert fits_broadcast(large, rows=4_000)
+    assert not fits_broadcast(large, rows=3_999)
+
+
+def test_bound_on_bytes(spark, large):
+    wide = large.withColumn("text", F.repeat(F.lit("x"), 1_000))
+    assert fits_broadcast(large, max_bytes=1_000_000)
+    assert not fits_broadcast(wide, max_bytes=1_000_000)
+    assert fits_broadcast(large.limit(0))
+
+
+def test_heavy_keys_are_found(hot):
+    assert heavy_keys(hot, "k", 8) == [7]
+
+
+def test_no_heavy_keys(spark, large):
+    assert heavy_keys(large, "lk", 8) == []
+    assert heavy_keys(large.limit(0), "lk", 8) == []
+
+
+def sorted_rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_spread_join_equals_plain_join(shuffle_joins, ansi, hot, large):
+    spread = left_lookup(hot, large, "k", "lk", small=False)
+    plain = hot.join(large, F.col("k") == F.col("lk"), "left")
+    assert spread.columns == plain.columns
+    assert sorted_rows(spread) == sorted_rows(plain)
+
+
+def test_several_entries_per_key(shuffle_joins, hot, large):
+    doubled = large.union(large.filter("lk % 7 = 0"))
+    spread = left_lookup(hot, doubled, "k", "lk", small=False)
+    plain = hot.join(doubled, F.col("k") == F.col("lk"), "left")
+    assert sorted_rows(spread) == sorted_rows(plain)
+
+
+def test_text_keys(shuffle_joins, hot, large):
+    rows = hot.withColumn("k", F.col("k").cast("string"))
+    entries = large.withColumn("lk", F.col("lk").cast("string"))
+    spread = left_lookup(rows, entries, "k", "lk", small=False)
+    assert sorted_rows(spread) == sorted_rows(rows.join(entries, F.col("k") == F.col("lk"), "left"))
+
+
+@pytest.mark.parametrize("copies", [False, True], ids=["rows", "copies"])
+def test_heavy_key_spans_tasks(shuffle_joins, hot, large, copies):
+    """Without salts each of the two groups would sit in a single partition."""
+    before = shuffle_joins.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    shuffle_joins.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = (hot.withColumn("row", F.lit(1)) if copies else hot).repartition(16)
+        placed = left_lookup(rows, large, "k", "lk", small=False).withColumn("task", F.spark_partition_id())
+        tasks = placed.groupBy("k").agg(F.countDistinct("task").alias("tasks"), F.count("*").alias("n"))
+        spans = {row.k: row.tasks for row in tasks.filter("n > 1000").collect()}
+        assert set(spans) == {7, None}
+        assert min(spans.values()) >= 4
+    finally:
+        shuffle_joins.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    keys=st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=30),
+    entries=st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8),
+)
+def test_any_keys_and_entries(spark, keys, entries):
+    rows = spark.createDataFrame(list(enumerate(keys)), "row long, k long")
+    lookup = spark.createDataFrame([(key, str(i)) for i, key in enumerate(entries)], "lk long, zone string")
+    expected = sorted_rows(rows.join(lookup, F.col("k") == F.col("lk"), "left"))
+    for small in (True, False):
+        assert sorted_rows(left_lookup(rows, lookup, "k", "lk", small=small)) == expected
+
+
+def test_enriched_items_do_not_depend_on_the_join(spark, small_dir):
+    spread = order_trips.enriched_trips(spark, small_dir, small=False)
+    assert sorted_rows(spread) == sorted_rows(order_trips.enriched_trips(spark, small_dir, small=True))
