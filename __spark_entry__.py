@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabrank.functions.text import percent
-from cabrank.operators.clean import as_text, clean_trips
-from cabrank.operators.counts import solo_share, top_k
+from cabrank.operators.clean import as_text, clean_trips, typed, with_month
+from cabrank.operators.counts import count_by, solo_share, top_k
 from cabrank.operators.enrich import summary
 from cabrank.operators.ratios import ratio_outliers
 from cabrank.operators.series import (
@@ -23,7 +23,8 @@ from cabrank.operators.series import (
     trips_per_month,
 )
 from cabrank.plans import order_trips as trips
-from cabrank.sinks.reports import shared_folder, write_report, write_rows
+from cabrank.schema import MONTH
+from cabrank.sinks.reports import shared_folder, stage_table, write_report, write_rows
 from cabrank.sources.trips import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +120,30 @@ def _csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, infer=True)
 
 
+def _march_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = trips.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return in_range(items, "l_shipdate", *MARCH)
+
+
+def _stored_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """March again, from items stored by month."""
+    items = trips.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    stored = stage_table(with_month(items, "l_shipdate"), shared_folder(spark, "items"), MONTH)
+    return in_range(stored, "l_shipdate", *MARCH).drop(MONTH)
+
+
+def _dear_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = trips.table(spark, sf_dir, "lineitem")
+    return items.filter(trips.first_week(items)).select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+
+
+def _stored_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratios as a row-level report in the order of their time."""
+    march = in_range(trips.table(spark, sf_dir, "lineitem"), "l_shipdate", *MARCH)
+    ratios = ratio_outliers(march, "l_extendedprice", "l_discount", factor=5, keep=("l_shipdate",))
+    return write_rows(ratios, shared_folder(spark, "ratios"), order_by="l_shipdate")
+
+
 def _stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_report(_june_days(spark, sf_dir), shared_folder(spark, "daily"))
 
@@ -143,7 +168,13 @@ def queries() -> dict[str, Query]:
         "mean_day": lambda spark, sf_dir: mean_day(_june_days(spark, sf_dir)),
         "daily_labels": lambda spark, sf_dir: label_days(_june_days(spark, sf_dir)),
         "daily_anomalies": lambda spark, sf_dir: daily_anomalies(_june_days(spark, sf_dir)),
+        "in_range": _march_items,
+        "stored_by_month": _stored_by_month,
+        "expensive_short": _dear_items,
+        "typed_columns": lambda spark, sf_dir: typed(trips.text_items(spark, sf_dir)),
+        "count_by": lambda spark, sf_dir: count_by(trips.table(spark, sf_dir, "orders"), "o_custkey"),
         "ratio_outliers": _price_ratios,
+        "stored_ratios": _stored_ratios,
         "csv_round_trip": _csv_round_trip,
         "csv_text": _csv_text,
         "csv_inferred": _csv_inferred,
@@ -202,6 +233,8 @@ TEXT_TRIPS = """(select cast(o_orderkey as varchar) as o_orderkey,
     case o_orderstatus when 'P' then 'nan'::double when 'F' then o_totalprice / 100 else 0 end as trip_distance,
     o_totalprice - 100000 as fare_amount from orders) written"""
 
+MARCH_SQL = "l_shipdate >= timestamp '1998-03-01' and l_shipdate < timestamp '1998-04-01'"
+
 PARSED = "try_strptime(pickup, '%Y-%m-%d %H:%M:%S')"
 
 
@@ -253,11 +286,23 @@ def oracle_sql() -> dict[str, str]:
         "daily_labels": LABELLED,
         "daily_anomalies": f"""select pickup_day, total_trips from ({LABELLED}) labelled
             where anomaly <> 'Normal' order by 1""",
-        "ratio_outliers": """with ratios as (select l_orderkey, l_linenumber,
-                l_extendedprice / nullif(l_discount, 0) as fare_per_mile from lineitem
-                where l_shipdate >= timestamp '1998-03-01' and l_shipdate < timestamp '1998-04-01')
+        "ratio_outliers": f"""with ratios as (select l_orderkey, l_linenumber,
+                l_extendedprice / nullif(l_discount, 0) as fare_per_mile from lineitem where {MARCH_SQL})
             select l_orderkey, l_linenumber, fare_per_mile,
             fare_per_mile > (select avg(fare_per_mile) from ratios) * 5 as outlier from ratios""",
+        "in_range": f"select l_orderkey, l_linenumber, l_shipdate from lineitem where {MARCH_SQL}",
+        "stored_by_month": f"select l_orderkey, l_linenumber, l_shipdate from lineitem where {MARCH_SQL}",
+        "expensive_short": """select l_orderkey, l_linenumber, l_extendedprice, l_quantity from lineitem
+            where l_shipdate >= timestamp '1998-01-01' and l_shipdate < timestamp '1998-01-08'
+            and l_extendedprice > 50000 and l_quantity < 20""",
+        "typed_columns": """select l_orderkey, l_quantity as trip_distance,
+            case when l_returnflag <> 'R' then l_extendedprice end as fare_amount,
+            l_linenumber::double as passenger_count, l_suppkey::integer as "PULocationID",
+            l_partkey::integer as "DOLocationID" from lineitem""",
+        "count_by": """select o_custkey, count(*) as "count" from orders group by 1""",
+        "stored_ratios": f"""with ratios as (select l_extendedprice / nullif(l_discount, 0) as fare_per_mile
+                from lineitem where {MARCH_SQL})
+            select fare_per_mile, fare_per_mile > (select avg(fare_per_mile) from ratios) * 5 as outlier from ratios""",
         "csv_round_trip": "select * from orders",
         "csv_text": """select s_suppkey::varchar as s_suppkey, s_name, s_nationkey::varchar as s_nationkey,
             s_acctbal::varchar as s_acctbal from supplier""",

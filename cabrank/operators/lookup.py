@@ -17,16 +17,13 @@ def fits_broadcast(
 ) -> bool:
     """Whether the lookup is small enough to copy to every executor.
 
-    The first job stops as soon as it has seen one row too many, so asking
-    about a large table is cheap; only a table within the row bound is measured.
+    Counted, not estimated: one pass over the lookup's own columns, which is
+    little next to the rows it is joined with. Pass a table as it was read, not
+    one that takes a large join to produce.
     """
-    if lookup.select(F.lit(1)).offset(rows).take(1):
-        return False
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in lookup.columns),
-        F.lit(0),
-    )
-    return (lookup.agg(F.sum(width)).first()[0] or 0) <= max_bytes
+    width = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in lookup.columns]
+    size = lookup.agg(F.count("*").alias("rows"), F.sum(sum(width, F.lit(0))).alias("bytes")).first()
+    return size["rows"] <= rows and (size["bytes"] or 0) <= max_bytes
 
 
 def left_lookup(

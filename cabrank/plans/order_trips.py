@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabrank.functions.conditions import expensive_short
+from cabrank.functions.conditions import between_times, expensive_short
 from cabrank.functions.udfs import expensive_short_udf
 from cabrank.operators.counts import carry_counts, count_by
 from cabrank.operators.enrich import attach_zone, enrich_zones
-from cabrank.operators.lookup import left_lookup
+from cabrank.operators.lookup import fits_broadcast, left_lookup
 
 ROLES = ("Pickup", "Dropoff")
 FIRST_WEEK = {"first_day": date(1998, 1, 1), "last_day": date(1998, 1, 7)}
@@ -85,11 +85,14 @@ def with_dropoff_id(
 ) -> DataFrame:
     """Line items with the nation of their customer, by way of the order.
 
-    Orders get the nation first, as they are the narrower side to move.
+    Orders get the nation first, as they are the narrower side to move. Their
+    own size rules out a broadcast before the joined table is looked at.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("DOLocationID"))
     located = left_lookup(orders, customers, "o_custkey", "c_custkey", small=small).drop("c_custkey", "o_custkey")
+    if small is None and not fits_broadcast(orders):
+        small = False
     return left_lookup(trips, located, "l_orderkey", "o_orderkey", keys_from, small).drop("o_orderkey")
 
 
@@ -109,14 +112,19 @@ def pickup_trips(spark: SparkSession, sf_dir: str, without: str) -> DataFrame:
     return attach_zone(located, zone_lookup(spark, sf_dir, without), "PULocationID", "Pickup")
 
 
-def first_week(trips: DataFrame, python: bool = False):
-    """Dear and small shipments of the first week of 1998, as a condition."""
-    if python:
-        keep = expensive_short_udf(**FIRST_WEEK, **LIMITS)
-        return keep(*[F.col(name).cast("string") for name in ("l_shipdate", "l_extendedprice", "l_quantity")])
-    return expensive_short(
-        trips, time="l_shipdate", fare="l_extendedprice", distance="l_quantity", **FIRST_WEEK, **LIMITS
-    )
+def first_week(trips: DataFrame, python: bool = False) -> Column:
+    """Dear and small shipments of the first week of 1998, as a condition.
+
+    The Python variant keeps the native range beside it, which reaches the scan,
+    so that only the rows of the week travel to Python.
+    """
+    if not python:
+        return expensive_short(
+            trips, time="l_shipdate", fare="l_extendedprice", distance="l_quantity", **FIRST_WEEK, **LIMITS
+        )
+    text = [F.col(name).cast("string") for name in ("l_shipdate", "l_extendedprice", "l_quantity")]
+    week = between_times(trips, "l_shipdate", "1998-01-01", "1998-01-08")
+    return week & expensive_short_udf(**FIRST_WEEK, **LIMITS)(*text)
 
 
 def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,12 +133,12 @@ def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     The order priority decides how the pickup time is written, the status how
     the distance is; fares below the offset come out negative.
     """
-    written = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    written = F.col("o_orderdate").cast("string")
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
-        F.when(priority == "1-URGENT", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(priority == "2-HIGH", F.date_format("o_orderdate", "yyyy-MM-dd"))
+        F.when(priority == "1-URGENT", F.translate(written, " ", "T"))
+        .when(priority == "2-HIGH", F.col("o_orderdate").cast("date").cast("string"))
         .when(priority == "3-MEDIUM", F.concat(written, F.lit(".5")))
         .otherwise(written)
         .alias("pickup"),
@@ -140,3 +148,16 @@ def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("trip_distance"),
         (F.col("o_totalprice") - 100_000).cast("string").alias("fare_amount"),
     )
+
+
+def text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their figures as text, ids with a decimal point, some fares not numbers."""
+    fare = F.when(F.col("l_returnflag") == "R", F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string"))
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.col("l_quantity").cast("string").alias("trip_distance"),
+        fare.alias("fare_amount"),
+        F.col("l_linenumber").cast("string").alias("passenger_count"),
+        F.col("l_suppkey").cast("double").cast("string").alias("PULocationID"),
+        F.concat(F.lit(" "), F.col("l_partkey").cast("string")).alias("DOLocationID"),
+    )

@@ -1,6 +1,6 @@
 """All reports over a year of taxi trips, for spark-submit.
 
-    spark-submit -m cabrank.plans.taxi_reports --yellow DIR --green DIR --zones FILE --out DIR
+    spark-submit cabrank/plans/taxi_reports.py --yellow DIR --green DIR --zones FILE --out DIR
 
 Both fleets are read and cleaned once and stored as Parquet; the reports read
 the few columns they need from there. Connection settings of an object store
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,17 +74,18 @@ def fleet_reports(run: ReportRun, fleet: Fleet, trips: DataFrame, zones: DataFra
     run.publish(peak_month(trips, fleet.pickup), "task8", f"month_{prefix}")
 
 
-def yellow_reports(run: ReportRun, trips: DataFrame) -> None:
+def yellow_reports(run: ReportRun, trips: DataFrame, year: int) -> None:
     """The reports about particular weeks of the yellow fleet."""
     time = YELLOW.pickup
-    daily = filtered_daily(trips, time, expensive_short(trips, time=time))
-    run.publish(daily, "task3", "daily_trip_counts")
+    dear = expensive_short(trips, time=time, first_day=date(year, 1, 1), last_day=date(year, 1, 7))
+    run.publish(filtered_daily(trips, time, dear), "task3", "daily_trip_counts")
 
-    june = write_report(daily_counts(trips, time, "2023-06-01", "2023-07-01"), run.path("task5", "trip_count"))
-    mean_day(june).show()
-    run.publish(daily_anomalies(june), "task5", "anomalies")
+    june = daily_counts(trips, time, f"{year}-06-01", f"{year}-07-01")
+    stored = write_report(june, run.path("task5", "trip_count"))
+    mean_day(stored).show()
+    run.publish(daily_anomalies(stored), "task5", "anomalies")
 
-    march = in_range(trips, time, "2023-03-01", "2023-04-01")
+    march = in_range(trips, time, f"{year}-03-01", f"{year}-04-01")
     write_rows(ratio_outliers(march), run.path("task6", "fare_per_mile"))
 
 
@@ -97,6 +99,7 @@ def run_reports(
     fmt: str = "csv",
     by_month: bool = False,
     preview: bool = True,
+    year: int = 2023,
 ) -> ReportRun:
     """Read, clean, store, and write every report under ``out``."""
     run = ReportRun(out, run_id or run_stamp(), preview)
@@ -107,7 +110,7 @@ def run_reports(
     }
     for fleet, trips in staged.items():
         fleet_reports(run, fleet, trips, lookup)
-    yellow_reports(run, staged[YELLOW])
+    yellow_reports(run, staged[YELLOW], year)
     return run
 
 
@@ -120,10 +123,21 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--run-id", help="name of the run, by default its time")
     parser.add_argument("--format", default="csv", choices=("csv", "parquet"), help="format of the trips")
     parser.add_argument("--by-month", action="store_true", help="store the cleaned trips by pickup month")
+    parser.add_argument("--year", type=int, default=2023, help="year of the trips")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("taxi-reports").getOrCreate()
-    run_reports(spark, args.yellow, args.green, args.zones, args.out, args.run_id, args.format, args.by_month)
+    run_reports(
+        spark,
+        args.yellow,
+        args.green,
+        args.zones,
+        args.out,
+        run_id=args.run_id,
+        fmt=args.format,
+        by_month=args.by_month,
+        year=args.year,
+    )
     spark.stop()
 
 

@@ -53,7 +53,7 @@ def stage_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -64,6 +64,12 @@ def test_stage_table(spark, trips, tmp_path):
     assert stored.schema == trips.schema and stored.count() == trips.count()
 
 
+def test_staging_no_rows(spark, trips, tmp_path):
+    """Partitioned by a column, an empty table has no files to tell its schema."""
+    stored = stage_table(trips.limit(0), str(tmp_path / "staged"), "taxi_type")
+    assert stored.count() == 0 and set(stored.columns) == set(trips.columns)
+
+
 def test_shared_folder_is_the_sessions(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
