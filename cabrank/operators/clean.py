@@ -19,19 +19,21 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def typed(df: DataFrame, times: tuple[str, ...] = ()) -> DataFrame:
-    """Give text columns the types of a trip; typed and unknown columns stay.
+    """Give the columns of a trip their types; unknown columns stay as they are.
 
-    Ids go through double, as some files write them as ``2.0``.
+    Ids go through double, as some files write them as ``2.0``. Columns that are
+    numbers or timestamps already are kept, but for ids with a decimal point.
     """
 
     def column(name: str) -> Column:
         kind = df.schema[name].dataType
         if name in times:
             return F.col(name) if is_timestamp(df, name) else F.col(name).try_cast("timestamp_ntz")
-        if name in TRIP_TYPES and not isinstance(kind, T.NumericType):
-            value = F.col(name).try_cast("double")
-            return value.try_cast("int") if TRIP_TYPES[name] == "int" else value
-        return F.col(name)
+        if name not in TRIP_TYPES:
+            return F.col(name)
+        value = F.col(name) if isinstance(kind, T.NumericType) else F.col(name).try_cast("double")
+        whole = TRIP_TYPES[name] == "int" and not isinstance(kind, T.IntegralType)
+        return value.try_cast("int") if whole else value
 
     return df.select([column(name).alias(name) for name in df.columns])
 

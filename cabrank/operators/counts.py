@@ -19,7 +19,7 @@ def count_by(df: DataFrame, key: str, count: str = "count") -> DataFrame:
 
 
 def carry_counts(
-    counts: DataFrame, lookup: DataFrame, key: str, lookup_key: str, group: Column | str, name: str, count: str = "count"
+    counts: DataFrame, lookup: DataFrame, key: str, lookup_key: str, group: str, name: str, count: str = "count"
 ) -> DataFrame:
     """Counts per key turned into counts per lookup attribute.
 
@@ -27,8 +27,7 @@ def carry_counts(
     where the lookup has no or several entries for a key. The counts arrive
     partitioned by ``key``, so joining a large lookup moves only the lookup.
     """
-    column = F.col(group) if isinstance(group, str) else group
-    entries = lookup.select(F.col(lookup_key).alias("_key"), column.alias("_group"))
+    entries = lookup.select(F.col(lookup_key).alias("_key"), F.col(group).alias("_group"))
     return (
         counts.join(entries, F.col(key) == F.col("_key"), "left")
         .groupBy(F.col("_group").alias(name))

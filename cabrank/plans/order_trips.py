@@ -54,18 +54,24 @@ def nation_counts(spark: SparkSession, sf_dir: str, status: str, role: str, coun
     """
     trips = fleet(spark, sf_dir, status)
     if role == "Pickup":
-        counts, key, lookup, lookup_key, nation = count_by(trips, "l_suppkey", count), "l_suppkey", "supplier", "s_suppkey", "s_nationkey"
-    else:
-        per_order = count_by(trips, "l_orderkey", count)
-        counts = carry_counts(
-            per_order, table(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey", "o_custkey", "o_custkey", count
-        )
-        key, lookup, lookup_key, nation = "o_custkey", "customer", "c_custkey", "c_nationkey"
-    return carry_counts(counts, table(spark, sf_dir, lookup), key, lookup_key, nation, "nation", count)
+        per_supplier = count_by(trips, "l_suppkey", count)
+        suppliers = table(spark, sf_dir, "supplier")
+        return carry_counts(per_supplier, suppliers, "l_suppkey", "s_suppkey", "s_nationkey", "nation", count)
+    per_order, orders = count_by(trips, "l_orderkey", count), table(spark, sf_dir, "orders")
+    per_customer = carry_counts(per_order, orders, "l_orderkey", "o_orderkey", "o_custkey", "o_custkey", count)
+    customers = table(spark, sf_dir, "customer")
+    return carry_counts(per_customer, customers, "o_custkey", "c_custkey", "c_nationkey", "nation", count)
 
 
 def zone_group_counts(
-    spark: SparkSession, sf_dir: str, status: str, role: str, group: str, name: str, count: str, without: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    status: str,
+    role: str,
+    group: str,
+    name: str,
+    count: str,
+    without: str | None = None,
 ) -> DataFrame:
     """Trips of a fleet per region (``Borough``) or nation (``Zone``) of one role."""
     counts = nation_counts(spark, sf_dir, status, role, count)

@@ -105,7 +105,7 @@ def run_reports(
     run = ReportRun(out, run_id or run_stamp(), preview)
     lookup = read_lookup(spark, zones)
     staged = {
-        fleet: stage_fleet(read_trips(spark, path, fmt), fleet, run.path("trips", fleet.taxi_type), by_month)
+        fleet: stage_fleet(read_trips(spark, path, fmt, fleet), fleet, run.path("trips", fleet.taxi_type), by_month)
         for fleet, path in ((YELLOW, yellow), (GREEN, green))
     }
     for fleet, trips in staged.items():

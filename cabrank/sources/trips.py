@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructField, StructType
 
-from cabrank.schema import LOOKUP_SCHEMA
+from cabrank.schema import LOOKUP_SCHEMA, TIME_FORMAT, TRIP_TYPES, Fleet
 
 
 def read_table(
@@ -14,15 +15,16 @@ def read_table(
     fmt: str = "csv",
     schema: StructType | None = None,
     infer: bool = False,
+    **options: str,
 ) -> DataFrame:
     """A file, or all files of a folder.
 
     CSV files carry a header. Without a schema every CSV column is text, named
-    by the header: that costs no pass over the data, and cleaning assigns the
-    types. ``infer=True`` asks Spark for the types, at the price of reading the
-    files once more. With a schema the header must agree with it.
+    by the header, which costs no pass over the data. ``infer=True`` asks Spark
+    for the types, at the price of reading the files once more. With a schema
+    the headers must agree with it.
     """
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", infer)
         if schema is not None:
@@ -32,15 +34,40 @@ def read_table(
     return reader.load(path)
 
 
+def trip_schema(columns: list[str], fleet: Fleet) -> StructType:
+    """Types for the known columns of a fleet; the others are text.
+
+    Ids are read as numbers with a decimal point, which some files give them;
+    cleaning makes them integers.
+    """
+
+    def kind(name: str) -> T.DataType:
+        if name in (fleet.pickup, fleet.dropoff):
+            return T.TimestampNTZType()
+        return T.DoubleType() if name in TRIP_TYPES else T.StringType()
+
+    return StructType([StructField(name, kind(name)) for name in columns])
+
+
 def read_trips(
     spark: SparkSession,
     path: str,
     fmt: str = "csv",
+    fleet: Fleet | None = None,
     schema: StructType | None = None,
     infer: bool = False,
 ) -> DataFrame:
-    """Trips of one fleet."""
-    return read_table(spark, path, fmt, schema, infer)
+    """Trips of one fleet.
+
+    Naming the fleet of CSV trips lets the scan itself produce typed columns,
+    which is cheaper than text that cleaning has to parse. The column names come
+    from the header; a value that does not fit its type is read as NULL, and
+    cleaning drops the trip if it matters.
+    """
+    if fmt != "csv" or fleet is None or schema is not None or infer:
+        return read_table(spark, path, fmt, schema, infer)
+    columns = read_table(spark, path).columns
+    return read_table(spark, path, schema=trip_schema(columns, fleet), timestampNTZFormat=TIME_FORMAT)
 
 
 def read_lookup(

@@ -3,8 +3,9 @@ from datetime import datetime
 import fixtures
 import pytest
 from cabrank.functions.conditions import non_negative
-from cabrank.operators.clean import as_text, clean_trips, with_month
+from cabrank.operators.clean import as_text, clean_trips, typed, with_month
 from cabrank.schema import YELLOW
+from cabrank.sources.trips import read_trips
 from pyspark.sql import functions as F
 
 
@@ -50,6 +51,24 @@ def test_inferred_input_gives_the_same_trips(spark, ansi, raw_trips, trips, tmp_
     assert sorted(row.id for row in cleaned.collect()) == sorted(row.id for row in trips.collect())
 
 
+def test_typed_scan_gives_the_same_trips(spark, ansi, raw_trips, trips, tmp_path):
+    raw_trips.repartition(3).write.option("header", True).csv(str(tmp_path / "raw"))
+    read = read_trips(spark, str(tmp_path / "raw"), fleet=YELLOW)
+    kinds = dict(read.dtypes)
+    assert kinds["tpep_pickup_datetime"] == "timestamp_ntz" and kinds["fare_amount"] == "double"
+    cleaned = clean_trips(read, YELLOW.pickup, YELLOW.dropoff)
+    assert cleaned.schema == trips.schema
+    assert sorted(cleaned.collect(), key=str) == sorted(trips.collect(), key=str)
+
+
+def test_typed_ids(spark, ansi):
+    ids = spark.sql("select '2.0' as PULocationID, cast(3 as bigint) as DOLocationID, '1.9' as passenger_count")
+    assert typed(ids).collect() == [(2, 3, 1.9)]
+    fractional = spark.sql("select cast(2.0 as double) as PULocationID, cast('nan' as double) as DOLocationID")
+    assert typed(fractional).collect() == [(2, None)]
+    assert dict(typed(fractional).dtypes) == {"PULocationID": "int", "DOLocationID": "int"}
+
+
 def test_a_date_is_not_a_moment(spark, ansi):
     days = spark.sql("select date'2023-01-01' as at")
     assert clean_trips(days, "at", amounts=()).count() == 0
