@@ -94,7 +94,8 @@ def _clean_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times kept to the second where they were recorded so."""
     events = trips.table(spark, sf_dir, "events")
     whole = F.when(F.col("event_type") == "error", F.date_trunc("second", "ts").cast("timestamp_ntz"))
-    return clean_trips(events.select("event_id", F.coalesce(whole, "ts").alias("ts"), "value"), "ts", amounts=("value",))
+    mixed = events.select("event_id", F.coalesce(whole, "ts").alias("ts"), "value")
+    return clean_trips(mixed, "ts", amounts=("value",))
 
 
 def _clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +197,8 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["pickup_region_O"](spark, "/root/testdata/sf0.001")
 
 
-ZONES = """(select n_nationkey as location, r_name as borough, n_name as zone, cast(n_regionkey as varchar) as service_zone
+ZONES = """(select n_nationkey as location, r_name as borough, n_name as zone,
+            cast(n_regionkey as varchar) as service_zone
             from nation left join region on n_regionkey = r_regionkey)"""
 
 NATIONS = {
@@ -314,7 +316,8 @@ def oracle_sql() -> dict[str, str]:
             found[f"{role.lower()}_region_{status}"] = _region_sql(role, status)
             found[f"top5_{role.lower()}_nation_{status}"] = _top_sql(role, status)
         found[f"solo_share_{status}"] = _solo_sql(status)
-        found[f"solo_text_{status}"] = f"select printf('%.2f%%', percentage_solo) as percentage_solo from ({_solo_sql(status)}) s"
+        found[f"solo_text_{status}"] = f"""select printf('%.2f%%', percentage_solo) as percentage_solo
+            from ({_solo_sql(status)}) share"""
         found[f"trips_per_month_{status}"] = _months_sql(status)
         found[f"peak_month_{status}"] = f"""select pickup_month, "count" as trip_count from ({_months_sql(status)}) m
             order by 2 desc, 1 limit 1"""

@@ -8,7 +8,9 @@ from cabrank.sinks.reports import write_report, write_rows
 
 REPORTS = {
     "task2/yellow_pickup_counts": ["Pickup_Borough,Yellow_Pickup_Count", "Manhattan,6", "Queens,3", ",1"],
-    "task2/yellow_dropoff_counts": ["Dropoff_Borough,Yellow_Dropoff_Count", "Manhattan,6", "Queens,2", "Unknown,1", ",1"],
+    "task2/yellow_dropoff_counts": [
+        "Dropoff_Borough,Yellow_Dropoff_Count", "Manhattan,6", "Queens,2", "Unknown,1", ",1",
+    ],
     "task2/green_pickup_counts": ["Pickup_Borough,Green_Pickup_Count", "Manhattan,2"],
     "task2/green_dropoff_counts": ["Dropoff_Borough,Green_Dropoff_Count", "Manhattan,1", "Queens,1"],
     "task3/daily_trip_counts": ["Date,count", "2023-01-01,1", "2023-01-07,1"],

@@ -21,6 +21,8 @@ from cabrank.operators.series import (
     trips_per_month,
 )
 from cabrank.schema import YELLOW
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 PICKUP = YELLOW.pickup
@@ -36,7 +38,8 @@ def test_enrich_keeps_every_trip(ansi, trips, zones, small):
     assert rows.columns == fixtures.TRIP_COLUMNS + [
         f"{role}_{name}" for role in ("Pickup", "Dropoff") for name in ("Borough", "Zone", "service_zone")
     ]
-    got = {row.id: (row.Pickup_Borough, row.Pickup_Zone, row.Dropoff_Borough, row.Dropoff_service_zone) for row in rows.collect()}
+    shown = rows.select("id", "Pickup_Borough", "Pickup_Zone", "Dropoff_Borough", "Dropoff_service_zone")
+    got = {row[0]: tuple(row[1:]) for row in shown.collect()}
     assert len(got) == rows.count() == 10
     assert got["y01"] == ("Manhattan", "Z1", "Queens", "Boro Zone")
     assert got["y04"] == ("Manhattan", "Z1", "Unknown", "N/A")
@@ -66,6 +69,20 @@ def test_counting_first_equals_joining_first(trips, zones):
     assert pairs(zone_counts(trips, doubled, "PULocationID", "Pickup_Borough")) == pairs(joined)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    keys=st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=30),
+    entries=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.sampled_from("ab"))), max_size=8
+    ),
+)
+def test_counting_first_on_any_data(spark, keys, entries):
+    rows = spark.createDataFrame([(key,) for key in keys], "k int")
+    lookup = spark.createDataFrame(entries, "lk int, name string")
+    joined = count_by(rows.join(lookup, F.col("k") == F.col("lk"), "left"), "name")
+    assert pairs(carry_counts(count_by(rows, "k"), lookup, "k", "lk", "name", "name")) == pairs(joined)
+
+
 def test_carry_counts_on_empty_input(trips, zones):
     none = count_by(trips.limit(0), "PULocationID")
     assert carry_counts(none, zones, "PULocationID", "LocationID", "Borough", "b").collect() == []
@@ -103,9 +120,8 @@ def test_anomalies_of_published_series(spark, ansi):
 
 def test_a_day_on_the_threshold_is_normal(spark):
     # Mean 100: exactly 75 and 125 at these factors.
-    daily = spark.createDataFrame(
-        [(date(2023, 6, 1), 75), (date(2023, 6, 2), 125), (date(2023, 6, 3), 100)], "pickup_day date, total_trips bigint"
-    )
+    days = [(date(2023, 6, 1), 75), (date(2023, 6, 2), 125), (date(2023, 6, 3), 100)]
+    daily = spark.createDataFrame(days, "pickup_day date, total_trips bigint")
     assert daily_anomalies(daily, 1.25, 0.75).count() == 0
     assert daily_anomalies(daily, 1.24, 0.76).count() == 2
 
@@ -181,7 +197,8 @@ def test_months(ansi, trips):
 
 def test_peak_month_ties_and_gaps(spark):
     def moments(*texts):
-        return spark.createDataFrame([(text,) for text in texts], "at string").select(F.col("at").cast("timestamp_ntz").alias("at"))
+        rows = spark.createDataFrame([(text,) for text in texts], "at string")
+        return rows.withColumn("at", F.col("at").cast("timestamp_ntz"))
 
     assert peak_month(moments("2023-05-01", "2023-04-01"), "at").collect() == [("April", 1)]
     assert peak_month(moments(None, None, "2023-04-01"), "at").collect() == []
