@@ -8,7 +8,8 @@ from test_registered import TABLES, table
 
 REPLACED = {
     "lineitem": """select * replace (
-        case l_linenumber when 1 then 3 when 2 then 3 when 3 then null when 4 then 999999 else l_suppkey end as l_suppkey,
+        case l_linenumber when 1 then 3 when 2 then 3 when 3 then null when 4 then 999999
+             else l_suppkey end as l_suppkey,
         case when l_quantity <= 17 then 5 when l_quantity > 45 then null else l_orderkey end as l_orderkey)""",
     "orders": """select * replace (
         case o_orderstatus when 'F' then 11 when 'P' then o_custkey
@@ -29,10 +30,8 @@ def skewed(small_dir, tmp_path_factory):
     folder = tmp_path_factory.mktemp("skewed")
     con = duckdb.connect()
     for name in TABLES:
-        columns = REPLACED.get(name, "select *")
-        con.execute(
-            f"copy ({columns} from read_parquet('{small_dir}/{name}.parquet')) to '{folder}/{name}.parquet' (format parquet)"
-        )
+        rows = f"{REPLACED.get(name, 'select *')} from read_parquet('{small_dir}/{name}.parquet')"
+        con.execute(f"copy ({rows}) to '{folder}/{name}.parquet' (format parquet)")
         con.execute(f"create view {name} as select * from read_parquet('{folder}/{name}.parquet')")
     return str(folder), con
 
