@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -75,25 +76,44 @@ def heavy_keys(df: DataFrame, key: str, most: int) -> list:
 def _spread_lookup(
     rows: DataFrame, lookup: DataFrame, key: str, lookup_key: str, keys_from: DataFrame
 ) -> DataFrame:
-    """Shuffle join that gives every heavy key as many salts as there are partitions.
+    """Shuffle join in which rows of a heavy key, and rows without one, go anywhere.
 
-    Rows of a heavy key, and rows without a key, take one salt each; the lookup
-    entries of a heavy key are repeated for every salt, so each row still meets
-    its entries exactly once. Both sides see one fixed list of heavy keys. Which
-    keys are on it changes only how the rows spread, never the result.
+    Those rows are dealt out by a hash in place of their key, and a condition
+    keeps them from matching what they land on. The entries of the heavy keys,
+    if they are within the broadcast bound, are attached afterwards. Which keys
+    are heavy changes only how the rows travel, never the result.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(keys_from, key, min(parts, HEAVY_KEYS))
-    # The salt is a function of the row and its input partition only, both of
-    # which a retried task sees again, so a lost executor cannot move rows
-    # between partitions. The partition number separates exact copies.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *map(F.col, rows.columns)), F.lit(parts)).cast("int")
-    salted = F.col(key).isNull() | F.col(key).isin(heavy)
-    left = rows.withColumn("_salt", F.when(salted, spread).otherwise(0))
-
-    every_salt = F.sequence(F.lit(0), F.lit(parts - 1))
-    salts = F.when(F.col(lookup_key).isin(heavy), every_salt).otherwise(F.array(F.lit(0)))
-    right = lookup.withColumn("_lookup_salt", F.explode(salts))
-
-    on = (F.col(key) == F.col(lookup_key)) & (F.col("_salt") == F.col("_lookup_salt"))
-    return left.join(right, on, "left").drop("_salt", "_lookup_salt")
+    heavy, entries = heavy_keys(keys_from, key, min(parts, HEAVY_KEYS)), None
+    if heavy:
+        entries = lookup.filter(F.col(lookup_key).isin(heavy))
+        if not fits_broadcast(entries):
+            heavy, entries = [], None
+
+    apart = F.col(key).isNull() | F.col(key).isin(heavy) if heavy else F.col(key).isNull()
+    left = rows.withColumn("_travel_key", F.when(apart, _scatter(rows, key)).otherwise(F.col(key)))
+    on = (F.col("_travel_key") == F.col(lookup_key)) & ~apart
+    joined = left.join(lookup, on, "left").drop("_travel_key")
+    if entries is None:
+        return joined
+
+    named = entries.select([F.col(name).alias(f"_heavy_{name}") for name in lookup.columns])
+    joined = joined.join(F.broadcast(named), F.col(key) == F.col(f"_heavy_{lookup_key}"), "left")
+    found = [F.coalesce(F.col(name), F.col(f"_heavy_{name}")).alias(name) for name in lookup.columns]
+    return joined.select(*rows.columns, *found)
+
+
+def _scatter(rows: DataFrame, key: str) -> Column:
+    """A hash in the type of the key; other than whole numbers and text stay put.
+
+    It depends on the row and its input partition only, both of which a retried
+    task sees again, so a lost executor cannot move rows between partitions. The
+    partition number separates exact copies.
+    """
+    parts = [F.spark_partition_id(), *map(F.col, rows.columns)]
+    kind = rows.schema[key].dataType
+    if isinstance(kind, T.IntegerType):
+        return F.hash(*parts)
+    if isinstance(kind, (T.LongType, T.StringType)):
+        return F.xxhash64(*parts).cast(kind)
+    return F.col(key)

@@ -1,6 +1,7 @@
 """Joining a lookup: the size check, and heavy keys beyond the broadcast bound."""
 
 import pytest
+from cabrank.operators import lookup
 from cabrank.operators.lookup import fits_broadcast, heavy_keys, left_lookup
 from cabrank.plans import order_trips
 from hypothesis import HealthCheck, given, settings
@@ -98,12 +99,49 @@ def test_heavy_key_spans_tasks(shuffle_joins, hot, large, copies):
 )
 def test_any_keys_and_entries(spark, keys, entries):
     rows = spark.createDataFrame(list(enumerate(keys)), "row long, k long")
-    lookup = spark.createDataFrame([(key, str(i)) for i, key in enumerate(entries)], "lk long, zone string")
-    expected = sorted_rows(rows.join(lookup, F.col("k") == F.col("lk"), "left"))
+    named = [(key, str(i)) for i, key in enumerate(entries)]
+    table = spark.createDataFrame(named, "lk long, zone string")
+    expected = sorted_rows(rows.join(table, F.col("k") == F.col("lk"), "left"))
     for small in (True, False):
-        assert sorted_rows(left_lookup(rows, lookup, "k", "lk", small=small)) == expected
+        assert sorted_rows(left_lookup(rows, table, "k", "lk", small=small)) == expected
 
 
 def test_enriched_items_do_not_depend_on_the_join(spark, small_dir):
     spread = order_trips.enriched_trips(spark, small_dir, small=False)
     assert sorted_rows(spread) == sorted_rows(order_trips.enriched_trips(spark, small_dir, small=True))
+
+
+def test_keys_that_cannot_be_scattered(shuffle_joins, ansi, hot, large):
+    """Dates keep their place in the shuffle; the result is the same."""
+    rows = hot.withColumn("k", F.date_from_unix_date(F.col("k").cast("int")))
+    entries = large.withColumn("lk", F.date_from_unix_date(F.col("lk").cast("int")))
+    spread = left_lookup(rows, entries, "k", "lk", small=False)
+    assert sorted_rows(spread) == sorted_rows(rows.join(entries, F.col("k") == F.col("lk"), "left"))
+
+
+def test_whole_number_kinds(shuffle_joins, ansi, hot, large):
+    for kind in ("int", "smallint", "decimal(12,0)", "double"):
+        rows = hot.withColumn("k", F.col("k").cast(kind))
+        spread = left_lookup(rows, large, "k", "lk", small=False)
+        assert dict(spread.dtypes)["k"] == dict(rows.dtypes)["k"]
+        assert sorted_rows(spread) == sorted_rows(rows.join(large, F.col("k") == F.col("lk"), "left"))
+
+
+def test_heavy_key_with_too_many_entries(shuffle_joins, monkeypatch, hot, large):
+    """Entries of heavy keys beyond the bound are joined like all others."""
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda entries: False)
+    spread = left_lookup(hot, large, "k", "lk")
+    assert sorted_rows(spread) == sorted_rows(hot.join(large, F.col("k") == F.col("lk"), "left"))
+
+
+def test_heavy_key_without_an_entry(shuffle_joins, hot, large):
+    rest = large.filter("lk <> 7")
+    spread = left_lookup(hot, rest, "k", "lk", small=False)
+    assert sorted_rows(spread) == sorted_rows(hot.join(rest, F.col("k") == F.col("lk"), "left"))
+
+
+def test_a_scattered_row_never_meets_an_entry(shuffle_joins, monkeypatch, hot, large):
+    """Even where the hash in place of its key is the key of an entry."""
+    monkeypatch.setattr(lookup, "_scatter", lambda rows, key: F.lit(9).cast("long"))
+    spread = left_lookup(hot, large, "k", "lk", small=False)
+    assert sorted_rows(spread) == sorted_rows(hot.join(large, F.col("k") == F.col("lk"), "left"))
