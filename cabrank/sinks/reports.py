@@ -48,11 +48,17 @@ def write_rows(df: DataFrame, path: str, order_by: str | None = None) -> DataFra
 
 
 def stage_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write a table as Parquet and return it, so that later passes start there."""
-    writer = df.write.mode("overwrite")
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    """Write a table as Parquet and return it, so that later passes start there.
+
+    Partitioning the folder by a column moves the rows once, so that a task
+    writes to few folders and not one small file to each. Adaptive execution
+    splits a large value over several tasks and packs small ones together.
+    """
+    if partition_by is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        moved = df.hint("rebalance", F.col(partition_by))
+        moved.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

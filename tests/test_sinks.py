@@ -64,6 +64,24 @@ def test_stage_table(spark, trips, tmp_path):
     assert stored.schema == trips.schema and stored.count() == trips.count()
 
 
+def test_staging_by_a_column_splits_large_values(spark, tmp_path):
+    """Tasks write few files each, and a value with most of the rows gets several."""
+    value = F.when(F.col("id") % 3 == 0, F.col("id") % 5).otherwise(1)
+    rows = spark.range(0, 120_000, 1, 16).select(value.alias("m"), F.sha2(F.col("id").cast("string"), 512))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        stored = stage_table(rows, str(tmp_path / "staged"), "m")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {folder.name: len(parts(folder)) for folder in (tmp_path / "staged").glob("m=*")}
+    assert set(files) == {f"m={value}" for value in range(5)}
+    assert files["m=1"] > 3 and sum(files.values()) < 16 * 5
+    assert sorted(map(tuple, stored.groupBy("m").count().collect())) == sorted(
+        map(tuple, rows.groupBy("m").count().collect())
+    )
+
+
 def test_staging_no_rows(spark, trips, tmp_path):
     """Partitioned by a column, an empty table has no files to tell its schema."""
     stored = stage_table(trips.limit(0), str(tmp_path / "staged"), "taxi_type")
