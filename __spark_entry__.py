@@ -27,6 +27,14 @@ from cabrank.schema import MONTH
 from cabrank.sinks.reports import shared_folder, stage_table, write_report, write_rows
 from cabrank.sources.trips import read_table
 
+try:
+    import corpus_pipeline
+    from cabrank.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("cabrank.llm", "corpus_pipeline") and not str(missing.name).startswith("cabrank.llm."):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLEETS = ("O", "F")
@@ -189,6 +197,8 @@ def queries() -> dict[str, Query]:
         found[f"solo_text_{status}"] = _solo_text(status)
         found[f"trips_per_month_{status}"] = _months(status)
         found[f"peak_month_{status}"] = _peak(status)
+    if corpus is not None:
+        found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
@@ -321,4 +331,6 @@ def oracle_sql() -> dict[str, str]:
         found[f"trips_per_month_{status}"] = _months_sql(status)
         found[f"peak_month_{status}"] = f"""select pickup_month, "count" as trip_count from ({_months_sql(status)}) m
             order by 2 desc, 1 limit 1"""
+    if corpus is not None:
+        found |= corpus.oracle_sql()
     return found

@@ -37,11 +37,16 @@ def table(names, rows):
     return [names[i] for i in order], sorted(repr([plain(row[i]) for i in order]) for row in rows)
 
 
+def own(names):
+    """Without the queries of the subpackage for corpora, which has tests of its own."""
+    return sorted(name for name in names if not name.startswith("op") and name != "pipeline")
+
+
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert own(registry.queries()) == own(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", own(registry.queries()))
 def test_query_equals_sql(spark, oracle, sf_dir, name):
     got = registry.queries()[name](spark, sf_dir)
     cursor = oracle.execute(registry.oracle_sql()[name])
