@@ -178,11 +178,11 @@ def _blocks(parts: list[tuple[int, int, bytes]]) -> Iterator[slice]:
 def recurring(found: DataFrame) -> DataFrame:
     """Runs with an anchor that occurs more than once, staged.
 
-    Counts are folded in each task. The join's larger side has many rows for a
-    popular anchor, which adaptive execution deals over several tasks.
+    Counts are folded in each task, and staged: between two plain shuffles,
+    adaptive execution deals the many rows of a popular anchor over several tasks.
     """
     counts = found.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("anchor")
-    return staged(found.join(counts, "anchor"), "runs")
+    return staged(found.join(staged(counts, "anchors"), "anchor"), "runs")
 
 
 def _texts(reps: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
@@ -308,6 +308,7 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         F.count("*").alias("n"), F.min(F.struct("key", "size", "start", "windows")).alias("rep")
     )
     variety = texts.groupBy("anchor").agg(F.count("*").alias("different")).filter(F.col("different") > 1)
+    variety = staged(variety, "variety")
     shards = F.ceil(F.col("different") * (sizes.least + 70) / sizes.shard).cast("int")
     mixed = texts.join(variety, "anchor").select(
         "anchor",
