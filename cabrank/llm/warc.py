@@ -81,18 +81,23 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, response:
     return record("revisit", [*shared, *more], head)
 
 
-def with_first(pages: DataFrame, page_id: str, url: str, html: str, least: int) -> DataFrame:
-    """Pages with the smallest id that has their payload; payloads below ``least`` bytes stand for themselves.
+def marked_pages(pages: DataFrame, page_id: str, url: str, html: str, least: int) -> DataFrame:
+    """Pages, and a marker in front of each whose payload occurs again: the smallest id that has it.
 
-    Ids are folded by digest in each task first; the join deals a popular payload
-    over several tasks.
+    Markers are found on ids and digests alone, folded by digest in each task
+    first; staged, they let the join deal a popular digest over several tasks.
+    So payloads move only once, together with the markers, to be sorted. Payloads
+    below ``least`` bytes get no marker.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     named = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
     named = named.withColumn("sha1", F.sha1("payload"))
-    firsts = named.groupBy("sha1").agg(F.min("page_id").alias("first"))
-    joined = named.join(firsts, "sha1")
-    return joined.withColumn("alone", F.octet_length("payload") < least)
+    digests = named.filter(F.octet_length("payload") >= least).select("page_id", "sha1")
+    firsts = digests.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    markers = digests.join(staged(firsts.drop("n"), "firsts"), "sha1").distinct()
+    return named.withColumns({"first": F.lit(None).cast("long"), "marker": F.lit(False)}).unionByName(
+        markers.withColumn("marker", F.lit(True)), allowMissingColumns=True
+    )
 
 
 def write_archives(
@@ -122,19 +127,22 @@ def write_archives(
             yield pa.RecordBatch.from_pydict({"file": [name], "records": [count], "bytes": [size], "crc32": [check]})
             number += 1
 
-    ranged = with_first(pages, page_id, url, html, least).repartitionByRange("page_id")
-    ordered = ranged.sortWithinPartitions("page_id", "sha1", "url")
+    ranged = marked_pages(pages, page_id, url, html, least).repartitionByRange("page_id")
+    ordered = ranged.sortWithinPartitions("page_id", "sha1", F.desc("marker"), "url")
     return staged(ordered.mapInArrow(write, "file string, records long, bytes long, crc32 long"), "manifest")
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
     """Packed records of sorted pages. Rows equal in id and payload follow each other; the first is the response."""
-    last = None
-    for rows in rows_of(batches, "page_id", "url", "payload", "sha1", "first", "alone", most=64):
-        for page_id, url, payload, sha1, first, alone in rows:
-            response = alone or (page_id == first and (page_id, sha1) != last)
-            last = (page_id, sha1)
-            yield page_record(page_id, url, payload, response, first)
+    marked, smallest, fresh = None, None, False
+    for rows in rows_of(batches, "page_id", "url", "payload", "sha1", "first", "marker", most=64):
+        for page_id, url, payload, sha1, first, marker in rows:
+            if marker:
+                marked, smallest, fresh = (page_id, sha1), first, True
+                continue
+            revisit = (page_id, sha1) == marked and not (fresh and page_id == smallest)
+            fresh = False
+            yield page_record(page_id, url, payload, not revisit, smallest if revisit else None)
 
 
 def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -178,7 +186,7 @@ def read_archives(manifest: DataFrame, uri: str) -> DataFrame:
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return manifest.repartition("file").mapInArrow(read, schema)
+    return manifest.repartition(max(1, manifest.count()), "file").mapInArrow(read, schema)
 
 
 def _described(headers: dict[str, str], block: bytes) -> tuple:
