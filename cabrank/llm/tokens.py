@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +25,7 @@ def encoder(path: str = RANKS) -> tiktoken.Encoding:
 
 def token_ids(text: str | None, path: str = RANKS) -> np.ndarray:
     """Ids of a whole text; NULL is empty. Special strings inside a text are ordinary text."""
-    return np.array(encoder(path).encode_ordinary(text), np.uint32) if text else np.empty(0, np.uint32)
+    return np.frombuffer(array("I", encoder(path).encode_ordinary(text) if text else ()), np.uint32)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str, most: int = 256) -> Iterator[list[tuple]]:
