@@ -141,8 +141,7 @@ def sequences(docs: DataFrame, layout: Layout, numbering: Numbering, path: str =
 def write_order(docs: DataFrame, uri: str, layout: Layout = Layout(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the shards below ``uri``; one row for each: shard, file, first slot, records, CRC-32 of the file.
 
-    A task streams the sorted sequences of its shards into one file after
-    another. The manifest is staged when all shards are in place; files that it
+    Each task sorts the sequences of one shard and streams them into its file. The manifest is staged when all shards are in place; files that it
     does not list do not count.
     """
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -162,7 +161,9 @@ def write_order(docs: DataFrame, uri: str, layout: Layout = Layout(), doc_id: st
         if records:
             yield _store(uri, shard, records)
 
-    dealt = sequences(named, layout, numbering).repartition(-(-numbering.size // numbering.width), "shard")
+    dealt = sequences(named, layout, numbering).repartitionById(
+        -(-numbering.size // numbering.width), F.col("shard").cast("int")
+    )
     written = dealt.sortWithinPartitions("shard", "number").mapInArrow(write, "shard long, file string, records long, crc32 long")
     return staged(with_starts(staged(written, "shards")), "manifest")
 
