@@ -2,20 +2,44 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from cabrank.llm.storage import committed
 from cabrank.sinks.reports import shared_folder, stage_table
 
 BATCH_BYTES = 1 << 20
+ARCHIVE = "cabrank-package.zip"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """The session, its executors able to import this library, wherever the program was started.
+
+    The sources are sent once for each application, unless the library was
+    itself sent to the driver as an archive.
+    """
+    context, package = spark.sparkContext, Path(__file__).parent.parent
+    if package.is_dir() and not any(path.endswith(ARCHIVE) for path in context.listFiles):
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w") as archive:
+            for path in sorted(package.rglob("*.py")):
+                archive.write(path, path.relative_to(package.parent))
+        folder = shared_folder(spark, "package")
+        with committed(folder, ARCHIVE) as stream:
+            stream.write(content.getvalue())
+        context.addPyFile(f"{folder}/{ARCHIVE}")
+    return spark
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once under the folder that all executors share.
 

@@ -1,15 +1,17 @@
 """Quality by compression: how much better good text's dictionary compresses a document than bad text's.
 
 Two zstandard dictionaries are built from whole labelled texts, one of each
-kind. A document's difference is (bytes with the bad dictionary - bytes with the
-good one) / bytes without any, so it does not depend on the length. A logistic
-curve, fitted on labelled texts that the dictionaries have not seen, turns it
-into a score from 0 to 1.
+kind. Two size differences tell a document's quality: (bytes with the bad
+dictionary - bytes with the good one) / bytes without any, and (plain bytes -
+bytes with the good one) / plain bytes, which is near 1 for text that repeats
+itself. A logistic curve over the two, their squares and the logarithm of the
+length, fitted on labelled texts that the dictionaries have not seen, turns them
+into a score from 0 to 1. Both kinds weigh the same in it.
 
 Training reads a bounded sample: of each kind, the ``PER_KIND`` labelled texts
 with the smallest keyed hash of their id, half for the dictionaries and half for
 the curve. Scoring reads every text whole. NULL counts as empty; an empty text
-has difference 0. Without labelled rows of both kinds, every score is the share
+has differences 0. Without labelled rows of both kinds, every score is the share
 of good rows among the labelled ones (1 without any).
 """
 
@@ -38,7 +40,7 @@ STEPS = 60
 class Model:
     good: bytes
     bad: bytes
-    slope: float
+    weights: np.ndarray
     offset: float
 
 
@@ -61,14 +63,15 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     )
 
 
-def difference(texts: list[bytes], good: bytes, bad: bytes) -> np.ndarray:
-    """The normalised difference of compressed sizes of each text."""
+def differences(texts: list[bytes], good: bytes, bad: bytes) -> np.ndarray:
+    """The normalised differences of compressed sizes of each text, their squares, and its length's logarithm."""
     plain, with_good, with_bad = _compressors(good, bad)
-    out = np.zeros(len(texts))
+    out = np.zeros((len(texts), 5))
     for i, text in enumerate(texts):
         if text:
-            size = [len(c.compress(text)) for c in (plain, with_good, with_bad)]
-            out[i] = (size[2] - size[1]) / size[0]
+            alone, as_good, as_bad = (len(c.compress(text)) for c in (plain, with_good, with_bad))
+            kind, saved = (as_bad - as_good) / alone, (len(text) - as_good) / len(text)
+            out[i] = kind, saved, kind * kind, saved * saved, math.log(len(text))
     return out
 
 
@@ -91,20 +94,23 @@ def dictionary(texts: list[bytes]) -> bytes:
         return b"".join(texts)[:DICTIONARY_BYTES].ljust(8, b"\n")
 
 
-def logistic(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve by Newton's method, with a small penalty on the slope."""
-    spread = values.std() or 1.0
-    x = np.column_stack([values / spread, np.ones(len(values))])
-    w = np.zeros(2)
-    penalty = np.diag([1.0, 1e-6])
+def logistic(values: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and offset of a logistic curve by Newton's method, kinds weighing the same, with a small penalty."""
+    middle, spread = values.mean(axis=0), values.std(axis=0)
+    spread[spread == 0] = 1.0
+    x = np.column_stack([(values - middle) / spread, np.ones(len(values))])
+    balance = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())
+    penalty = np.diag([0.1] * values.shape[1] + [1e-6])
+    w = np.zeros(x.shape[1])
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (labels - p) - penalty @ w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, gradient)
-        w += np.clip(step, -5, 5)
+        gradient = x.T @ (balance * (labels - p)) - penalty @ w
+        step = np.linalg.solve((x * (balance * p * (1 - p))[:, None]).T @ x + penalty, gradient)
+        w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0] / spread), float(w[1])
+    weights = w[:-1] / spread
+    return weights, float(w[-1] - weights @ middle)
 
 
 def train(sample: pd.DataFrame) -> Model:
@@ -115,14 +121,13 @@ def train(sample: pd.DataFrame) -> Model:
     for_curve = (place % 2 == 1).to_numpy()
     if len(set(labels[for_curve])) < 2:
         share = min(max(labels.mean() if len(labels) else 1.0, 1e-6), 1 - 1e-6)
-        return Model(b"", b"", 0.0, math.log(share / (1 - share)))
+        return Model(b"", b"", np.zeros(5), math.log(share / (1 - share)))
     good, bad = (dictionary(list(texts[~for_curve & (labels == q)])) for q in (1, 0))
-    slope, offset = logistic(difference(list(texts[for_curve]), good, bad), labels[for_curve])
-    return Model(good, bad, slope, offset)
+    return Model(good, bad, *logistic(differences(list(texts[for_curve]), good, bad), labels[for_curve]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Train on the driver from the bounded sample, of at most ``MOST_BYTES``: two dictionaries and two numbers."""
+    """Train on the driver from the bounded sample, of at most ``MOST_BYTES``: two dictionaries and a few numbers."""
     rows = labelled(docs, labels, doc_id, text).withColumn("size", F.octet_length("text"))
     rows = rows.filter(F.col("size") <= MOST_BYTES // (2 * PER_KIND))
     return train(rows.drop("size").toPandas())
@@ -135,8 +140,8 @@ def score(model: Model, text: str = "text") -> Column:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             raw = [x.encode() if x else b"" for x in texts]
-            values = model.slope * difference(raw, model.good, model.bad) + model.offset if model.good else model.offset
-            yield pd.Series(np.broadcast_to(1 / (1 + np.exp(-np.clip(values, -30, 30))), len(raw)).copy())
+            found = differences(raw, model.good, model.bad) if model.good else np.zeros((len(raw), 5))
+            yield pd.Series(1 / (1 + np.exp(-np.clip(found @ model.weights + model.offset, -30, 30))))
 
     return scored(F.col(text))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cabrank.llm.common import table
+from cabrank.llm.common import table, with_package
 from cabrank.llm.compression import classify
 from cabrank.llm.lengths import length_histogram
 from cabrank.llm.ordering import training_order
@@ -35,26 +35,23 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
-def on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
+def on(operator: Callable[..., DataFrame], *names: str) -> Query:
+    """The operator on whole tables."""
+    return lambda spark, sf_dir: operator(*(table(with_package(spark), sf_dir, name) for name in names))
 
 
 def queries() -> dict[str, Query]:
     return {
-        "op1_training_order": on_documents(training_order),
-        "op2_suffix_array_dedup": on_documents(dedup),
+        "op1_training_order": on(training_order, "documents"),
+        "op2_suffix_array_dedup": on(dedup, "documents"),
         "op3_url_filters": _urls,
-        "op4_best_fit_packing": on_documents(pack_documents),
-        "op5_quality_rules": on_documents(judge),
-        "op6_quality_classifier": lambda spark, sf_dir: classify(
-            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-        ),
-        "op7_length_histogram": on_documents(length_histogram),
-        "op8_warc_writer": lambda spark, sf_dir: archive_pages(table(spark, sf_dir, "pages")),
-        "op9_decontamination": lambda spark, sf_dir: contamination(
-            table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-        ),
-        "op10_simhash": on_documents(near_copies),
+        "op4_best_fit_packing": on(pack_documents, "documents"),
+        "op5_quality_rules": on(judge, "documents"),
+        "op6_quality_classifier": on(classify, "documents", "labels"),
+        "op7_length_histogram": on(length_histogram, "documents"),
+        "op8_warc_writer": on(archive_pages, "pages"),
+        "op9_decontamination": on(contamination, "documents", "benchmark"),
+        "op10_simhash": on(near_copies, "documents"),
     }
 
 

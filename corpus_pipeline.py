@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabrank.llm.common import staged, table
+from cabrank.llm.common import staged, table, with_package
 from cabrank.llm.compression import THRESHOLD, fit, score
 from cabrank.llm.packing import pack_documents
 from cabrank.llm.phrases import uncontaminated
@@ -20,28 +20,31 @@ from cabrank.llm.simhash import one_of_each
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier, trained on the labelled ones among them, does not reject."""
-    model = fit(docs, table(spark, sf_dir, "labels"))
+    model = fit(docs, table(with_package(spark), sf_dir, "labels"))
     return docs.filter(score(model) >= THRESHOLD)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: three-word shingles, fingerprints linked at two bits or fewer."""
+    with_package(spark)
     return one_of_each(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the strings of 200 bytes that occur elsewhere too; their length is counted anew."""
+    with_package(spark)
     cut = without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without ten consecutive words of a benchmark item."""
-    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return uncontaminated(docs, table(with_package(spark), sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of at most 2048 tokens."""
+    with_package(spark)
     return pack_documents(docs)
 
 
