@@ -70,7 +70,8 @@ def keys_of(labels: int, reaches: list[int]) -> Column:
     starts = ", ".join(f"case when length(path) >= {n} then substring(path, 1, {n}) end" for n in reaches)
     pairs = f"""flatten(transform({ends}, h -> transform(filter(array({starts}), p -> p is not null),
         p -> named_struct('key', concat(h, p), 'host', h))))"""
-    return F.expr(f"case when host = '' then array() else {pairs} end" if reaches else "array()")
+    none = "cast(array() as array<struct<key: string, host: string>>)"
+    return F.expr(f"case when host = '' then {none} else {pairs} end" if reaches else none)
 
 
 def positions(key: Column, level: Level) -> list[Column]:

@@ -11,6 +11,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+TOKENIZER.encode_special_tokens = True  # their strings in a text are ordinary text
 
 
 def token_ids(text):

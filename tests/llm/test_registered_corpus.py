@@ -1,0 +1,115 @@
+"""The registered queries on the generated tables, against SQL or brute force, and the pipeline stage by stage."""
+
+import brute
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+import corpus_pipeline
+from cabrank.llm import queries
+from cabrank.llm.compression import THRESHOLD, fit, score
+
+NAMES = sorted(queries.queries())
+
+
+@pytest.fixture(scope="module")
+def texts(spark, small_dir):
+    rows = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text").collect()
+    return [tuple(row) for row in rows]
+
+
+def run(spark, name, folder):
+    return queries.queries()[name](spark, folder)
+
+
+def test_all_are_registered():
+    assert set(NAMES) | {"pipeline"} <= set(registry.queries())
+    assert sorted(int(name[2:].split("_")[0]) for name in NAMES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
+    cursor = con.execute(queries.oracle_sql()[name])
+    columns = [c[0] for c in cursor.description]
+    got = run(spark, name, sf_dir)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(repr, map(tuple, got.select(columns).collect()))) == sorted(map(repr, cursor.fetchall()))
+
+
+def test_order(spark, small_dir, texts):
+    rows = run(spark, "op1_training_order", small_dir).collect()
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    assert sum(r.n_tokens for r in rows) == sum(len(brute.token_ids(t)) for _, t in texts)
+
+
+def test_dedup(spark, small_dir, texts):
+    found = {r.doc_id: tuple(r)[1:] for r in run(spark, "op2_suffix_array_dedup", small_dir).collect()}
+    assert [found[key] for key, _ in texts] == brute.removed([t for _, t in texts])
+
+
+def test_packing(spark, small_dir, texts):
+    rows = run(spark, "op4_best_fit_packing", small_dir).collect()
+    assert sorted(tuple(r)[:5] for r in rows) == sorted((key, *p) for key, t in texts for p in brute.pieces(t))
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in sequences.values():
+        ends = [0, *(at + n for at, n in sorted(own))]
+        assert [at for at, _ in sorted(own)] == ends[:-1] and ends[-1] <= 2048
+    assert len(sequences) <= 1.02 * -(-sum(r.length for r in rows) // 2048)
+
+
+def test_classifier(spark, sf_dir):
+    rows = run(spark, "op6_quality_classifier", sf_dir).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    judged = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert len(rows) == 1000 and sum(p == q for p, q in judged) >= 0.95 * len(judged)
+    assert sum(p for p, q in judged if q == 1) >= 0.97 * sum(q == 1 for _, q in judged)
+
+
+def test_decontamination(spark, small_dir, texts):
+    items = [tuple(r) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    found = {r.doc_id: tuple(r)[1:] for r in run(spark, "op9_decontamination", small_dir).collect()}
+    assert [found[key] for key, _ in texts] == brute.contamination(texts, items)
+
+
+def test_simhash(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    prints = [(r.doc_id, brute.fingerprint(r.text)) for r in rows]
+    expected = {k: (f"{fp:016x}", root) for (k, fp), root in zip(prints, brute.linked(prints), strict=True)}
+    got = run(spark, "op10_simhash", sf_dir).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == expected
+    assert sum(r.doc_id != r.component_id for r in got) > 20
+
+
+def test_pipeline(spark, small_dir):
+    """Each stage on what the one before it kept."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    model = fit(docs, spark.read.parquet(f"{small_dir}/labels.parquet"))
+    kept = {r.doc_id: r.text for r in docs.filter(score(model) >= THRESHOLD).collect()}
+    prints = [(key, brute.fingerprint(text)) for key, text in kept.items()]
+    kept = {root: kept[root] for root in set(brute.linked(prints))}
+    raws = {key: text.encode() for key, text in kept.items()}
+    seen = {}
+    for raw in raws.values():
+        for i in range(len(raw) - 199):
+            seen[raw[i : i + 200]] = seen.get(raw[i : i + 200], 0) + 1
+    for key, raw in raws.items():
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - 199):
+            if seen[raw[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        at, left = 0, []
+        for character in kept[key]:
+            width = len(character.encode())
+            left.append("" if any(gone[at : at + width]) else character)
+            at += width
+        kept[key] = "".join(left)
+    items = [tuple(r) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    found = brute.contamination(list(kept.items()), items)
+    kept = {key: text for (key, text), row in zip(kept.items(), found, strict=True) if not row[-1]}
+    rows = corpus_pipeline.run(spark, small_dir).collect()
+    assert sorted(tuple(r)[:5] for r in rows) == sorted((key, *p) for key, text in kept.items() for p in brute.pieces(text))
