@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cabrank.functions.text import percent
 from cabrank.operators.clean import as_text, clean_trips, typed, with_month
-from cabrank.operators.counts import count_by, solo_share, top_k
+from cabrank.operators.counts import count_by, solo_share, top_k, zone_counts
 from cabrank.operators.enrich import summary
 from cabrank.operators.ratios import ratio_outliers
 from cabrank.operators.series import (
@@ -23,9 +24,9 @@ from cabrank.operators.series import (
     trips_per_month,
 )
 from cabrank.plans import order_trips as trips
-from cabrank.schema import MONTH
+from cabrank.schema import MONTH, YELLOW
 from cabrank.sinks.reports import shared_folder, stage_table, write_report, write_rows
-from cabrank.sources.trips import read_table
+from cabrank.sources.trips import read_lookup, read_table, read_trips
 
 try:
     import corpus_pipeline
@@ -40,6 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FLEETS = ("O", "F")
 JUNE = ("1998-06-01", "1998-07-01")
 MARCH = ("1998-03-01", "1998-04-01")
+US_TIME = "MM/dd/yyyy HH:mm:ss"
 
 
 def _region_counts(role: str, status: str) -> Query:
@@ -138,7 +140,7 @@ def _stored_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """March again, from items stored by month."""
     items = trips.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     stored = stage_table(with_month(items, "l_shipdate"), shared_folder(spark, "items"), MONTH)
-    return in_range(stored, "l_shipdate", *MARCH).drop(MONTH)
+    return in_range(stored, "l_shipdate", *MARCH, month=MONTH).drop(MONTH)
 
 
 def _dear_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +159,69 @@ def _stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_report(_june_days(spark, sf_dir), shared_folder(spark, "daily"))
 
 
+def _ordered_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with its time, which it is ordered by."""
+    march = in_range(trips.table(spark, sf_dir, "lineitem"), "l_shipdate", *MARCH)
+    ratios = ratio_outliers(march, "l_extendedprice", "l_discount", factor=5, keep=("l_shipdate",))
+    return write_rows(ratios, shared_folder(spark, "ratios"), order_by="l_shipdate", keep_order=True)
+
+
+def _second_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items stored by the month of one time, taken by another that may lie in a later month."""
+    items = trips.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", F.expr("l_shipdate + make_dt_interval(cast(l_quantity as int))").alias("arrival")
+    )
+    stored = stage_table(with_month(items, "l_shipdate"), shared_folder(spark, "items"), MONTH)
+    return in_range(stored, "arrival", *MARCH).drop(MONTH)
+
+
+def _clean_both_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = trips.written_trips(spark, sf_dir, US_TIME)
+    return clean_trips(written, YELLOW.pickup, YELLOW.dropoff, fmt=US_TIME)
+
+
+def _csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "trips")
+    write_rows(trips.written_trips(spark, sf_dir), path)
+    return clean_trips(read_trips(spark, path, fleet=YELLOW), YELLOW.pickup, YELLOW.dropoff)
+
+
+def _csv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "zones")
+    zones = trips.zone_lookup(spark, sf_dir).withColumn("LocationID", F.col("LocationID").cast("int"))
+    write_report(zones, path, single_file=True)
+    return read_lookup(spark, path)
+
+
+def _stored(name: str) -> Query:
+    """A table as a report, read back."""
+    return lambda spark, sf_dir: write_report(trips.table(spark, sf_dir, name), shared_folder(spark, name))
+
+
+def _job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, zones = trips.stored_fleet(spark, sf_dir)
+    counts = zone_counts(stored, zones, "PULocationID", "Pickup_Borough", "Yellow_Pickup_Count")
+    return write_report(counts, shared_folder(spark, "counts"), single_file=True)
+
+
+def _job_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, _ = trips.stored_fleet(spark, sf_dir)
+    march = in_range(stored, YELLOW.pickup, *MARCH, month=MONTH)
+    return write_rows(ratio_outliers(march, factor=5), shared_folder(spark, "ratios"))
+
+
+def _written_week(python: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        written = trips.written_trips(spark, sf_dir)
+        return filtered_daily(written, YELLOW.pickup, trips.written_week(written, python))
+
+    return run
+
+
+def _solo_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return solo_share(trips.written_trips(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     """Every registered query, as a function of the session and the table folder."""
     found: dict[str, Query] = {
@@ -188,6 +253,23 @@ def queries() -> dict[str, Query]:
         "csv_text": _csv_text,
         "csv_inferred": _csv_inferred,
         "stored_report": _stored_report,
+        "enrich_zones_spread": lambda spark, sf_dir: trips.enriched_trips(spark, sf_dir, small=False),
+        "enrich_summary_spread": lambda spark, sf_dir: summary(trips.enriched_trips(spark, sf_dir, small=False)),
+        "stored_second_time": _second_time,
+        "clean_both_times": _clean_both_times,
+        "expensive_short_text": _written_week(python=False),
+        "expensive_short_text_udf": _written_week(python=True),
+        "csv_trips_typed": _csv_trips,
+        "csv_lookup": _csv_lookup,
+        "csv_conversations": _stored("conversations"),
+        "csv_events": _stored("events"),
+        "ordered_ratios": _ordered_ratios,
+        "job_pickup_counts": _job_counts,
+        "job_fare_per_mile": _job_ratios,
+        "daily_counts_from": lambda spark, sf_dir: daily_counts(
+            trips.table(spark, sf_dir, "lineitem"), "l_shipdate", start=JUNE[0]
+        ),
+        "solo_share_text": _solo_written,
     }
     for status in FLEETS:
         for role in trips.ROLES:
@@ -203,8 +285,8 @@ def queries() -> dict[str, Query]:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Trips per pickup region on the smallest tables."""
-    return queries()["pickup_region_O"](spark, "/root/testdata/sf0.001")
+    """Trips per pickup region, on the tables of ``ENTRY_SF_DIR`` or else the smallest generated ones."""
+    return queries()["pickup_region_O"](spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 ZONES = """(select n_nationkey as location, r_name as borough, n_name as zone,
@@ -250,6 +332,20 @@ MARCH_SQL = "l_shipdate >= timestamp '1998-03-01' and l_shipdate < timestamp '19
 PARSED = "try_strptime(pickup, '%Y-%m-%d %H:%M:%S')"
 
 
+WRITTEN = """(select l_orderkey || '-' || l_linenumber as trip, l_linenumber, l_shipdate as tpep_pickup_datetime,
+    l_shipdate + to_hours(l_quantity::integer) as tpep_dropoff_datetime,
+    case when l_linenumber <> 4 then l_quantity end as trip_distance,
+    case when l_linenumber < 5 then l_extendedprice end as fare_amount, l_linenumber::double as passenger_count,
+    (l_suppkey % 25)::integer as "PULocationID", (l_partkey % 25)::integer as "DOLocationID" from lineitem) written"""
+
+KEPT = f"""(select * exclude (l_linenumber) from {WRITTEN}
+    where l_linenumber not in (2, 3) and trip_distance >= 0 and fare_amount >= 0) kept"""
+
+WRITTEN_WEEK = f"""select strftime(tpep_pickup_datetime, '%Y-%m-%d') as "Date", count(*) as "count" from {WRITTEN}
+    where l_linenumber <> 2 and tpep_pickup_datetime >= timestamp '1998-01-01'
+    and tpep_pickup_datetime < timestamp '1998-01-08' and fare_amount > 50000 and trip_distance < 20 group by 1"""
+
+
 def _region_sql(role: str, status: str, zones: str = ZONES) -> str:
     return f"""select z.borough as "{role}_Borough", count(*) as "{status}_{role}_Count"
         from {NATIONS[role].format(zones=zones)} where l_linestatus = '{status}' group by 1"""
@@ -320,6 +416,33 @@ def oracle_sql() -> dict[str, str]:
             s_acctbal::varchar as s_acctbal from supplier""",
         "csv_inferred": "select * from customer",
         "stored_report": DAILY,
+        "enrich_zones_spread": ENRICHED,
+        "enrich_summary_spread": f"select count(*) as row_count, 14 as column_count from ({ENRICHED}) enriched",
+        "stored_second_time": """select * from (select l_orderkey, l_linenumber, l_shipdate,
+            l_shipdate + to_days(l_quantity::integer) as arrival from lineitem) items
+            where arrival >= timestamp '1998-03-01' and arrival < timestamp '1998-04-01'""",
+        "clean_both_times": f"select * from {KEPT}",
+        "expensive_short_text": WRITTEN_WEEK,
+        "expensive_short_text_udf": WRITTEN_WEEK,
+        "csv_trips_typed": f"select * from {KEPT}",
+        "csv_lookup": f"""select location::integer as "LocationID", borough as "Borough", zone as "Zone", service_zone
+            from {ZONES} z""",
+        "csv_conversations": "select * from conversations",
+        "csv_events": "select * from events",
+        "ordered_ratios": f"""with ratios as (select l_shipdate, l_extendedprice / nullif(l_discount, 0)
+                as fare_per_mile from lineitem where {MARCH_SQL})
+            select l_shipdate, fare_per_mile, fare_per_mile > (select avg(fare_per_mile) from ratios) * 5 as outlier
+            from ratios""",
+        "job_pickup_counts": f"""select borough as "Pickup_Borough", count(*) as "Yellow_Pickup_Count"
+            from {KEPT} left join {ZONES} z on "PULocationID" = location group by 1""",
+        "job_fare_per_mile": f"""with ratios as (select fare_amount / nullif(trip_distance, 0) as fare_per_mile
+                from {KEPT} where tpep_pickup_datetime >= timestamp '1998-03-01'
+                and tpep_pickup_datetime < timestamp '1998-04-01')
+            select fare_per_mile, fare_per_mile > (select avg(fare_per_mile) from ratios) * 5 as outlier from ratios""",
+        "daily_counts_from": """select cast(l_shipdate as date) as pickup_day, count(*) as total_trips from lineitem
+            where l_shipdate >= timestamp '1998-06-01' group by 1""",
+        "solo_share_text": """select (count(*) filter (where l_linenumber = 1))::double / count(*) * 100
+            as percentage_solo from lineitem""",
     }
     for status in FLEETS:
         for role in trips.ROLES:

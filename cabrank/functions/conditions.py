@@ -7,20 +7,25 @@ first. Both behave the same with ANSI mode on and off.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabrank.schema import MONTH, TIME_FORMAT
+from cabrank.schema import TIME_FORMAT
+
+
+#: A number as people write it; a cast alone would also take ``60d``, ``1f``, ``0x1p3`` and ``NaN``.
+DECIMAL = r"\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*"
 
 
 def number(df: DataFrame, name: str) -> Column:
-    """The column as a number; text that is not a number becomes NULL."""
+    """The column as a number; text that is not a plain decimal becomes NULL."""
     if isinstance(df.schema[name].dataType, T.NumericType):
         return F.col(name)
-    return F.col(name).try_cast("double")
+    written = F.col(name).cast("string")
+    return F.when(written.rlike(f"^{DECIMAL}$"), written.try_cast("double"))
 
 
 def non_negative(df: DataFrame, name: str) -> Column:
@@ -46,21 +51,31 @@ def well_formed_time(df: DataFrame, name: str, fmt: str = TIME_FORMAT) -> Column
     return F.try_to_timestamp(F.col(name).cast("string"), F.lit(fmt)).isNotNull()
 
 
-def between_times(df: DataFrame, name: str, start: str, end: str) -> Column:
+def between_times(df: DataFrame, name: str, start: str, end: str, month: str | None = None) -> Column:
     """``start <= value < end`` for ISO bounds, taken in the type of the column.
 
     Casting the bounds and not the column keeps the condition pushable. A text
-    column is compared as text, which orders ISO dates correctly. Trips stored
-    by month also get the months of the range, so other months are not listed.
+    column is compared as text, which orders ISO dates correctly. ``month`` names
+    the column by which the table is stored, if it holds the month of this very
+    time: then months outside the range are not listed.
     """
     kind = df.schema[name].dataType
     within = (F.col(name) >= F.lit(start).cast(kind)) & (F.col(name) < F.lit(end).cast(kind))
-    if MONTH in df.columns:
-        first, last = (int(bound[:4]) * 100 + int(bound[5:7]) for bound in (start, end))
-        within &= F.col(MONTH).between(first, last)
+    if month is not None:
+        first = datetime.fromisoformat(start)
+        last = datetime.fromisoformat(end) - timedelta(microseconds=1)
+        within &= F.col(month).between(first.year * 100 + first.month, last.year * 100 + last.month)
     return within
 
 
+def finite(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """The column as a number, and whether it is neither NaN nor infinite; comparisons that Parquet can evaluate."""
+    value = number(df, name)
+    if isinstance(df.schema[name].dataType, (T.IntegralType, T.DecimalType)):
+        return value, value.isNotNull()
+    return value, (value < F.lit(float("inf"))) & (value > F.lit(float("-inf")))
+
+
 def expensive_short(
     df: DataFrame,
     *,
@@ -71,10 +86,19 @@ def expensive_short(
     last_day: date = date(2023, 1, 7),
     min_fare: float = 50,
     max_distance: float = 1,
+    month: str | None = None,
 ) -> Column:
-    """Trips of the given days, both included, that cost much and went nowhere."""
+    """Trips of the given days, both included, that cost much and went nowhere.
+
+    Their time must be well formed and both amounts finite numbers, whether the
+    rows were cleaned before or not.
+    """
+    (paid, paid_right), (went, went_right) = finite(df, fare), finite(df, distance)
     return (
-        between_times(df, time, str(first_day), str(last_day + timedelta(days=1)))
-        & (number(df, fare) > min_fare)
-        & (number(df, distance) < max_distance)
+        between_times(df, time, str(first_day), str(last_day + timedelta(days=1)), month)
+        & well_formed_time(df, time)
+        & (paid > min_fare)
+        & paid_right
+        & (went < max_distance)
+        & went_right
     )

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cabrank.functions.conditions import DECIMAL
+
 PANDAS_TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 
@@ -29,8 +31,11 @@ def expensive_short_udf(
     @F.pandas_udf("boolean")
     def keep(pickup: pd.Series, fare: pd.Series, distance: pd.Series) -> pd.Series:
         at = pd.to_datetime(pickup, format=PANDAS_TIME_FORMAT, errors="coerce")
-        paid = pd.to_numeric(fare, errors="coerce")
-        went = pd.to_numeric(distance, errors="coerce")
-        return (at >= start) & (at < end) & (paid > min_fare) & (went < max_distance)
+        paid, went = (
+            pd.to_numeric(text.where(text.str.fullmatch(DECIMAL).fillna(False).astype(bool)), errors="coerce")
+            for text in (fare.astype("object"), distance.astype("object"))
+        )
+        finite = (paid.abs() < float("inf")) & (went.abs() < float("inf"))
+        return (at >= start) & (at < end) & (paid > min_fare) & (went < max_distance) & finite
 
     return keep

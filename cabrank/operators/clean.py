@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabrank.functions.conditions import is_timestamp, non_negative, well_formed_time
+from cabrank.functions.conditions import non_negative, number, well_formed_time
 from cabrank.schema import AMOUNTS, MONTH, TIME_FORMAT, TRIP_TYPES
 
 
@@ -18,7 +18,26 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select([F.col(name).cast("string").alias(name) for name in df.columns])
 
 
-def typed(df: DataFrame, times: tuple[str, ...] = ()) -> DataFrame:
+def wall_clock(df: DataFrame, name: str, fmt: str = TIME_FORMAT, zone: str | None = None) -> Column:
+    """The time as read off a clock, without a zone.
+
+    Text is parsed by its format with no zone in between. An instant becomes the
+    wall clock of ``zone``, by default the session's, which the caller then
+    answers for.
+    """
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return F.col(name)
+    if isinstance(kind, T.TimestampType):
+        shown = F.current_timezone() if zone is None else F.lit(zone)
+        return F.convert_timezone(F.current_timezone(), shown, F.col(name).cast("timestamp_ntz"))
+    if fmt == TIME_FORMAT:
+        return F.col(name).try_cast("timestamp_ntz")
+    options = {"timestampNTZFormat": fmt, "sep": "\u0001", "mode": "PERMISSIVE"}
+    return F.from_csv(F.col(name).cast("string"), "at timestamp_ntz", options)["at"]
+
+
+def typed(df: DataFrame, times: tuple[str, ...] = (), fmt: str = TIME_FORMAT, zone: str | None = None) -> DataFrame:
     """Give the columns of a trip their types; unknown columns stay as they are.
 
     Ids go through double, as some files write them as ``2.0``. Columns that are
@@ -28,10 +47,10 @@ def typed(df: DataFrame, times: tuple[str, ...] = ()) -> DataFrame:
     def column(name: str) -> Column:
         kind = df.schema[name].dataType
         if name in times:
-            return F.col(name) if is_timestamp(df, name) else F.col(name).try_cast("timestamp_ntz")
+            return wall_clock(df, name, fmt, zone)
         if name not in TRIP_TYPES:
             return F.col(name)
-        value = F.col(name) if isinstance(kind, T.NumericType) else F.col(name).try_cast("double")
+        value = number(df, name)
         whole = TRIP_TYPES[name] == "int" and not isinstance(kind, T.IntegralType)
         return value.try_cast("int") if whole else value
 
@@ -44,17 +63,19 @@ def clean_trips(
     dropoff: str | None = None,
     amounts: tuple[str, ...] = AMOUNTS,
     fmt: str = TIME_FORMAT,
+    zone: str | None = None,
 ) -> DataFrame:
     """Trips with well-formed times and non-negative amounts, typed.
 
     The caller names the time columns, so nothing is read to plan the filter.
-    NULL in any checked column drops the trip.
+    NULL in any checked column drops the trip. ``fmt`` is how text columns write
+    times, ``zone`` the one in which instants are read off the clock.
     """
     times = tuple(name for name in (pickup, dropoff) if name is not None)
     checks = [well_formed_time(df, name, fmt) for name in times]
     checks += [non_negative(df, name) for name in amounts]
     kept = df.filter(reduce(and_, checks)) if checks else df
-    return typed(kept, times)
+    return typed(kept, times, fmt, zone)
 
 
 def with_month(trips: DataFrame, pickup: str) -> DataFrame:

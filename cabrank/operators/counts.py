@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabrank.functions.conditions import number
 from cabrank.schema import ZONE_KEY
 
 
@@ -56,5 +57,5 @@ def share(df: DataFrame, condition: Column, name: str) -> DataFrame:
 
 
 def solo_share(trips: DataFrame, passengers: str = "passenger_count") -> DataFrame:
-    """The percentage of trips with exactly one passenger."""
-    return share(trips, F.col(passengers) == 1, "percentage_solo")
+    """The percentage of trips with exactly one passenger; a count in text is read as a number."""
+    return share(trips, number(trips, passengers) == 1, "percentage_solo")

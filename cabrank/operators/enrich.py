@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ def attach_zone(
     role: str,
     keys_from: DataFrame | None = None,
     small: bool | None = None,
+    spread_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Trips with the lookup's columns under one role, ``Pickup_Borough`` and so on.
 
@@ -25,7 +28,7 @@ def attach_zone(
     zones = lookup.select(
         F.col(ZONE_KEY).alias(role_key), *[F.col(name).alias(f"{role}_{name}") for name in ZONE_COLUMNS]
     )
-    return left_lookup(trips, zones, key, role_key, keys_from, small).drop(role_key)
+    return left_lookup(trips, zones, key, role_key, keys_from, small, spread_on).drop(role_key)
 
 
 def enrich_zones(
@@ -35,6 +38,7 @@ def enrich_zones(
     dropoff_key: str = "DOLocationID",
     keys_from: DataFrame | None = None,
     small: bool | None = None,
+    spread_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Trips with the zone of their pickup and of their dropoff.
 
@@ -44,8 +48,8 @@ def enrich_zones(
     if small is None:
         small = fits_broadcast(lookup.select(ZONE_KEY, *ZONE_COLUMNS))
     base = trips if keys_from is None else keys_from
-    picked = attach_zone(trips, lookup, pickup_key, "Pickup", base, small)
-    return attach_zone(picked, lookup, dropoff_key, "Dropoff", base, small)
+    picked = attach_zone(trips, lookup, pickup_key, "Pickup", base, small, spread_on)
+    return attach_zone(picked, lookup, dropoff_key, "Dropoff", base, small, spread_on)
 
 
 def summary(df: DataFrame) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cabrank.sinks.reports import shared_folder, stage_table
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
-HEAVY_KEYS = 1_000
-SKETCH_ITEMS = 10_000
-SKETCH_GROUPS = 256
+SAMPLED_PER_PART = 100
+SEED = 11
 
 
 def fits_broadcast(
@@ -18,12 +20,13 @@ def fits_broadcast(
 ) -> bool:
     """Whether the lookup is small enough to copy to every executor.
 
-    Counted, not estimated: one pass over the lookup's own columns, which is
-    little next to the rows it is joined with. Pass a table as it was read, not
-    one that takes a large join to produce.
+    Counted, not estimated. Counting stops at one row beyond the bound: a lookup
+    that reaches it is too large, any other has been measured whole. Pass a table
+    as it was read, not one that takes a large join to produce.
     """
     width = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in lookup.columns]
-    size = lookup.agg(F.count("*").alias("rows"), F.sum(sum(width, F.lit(0))).alias("bytes")).first()
+    probe = lookup.select(sum(width, F.lit(0)).alias("width")).limit(rows + 1)
+    size = probe.agg(F.count("*").alias("rows"), F.sum("width").alias("bytes")).first()
     return size["rows"] <= rows and (size["bytes"] or 0) <= max_bytes
 
 
@@ -34,86 +37,88 @@ def left_lookup(
     lookup_key: str,
     keys_from: DataFrame | None = None,
     small: bool | None = None,
+    spread_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """All rows with the columns of their lookup entry, NULL where there is none.
 
     A lookup within the broadcast bound joins without moving the rows. A larger
     one goes through a shuffle in which heavy keys are spread out. Column names
     of the two sides must differ. ``keys_from`` is where to look for heavy keys,
-    by default ``rows``; pass the narrower table the rows were built from.
-    ``small`` skips the size check where the answer is known.
+    by default ``rows``; pass a ``key_sample`` of the narrower table the rows were
+    built from. ``small`` skips the size check where the answer is known.
+    ``spread_on`` names the columns that tell the rows of a heavy key apart, by
+    default all; name few, so that the others need not be read for it.
     """
     if small is None:
         small = fits_broadcast(lookup)
     if small:
         return rows.join(F.broadcast(lookup), F.col(key) == F.col(lookup_key), "left")
-    return _spread_lookup(rows, lookup, key, lookup_key, rows if keys_from is None else keys_from)
+    heavy = heavy_keys(rows if keys_from is None else keys_from, key, shuffle_parts(rows))
+    return _spread_lookup(rows, lookup, key, lookup_key, heavy, rows.columns if spread_on is None else spread_on)
+
 
+def shuffle_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def heavy_keys(df: DataFrame, key: str, most: int) -> list:
-    """The values of a column that hold more than ``1 / most`` of the rows.
 
-    There are fewer than ``most`` of them, whatever the data, so they may visit
-    the driver. They come from a frequent-items sketch per task, merged in two
-    steps so that no task receives the sketches of all others: one scan of the
-    column, no shuffle of its values. Counts are estimates, so a key close to
-    the limit may go either way.
+def key_sample(df: DataFrame, *keys: str) -> DataFrame:
+    """Some rows of the key columns, staged: about a hundred for each shuffle partition.
+
+    One scan serves the heavy keys of all the columns. A sample decides only how
+    rows travel, never a result.
     """
-    tracked = min(10 * most, SKETCH_ITEMS)
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
-    per_group = df.groupBy(group.alias("part")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"), F.count("*").alias("n")
-    )
-    # Grouping by a constant, as the sketch functions fail on a task without input.
-    merged = per_group.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("total")
-    )
-    top = merged.select("total", F.inline(F.expr(f"approx_top_k_estimate(sketch, {most})")))
-    heavy = top.filter(F.col("item").isNotNull() & (F.col("count") * most > F.col("total")))
-    return [row.item for row in heavy.select("item").collect()]
+    wanted = SAMPLED_PER_PART * shuffle_parts(df)
+    fraction = min(1.0, wanted / max(1, df.count()))
+    sampled = df.select(*keys) if fraction == 1.0 else df.select(*keys).sample(fraction, SEED)
+    return stage_table(sampled, shared_folder(df.sparkSession, "keys"))
+
+
+def heavy_keys(df: DataFrame, key: str, most: int) -> DataFrame:
+    """The values of a column that hold more than ``1 / most`` of the rows, and over how many parts to spread each.
+
+    Found by counting a sample (a small table whole), for keys of any type and
+    any ``most``. There are fewer than ``most`` of them and their parts add up to
+    less than three times ``most``, whatever the data. They stay a table.
+    """
+    total = df.count()
+    fraction = min(1.0, SAMPLED_PER_PART * most / max(1, total))
+    sampled = df if fraction == 1.0 else df.sample(fraction, SEED)
+    counts = sampled.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("heavy_key")).agg(F.count("*").alias("n"))
+    share = F.col("n") * (most / max(1.0, total * fraction))
+    return counts.filter(share > 1).select("heavy_key", F.ceil(2 * share).cast("int").alias("parts"))
 
 
 def _spread_lookup(
-    rows: DataFrame, lookup: DataFrame, key: str, lookup_key: str, keys_from: DataFrame
+    rows: DataFrame, lookup: DataFrame, key: str, lookup_key: str, heavy: DataFrame, spread_on: Sequence[str]
 ) -> DataFrame:
-    """Shuffle join in which rows of a heavy key, and rows without one, go anywhere.
+    """Shuffle join on the key and a part: rows of a heavy key are dealt over its parts, each of which gets its entries.
 
-    Those rows are dealt out by a hash in place of their key, and a condition
-    keeps them from matching what they land on. The entries of the heavy keys,
-    if they are within the broadcast bound, are attached afterwards. Which keys
-    are heavy changes only how the rows travel, never the result.
+    Rows without a key are dealt out as well, and as their key equals none, they
+    meet no entry. The heavy keys are fewer than the shuffle has partitions, so
+    they can be sent to every task.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy, entries = heavy_keys(keys_from, key, min(parts, HEAVY_KEYS)), None
-    if heavy:
-        entries = lookup.filter(F.col(lookup_key).isin(heavy))
-        if not fits_broadcast(entries):
-            heavy, entries = [], None
-
-    apart = F.col(key).isNull() | F.col(key).isin(heavy) if heavy else F.col(key).isNull()
-    left = rows.withColumn("_travel_key", F.when(apart, _scatter(rows, key)).otherwise(F.col(key)))
-    on = (F.col("_travel_key") == F.col(lookup_key)) & ~apart
-    joined = left.join(lookup, on, "left").drop("_travel_key")
-    if entries is None:
-        return joined
-
-    named = entries.select([F.col(name).alias(f"_heavy_{name}") for name in lookup.columns])
-    joined = joined.join(F.broadcast(named), F.col(key) == F.col(f"_heavy_{lookup_key}"), "left")
-    found = [F.coalesce(F.col(name), F.col(f"_heavy_{name}")).alias(name) for name in lookup.columns]
-    return joined.select(*rows.columns, *found)
-
-
-def _scatter(rows: DataFrame, key: str) -> Column:
-    """A hash in the type of the key; other than whole numbers and text stay put.
-
-    It depends on the row and its input partition only, both of which a retried
-    task sees again, so a lost executor cannot move rows between partitions. The
-    partition number separates exact copies.
+    heavy = stage_table(heavy, shared_folder(rows.sparkSession, "heavy"))
+    row_parts = heavy.select(F.col("heavy_key").alias("_row_key"), F.col("parts").alias("_row_parts"))
+    entry_parts = heavy.select(F.col("heavy_key").alias("_entry_key"), F.col("parts").alias("_entry_parts"))
+
+    marked = rows.join(F.broadcast(row_parts), F.col(key) == F.col("_row_key"), "left")
+    dealt = F.when(F.col(key).isNull(), _scatter(spread_on)).otherwise(
+        F.coalesce(F.pmod(_scatter(spread_on), F.col("_row_parts")), F.lit(0))
+    )
+    marked = marked.withColumn("_row_part", dealt).drop("_row_key", "_row_parts")
+
+    copied = lookup.join(F.broadcast(entry_parts), F.col(lookup_key) == F.col("_entry_key"), "left")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_entry_parts", F.lit(1)) - 1))
+    copied = copied.withColumn("_entry_part", copies).drop("_entry_key", "_entry_parts")
+
+    on = (F.col(key) == F.col(lookup_key)) & (F.col("_row_part") == F.col("_entry_part"))
+    return marked.join(copied, on, "left").drop("_row_part", "_entry_part")
+
+
+def _scatter(columns: Sequence[str]) -> Column:
+    """A hash of the row and its input partition.
+
+    A retried task sees both again, so a lost executor cannot move rows between
+    partitions. The partition number separates exact copies.
     """
-    parts = [F.spark_partition_id(), *map(F.col, rows.columns)]
-    kind = rows.schema[key].dataType
-    if isinstance(kind, T.IntegerType):
-        return F.hash(*parts)
-    if isinstance(kind, (T.LongType, T.StringType)):
-        return F.xxhash64(*parts).cast(kind)
-    return F.col(key)
+    return F.hash(F.spark_partition_id(), *map(F.col, columns))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabrank.functions.conditions import number
+
 
 def ratio_outliers(
     df: DataFrame,
@@ -17,9 +19,9 @@ def ratio_outliers(
     """The ratio of two columns per row, flagged where it exceeds ``factor`` means.
 
     A zero denominator gives a NULL ratio and a NULL flag, and stays out of the
-    mean. The mean is a scalar subquery: a second, pruned scan, while the rows
+    mean. Text is read as a number. The mean is a scalar subquery: a second, pruned scan, while the rows
     themselves are neither shuffled nor sorted.
     """
-    rows = df.select(*keep, F.try_divide(F.col(numerator), F.col(denominator)).alias(ratio))
+    rows = df.select(*keep, F.try_divide(number(df, numerator), number(df, denominator)).alias(ratio))
     mean = rows.agg(F.avg(ratio)).scalar()
     return rows.withColumn("outlier", F.col(ratio) > mean * factor)

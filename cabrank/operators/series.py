@@ -15,15 +15,21 @@ from cabrank.functions.text import month_name
 HIGH, LOW, NORMAL = "High Anomaly", "Low Anomaly", "Normal"
 
 
-def in_range(df: DataFrame, time: str, start: str, end: str) -> DataFrame:
-    """Rows with ``start <= time < end``."""
-    return df.filter(between_times(df, time, start, end))
+def in_range(df: DataFrame, time: str, start: str, end: str, month: str | None = None) -> DataFrame:
+    """Rows with ``start <= time < end``; ``month`` is the column the table is stored by, if it was made from ``time``."""
+    return df.filter(between_times(df, time, start, end, month))
 
 
-def daily_counts(df: DataFrame, time: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Trips per day, for days that have any."""
+def daily_counts(
+    df: DataFrame, time: str, start: str | None = None, end: str | None = None, month: str | None = None
+) -> DataFrame:
+    """Trips per day, for days that have any, from ``start`` on and before ``end``, where given."""
     if start is not None and end is not None:
-        df = in_range(df, time, start, end)
+        df = in_range(df, time, start, end, month)
+    elif start is not None:
+        df = df.filter(F.col(time) >= F.lit(start).cast(df.schema[time].dataType))
+    elif end is not None:
+        df = df.filter(F.col(time) < F.lit(end).cast(df.schema[time].dataType))
     return df.groupBy(F.col(time).try_cast("date").alias("pickup_day")).agg(F.count("*").alias("total_trips"))
 
 

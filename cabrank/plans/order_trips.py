@@ -18,7 +18,11 @@ from cabrank.functions.conditions import between_times, expensive_short
 from cabrank.functions.udfs import expensive_short_udf
 from cabrank.operators.counts import carry_counts, count_by
 from cabrank.operators.enrich import attach_zone, enrich_zones
-from cabrank.operators.lookup import fits_broadcast, left_lookup
+from cabrank.operators.lookup import fits_broadcast, key_sample, left_lookup
+from cabrank.plans.taxi_reports import stage_fleet
+from cabrank.schema import TIME_FORMAT, YELLOW
+from cabrank.sinks.reports import shared_folder, write_report, write_rows
+from cabrank.sources.trips import read_lookup, read_trips
 
 ROLES = ("Pickup", "Dropoff")
 FIRST_WEEK = {"first_day": date(1998, 1, 1), "last_day": date(1998, 1, 7)}
@@ -78,46 +82,69 @@ def zone_group_counts(
     return carry_counts(counts, zone_lookup(spark, sf_dir, without), "nation", "LocationID", group, name, count)
 
 
+ITEM = ("l_orderkey", "l_linenumber")
+
+
 def with_pickup_id(
-    spark: SparkSession, sf_dir: str, trips: DataFrame, keys_from: DataFrame, small: bool | None = None
+    spark: SparkSession, sf_dir: str, trips: DataFrame, keys_from: DataFrame | None = None, small: bool | None = None
 ) -> DataFrame:
     """Line items with the nation of their supplier."""
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("PULocationID"))
-    return left_lookup(trips, suppliers, "l_suppkey", "s_suppkey", keys_from, small).drop("s_suppkey")
+    return left_lookup(trips, suppliers, "l_suppkey", "s_suppkey", keys_from, small, ITEM).drop("s_suppkey")
 
 
 def with_dropoff_id(
-    spark: SparkSession, sf_dir: str, trips: DataFrame, keys_from: DataFrame, small: bool | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    trips: DataFrame,
+    keys_from: DataFrame | None = None,
+    small: bool | None = None,
+    few_customers: bool | None = None,
 ) -> DataFrame:
     """Line items with the nation of their customer, by way of the order.
 
-    Orders get the nation first, as they are the narrower side to move. Their
-    own size rules out a broadcast before the joined table is looked at.
+    Orders get the nation first, as they are the narrower side to move. There is
+    one row of them either way, so their own size decides about a broadcast.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("DOLocationID"))
-    located = left_lookup(orders, customers, "o_custkey", "c_custkey", small=small).drop("c_custkey", "o_custkey")
-    if small is None and not fits_broadcast(orders):
-        small = False
-    return left_lookup(trips, located, "l_orderkey", "o_orderkey", keys_from, small).drop("o_orderkey")
+    located = left_lookup(orders, customers, "o_custkey", "c_custkey", small=few_customers, spread_on=["o_orderkey"])
+    located = located.drop("c_custkey", "o_custkey")
+    if small is None:
+        small = fits_broadcast(orders)
+    return left_lookup(trips, located, "l_orderkey", "o_orderkey", keys_from, small, ITEM).drop("o_orderkey")
 
 
 def enriched_trips(spark: SparkSession, sf_dir: str, small: bool | None = None) -> DataFrame:
-    """All line items with the zones of both roles."""
+    """All line items with the zones of both roles. ``small`` answers for all three lookups, else each is measured."""
     trips = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    located = with_dropoff_id(spark, sf_dir, with_pickup_id(spark, sf_dir, trips, trips, small), trips, small)
+    keys = {"supplier": ("s_suppkey", "s_nationkey"), "orders": ("o_orderkey", "o_custkey"), "customer": ("c_custkey",)}
+    fits = {
+        name: fits_broadcast(table(spark, sf_dir, name).select(*columns)) if small is None else small
+        for name, columns in keys.items()
+    }
+    sample = None if fits["supplier"] and fits["orders"] else key_sample(trips, "l_suppkey", "l_orderkey")
+    picked = with_pickup_id(spark, sf_dir, trips, sample, fits["supplier"])
+    located = with_dropoff_id(spark, sf_dir, picked, sample, fits["orders"], fits["customer"])
     return enrich_zones(located, zone_lookup(spark, sf_dir))
 
 
 def pickup_trips(spark: SparkSession, sf_dir: str, without: str) -> DataFrame:
     """All line items with their pickup zone, from a lookup that lacks a region."""
     trips = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    located = with_pickup_id(spark, sf_dir, trips, trips)
+    located = with_pickup_id(spark, sf_dir, trips)
     return attach_zone(located, zone_lookup(spark, sf_dir, without), "PULocationID", "Pickup")
 
 
+def written_week(trips: DataFrame, python: bool = False) -> Column:
+    """The same condition on trips in text, in either form."""
+    if not python:
+        return expensive_short(trips, time=YELLOW.pickup, **FIRST_WEEK, **LIMITS)
+    return expensive_short_udf(**FIRST_WEEK, **LIMITS)(YELLOW.pickup, "fare_amount", "trip_distance")
+
+
 def first_week(trips: DataFrame, python: bool = False) -> Column:
     """Dear and small shipments of the first week of 1998, as a condition.
 
@@ -167,3 +194,40 @@ def text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").cast("double").cast("string").alias("PULocationID"),
         F.concat(F.lit(" "), F.col("l_partkey").cast("string")).alias("DOLocationID"),
     )
+
+
+def written_trips(spark: SparkSession, sf_dir: str, fmt: str = TIME_FORMAT) -> DataFrame:
+    """Line items as a taxi fleet writes its trips, all in text, some of them malformed.
+
+    The line number decides what is wrong: a pickup without a time of day, a
+    dropoff with a fraction of a second, a distance that is not a number, or a
+    fare in a spelling that is no plain decimal.
+    """
+    line, fare = F.col("l_linenumber"), F.col("l_extendedprice").cast("string")
+    arrival = F.expr("l_shipdate + make_dt_interval(0, cast(l_quantity as int))")
+    day, moment = F.date_format("l_shipdate", fmt.split(" ")[0]), F.date_format("l_shipdate", fmt)
+    dropoff = F.date_format(arrival, fmt)
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trip"),
+        F.when(line == 2, day).otherwise(moment).alias(YELLOW.pickup),
+        F.when(line == 3, F.concat(dropoff, F.lit(".5"))).otherwise(dropoff).alias(YELLOW.dropoff),
+        F.when(line == 4, "NaN").otherwise(F.col("l_quantity").cast("string")).alias("trip_distance"),
+        F.when(line == 5, F.concat(fare, F.lit("d")))
+        .when(line == 6, "0x1p3")
+        .when(line == 7, "Infinity")
+        .otherwise(fare)
+        .alias("fare_amount"),
+        line.cast("string").alias("passenger_count"),
+        (F.col("l_suppkey") % 25).cast("double").cast("string").alias("PULocationID"),
+        (F.col("l_partkey") % 25).cast("string").alias("DOLocationID"),
+    )
+
+
+def stored_fleet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Trips and zones by the way of a report run: CSV files, typed scan, cleaning, staging."""
+    trips_path, zones_path = shared_folder(spark, "trips"), shared_folder(spark, "zones")
+    write_rows(written_trips(spark, sf_dir), trips_path)
+    zones = zone_lookup(spark, sf_dir).withColumn("LocationID", F.col("LocationID").cast("int"))
+    write_report(zones, zones_path, single_file=True)
+    trips = stage_fleet(read_trips(spark, trips_path, fleet=YELLOW), YELLOW, shared_folder(spark, "clean"), by_month=True)
+    return trips, read_lookup(spark, zones_path)

@@ -23,7 +23,7 @@ from cabrank.operators.counts import solo_share, top_k, zone_counts
 from cabrank.operators.enrich import enrich_zones, summary
 from cabrank.operators.ratios import ratio_outliers
 from cabrank.operators.series import daily_anomalies, daily_counts, filtered_daily, in_range, mean_day, peak_month
-from cabrank.schema import GREEN, YELLOW, Fleet
+from cabrank.schema import GREEN, MONTH, YELLOW, Fleet
 from cabrank.sinks.reports import report_path, run_stamp, stage_table, write_report, write_rows
 from cabrank.sources.trips import read_lookup, read_trips
 
@@ -41,7 +41,7 @@ class ReportRun:
 
     def publish(self, df: DataFrame, task: str, name: str) -> DataFrame:
         """Write an aggregated report, show it from the stored file, return that."""
-        stored = write_report(df, self.path(task, name))
+        stored = write_report(df, self.path(task, name), single_file=True)
         if self.preview:
             stored.show()
         return stored
@@ -51,7 +51,7 @@ def stage_fleet(trips: DataFrame, fleet: Fleet, path: str, by_month: bool = Fals
     """Clean the trips of a fleet and store them."""
     clean = clean_trips(trips, fleet.pickup, fleet.dropoff)
     if by_month:
-        return stage_table(with_month(clean, fleet.pickup), path, "trip_month")
+        return stage_table(with_month(clean, fleet.pickup), path, MONTH)
     return stage_table(clean, path)
 
 
@@ -74,18 +74,18 @@ def fleet_reports(run: ReportRun, fleet: Fleet, trips: DataFrame, zones: DataFra
     run.publish(peak_month(trips, fleet.pickup), "task8", f"month_{prefix}")
 
 
-def yellow_reports(run: ReportRun, trips: DataFrame, year: int) -> None:
-    """The reports about particular weeks of the yellow fleet."""
+def yellow_reports(run: ReportRun, trips: DataFrame, year: int, month: str | None = None) -> None:
+    """The reports about particular weeks of the yellow fleet; ``month`` is the column its pickups are stored by."""
     time = YELLOW.pickup
-    dear = expensive_short(trips, time=time, first_day=date(year, 1, 1), last_day=date(year, 1, 7))
+    dear = expensive_short(trips, time=time, first_day=date(year, 1, 1), last_day=date(year, 1, 7), month=month)
     run.publish(filtered_daily(trips, time, dear), "task3", "daily_trip_counts")
 
-    june = daily_counts(trips, time, f"{year}-06-01", f"{year}-07-01")
-    stored = write_report(june, run.path("task5", "trip_count"))
+    june = daily_counts(trips, time, f"{year}-06-01", f"{year}-07-01", month)
+    stored = write_report(june, run.path("task5", "trip_count"), single_file=True)
     mean_day(stored).show()
     run.publish(daily_anomalies(stored), "task5", "anomalies")
 
-    march = in_range(trips, time, f"{year}-03-01", f"{year}-04-01")
+    march = in_range(trips, time, f"{year}-03-01", f"{year}-04-01", month)
     write_rows(ratio_outliers(march), run.path("task6", "fare_per_mile"))
 
 
@@ -110,7 +110,7 @@ def run_reports(
     }
     for fleet, trips in staged.items():
         fleet_reports(run, fleet, trips, lookup)
-    yellow_reports(run, staged[YELLOW], year)
+    yellow_reports(run, staged[YELLOW], year, MONTH if by_month else None)
     return run
 
 

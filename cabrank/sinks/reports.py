@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def run_stamp(at: datetime | None = None) -> str:
@@ -19,32 +20,76 @@ def report_path(base: str, task: str, name: str, run_id: str) -> str:
     return f"{base.rstrip('/')}/{task}/{name}_{run_id}"
 
 
-def write_report(df: DataFrame, path: str, single_file: bool = True) -> DataFrame:
+#: Quotes are doubled, white space is kept, and moments have all their digits.
+LAYOUT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+#: An empty text is quoted and a NULL is not; a NULL value that no file contains keeps them apart.
+READING = LAYOUT | {"nullValue": "\u0000", "emptyValue": "", "enforceSchema": False}
+
+
+def _escaped(df: DataFrame) -> DataFrame:
+    """Line breaks as ``\\n`` and ``\\r``, and backslashes doubled, so that a row is a line."""
+
+    def column(field: StructField) -> Column:
+        if not isinstance(field.dataType, StringType):
+            return F.col(field.name)
+        out = F.col(field.name)
+        for sign, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+            out = F.replace(out, F.lit(sign), F.lit(written))
+        return out.alias(field.name)
+
+    return df.select([column(field) for field in df.schema.fields])
+
+
+def _unescaped(df: DataFrame) -> DataFrame:
+    def column(field: StructField) -> Column:
+        if not isinstance(field.dataType, StringType):
+            return F.col(field.name)
+        breaks = F.transform(
+            F.split(field.name, r"\\\\"),
+            lambda part: F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+        )
+        return F.array_join(breaks, "\\").alias(field.name)
+
+    return df.select([column(field) for field in df.schema.fields])
+
+
+def read_report(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored report, its values as they were written."""
+    return _unescaped(spark.read.options(**READING).schema(schema).csv(path))
+
+
+def write_report(df: DataFrame, path: str, single_file: bool = False) -> DataFrame:
     """Write a report as CSV with a header and return it as stored.
 
     Reading the result back lets callers preview it, or derive a further report
-    from it, without computing it again. ``single_file`` is meant for aggregated
-    reports of a few rows, whose order it keeps; leave it off for row-level
-    results, which every task then writes on its own.
+    from it, without computing it again. ``single_file`` is for aggregated
+    reports of a few rows, whose order it keeps; otherwise every task writes.
     """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
-    return df.sparkSession.read.schema(df.schema).option("header", True).csv(path)
+    out = _escaped(df.coalesce(1) if single_file else df)
+    out.write.mode("overwrite").options(**LAYOUT).csv(path)
+    return read_report(df.sparkSession, path, df.schema)
 
 
-def write_rows(df: DataFrame, path: str, order_by: str | None = None) -> DataFrame:
+def write_rows(df: DataFrame, path: str, order_by: str | None = None, keep_order: bool = False) -> DataFrame:
     """Write a row-level result from all tasks, in range order if asked for.
 
     The ordering column need not be part of the result: it is dropped after the
-    sort, and the numbered part files keep the order. Rows of one moment are
-    ordered by a hash of the row, so that a busy moment can span several tasks;
-    the input partition in it does the same for exact copies.
+    sort unless ``keep_order`` is set, and the numbered part files keep the order.
+    Rows of one moment are ordered by a hash of the row, so that a busy moment can
+    span several tasks; the input partition in it does the same for exact copies.
     """
     if order_by is None:
-        return write_report(df, path, single_file=False)
+        return write_report(df, path)
     tie = F.xxhash64(F.spark_partition_id(), *map(F.col, df.columns))
-    out = df.withColumn("_tie", tie).orderBy(order_by, "_tie").drop("_tie", order_by)
-    return write_report(out, path, single_file=False)
+    out = df.withColumn("_tie", tie).orderBy(order_by, "_tie").drop("_tie")
+    return write_report(out if keep_order else out.drop(order_by), path)
 
 
 def stage_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -52,7 +97,8 @@ def stage_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
 
     Partitioning the folder by a column moves the rows once, so that a task
     writes to few folders and not one small file to each. Adaptive execution
-    splits a large value over several tasks and packs small ones together.
+    splits a large value over several tasks and packs small ones together; it
+    must be on for that.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.types import StructField, StructType
 
-from cabrank.schema import LOOKUP_SCHEMA, TIME_FORMAT, TRIP_TYPES, Fleet
+from cabrank.schema import AMOUNTS, LOOKUP_SCHEMA, TIME_FORMAT, TRIP_TYPES, Fleet
 
 
 def read_table(
@@ -20,31 +20,31 @@ def read_table(
     """A file, or all files of a folder.
 
     CSV files carry a header. Without a schema every CSV column is text, named
-    by the header, which costs no pass over the data. ``infer=True`` asks Spark
-    for the types, at the price of reading the files once more. With a schema
-    the headers must agree with it.
+    by the header of one file, which costs no pass over the data. ``infer=True``
+    asks Spark for the types, at the price of reading the files once more. The
+    headers of all files must agree with the schema, given or found.
     """
     reader = spark.read.format(fmt).options(**options)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", infer)
-        if schema is not None:
-            reader = reader.option("enforceSchema", False)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+    if fmt != "csv":
+        return (reader if schema is None else reader.schema(schema)).load(path)
+    reader = reader.option("header", True)
+    if schema is None:
+        schema = reader.option("inferSchema", infer).load(path).schema
+    return reader.option("enforceSchema", False).schema(schema).load(path) if schema.fields else reader.load(path)
 
 
 def trip_schema(columns: list[str], fleet: Fleet) -> StructType:
     """Types for the known columns of a fleet; the others are text.
 
     Ids are read as numbers with a decimal point, which some files give them;
-    cleaning makes them integers.
+    cleaning makes them integers. Amounts stay text: only cleaning can tell a
+    plain decimal from other spellings that a cast would take.
     """
 
     def kind(name: str) -> T.DataType:
         if name in (fleet.pickup, fleet.dropoff):
             return T.TimestampNTZType()
-        return T.DoubleType() if name in TRIP_TYPES else T.StringType()
+        return T.DoubleType() if name in TRIP_TYPES and name not in AMOUNTS else T.StringType()
 
     return StructType([StructField(name, kind(name)) for name in columns])
 

@@ -55,7 +55,7 @@ def test_typed_scan_gives_the_same_trips(spark, ansi, raw_trips, trips, tmp_path
     raw_trips.repartition(3).write.option("header", True).csv(str(tmp_path / "raw"))
     read = read_trips(spark, str(tmp_path / "raw"), fleet=YELLOW)
     kinds = dict(read.dtypes)
-    assert kinds["tpep_pickup_datetime"] == "timestamp_ntz" and kinds["fare_amount"] == "double"
+    assert kinds["tpep_pickup_datetime"] == "timestamp_ntz" and kinds["passenger_count"] == "double"
     cleaned = clean_trips(read, YELLOW.pickup, YELLOW.dropoff)
     assert cleaned.schema == trips.schema
     assert sorted(cleaned.collect(), key=str) == sorted(trips.collect(), key=str)
@@ -103,3 +103,25 @@ def test_as_text(ansi, trips):
 
 def test_month_of_pickup(trips):
     assert with_month(trips, YELLOW.pickup).filter("id = 'y10'").first().trip_month == 202203
+
+
+def test_the_given_format_is_the_one_parsed(spark, ansi):
+    raw = spark.createDataFrame([("05/06/2023 10:00:00",), ("2023-05-06 10:00:00",), ("05/06/2023",)], "at string")
+    cleaned = clean_trips(raw, "at", amounts=(), fmt="MM/dd/yyyy HH:mm:ss")
+    assert cleaned.collect() == [(datetime(2023, 5, 6, 10),)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_instants_become_the_wall_clock_of_a_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        raw = spark.sql("select timestamp '2023-05-31 22:00:00Z' as at")
+        assert clean_trips(raw, "at", amounts=(), zone="Asia/Kolkata").collect() == [(datetime(2023, 6, 1, 3, 30),)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_only_plain_decimals_are_amounts(spark, ansi):
+    written = ["60", " 1.5 ", "+.5", "2.", "1e2", "60d", "1f", "0x1p3", "NaN", "Infinity", "-1", "", "1,5", None]
+    raw = spark.createDataFrame([(x,) for x in written], "fare_amount string")
+    assert [row.fare_amount for row in clean_trips(raw, amounts=("fare_amount",)).collect()] == [60, 1.5, 0.5, 2, 100]

@@ -42,13 +42,31 @@ def test_bound_on_bytes(spark, large):
     assert fits_broadcast(large.limit(0))
 
 
+def heavy(df, key, most):
+    return {row.heavy_key: row.parts for row in heavy_keys(df, key, most).collect()}
+
+
 def test_heavy_keys_are_found(hot):
-    assert heavy_keys(hot, "k", 8) == [7]
+    assert heavy(hot, "k", 8) == {7: 6}
+
+
+def test_no_heavy_keys(large):
+    assert heavy(large, "lk", 8) == {}
+    assert heavy(large.limit(0), "lk", 8) == {}
+
 
+def test_a_key_above_the_share_of_many_partitions(spark):
+    """One in 1,250 of the rows, where a partition's share is one in 4,000."""
+    rows = spark.range(0, 2_000_000, 1, 8).select(F.when(F.col("id") % 1250 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert heavy(rows, "k", 4_000).keys() == {-1}
+    assert heavy(rows, "k", 1_000) == {}
 
-def test_no_heavy_keys(spark, large):
-    assert heavy_keys(large, "lk", 8) == []
-    assert heavy_keys(large.limit(0), "lk", 8) == []
+
+def test_one_sample_serves_several_keys(spark):
+    rows = spark.range(0, 50_000, 1, 4).selectExpr("if(id % 2 = 0, 1, id) as a", "if(id % 3 = 0, 2, id) as b", "id as c")
+    sample = lookup.key_sample(rows, "a", "b")
+    assert sample.columns == ["a", "b"] and sample.count() < 2_000
+    assert set(heavy(sample, "a", 8)) == {1} and set(heavy(sample, "b", 8)) == {2}
 
 
 def sorted_rows(df):
@@ -111,8 +129,7 @@ def test_enriched_items_do_not_depend_on_the_join(spark, small_dir):
     assert sorted_rows(spread) == sorted_rows(order_trips.enriched_trips(spark, small_dir, small=True))
 
 
-def test_keys_that_cannot_be_scattered(shuffle_joins, ansi, hot, large):
-    """Dates keep their place in the shuffle; the result is the same."""
+def test_dates_as_keys(shuffle_joins, ansi, hot, large):
     rows = hot.withColumn("k", F.date_from_unix_date(F.col("k").cast("int")))
     entries = large.withColumn("lk", F.date_from_unix_date(F.col("lk").cast("int")))
     spread = left_lookup(rows, entries, "k", "lk", small=False)
@@ -127,11 +144,44 @@ def test_whole_number_kinds(shuffle_joins, ansi, hot, large):
         assert sorted_rows(spread) == sorted_rows(rows.join(large, F.col("k") == F.col("lk"), "left"))
 
 
-def test_heavy_key_with_too_many_entries(shuffle_joins, monkeypatch, hot, large):
-    """Entries of heavy keys beyond the bound are joined like all others."""
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda entries: False)
-    spread = left_lookup(hot, large, "k", "lk")
-    assert sorted_rows(spread) == sorted_rows(hot.join(large, F.col("k") == F.col("lk"), "left"))
+def test_heavy_key_with_many_entries(shuffle_joins, hot, large):
+    """Its rows are split all the same, and each part meets every entry."""
+    many = large.union(shuffle_joins.range(40).selectExpr("cast(7 as long) as lk", "concat('more', id) as zone"))
+    spread = left_lookup(hot.filter("row < 2000"), many, "k", "lk", small=False)
+    assert sorted_rows(spread) == sorted_rows(hot.filter("row < 2000").join(many, F.col("k") == F.col("lk"), "left"))
+    before = shuffle_joins.conf.get("spark.sql.adaptive.enabled")
+    shuffle_joins.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = left_lookup(hot, many, "k", "lk", small=False).filter("k = 7").select(F.spark_partition_id())
+        assert tasks.distinct().count() >= 3
+    finally:
+        shuffle_joins.conf.set("spark.sql.adaptive.enabled", before)
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "date", "double", "timestamp", "smallint"])
+def test_every_kind_of_heavy_key_spans_tasks(shuffle_joins, hot, large, kind):
+    def keyed(df, name):
+        value = F.col(name) % 1000
+        return df.withColumn(name, F.date_from_unix_date(value.cast("int")) if kind == "date" else value.cast(kind))
+
+    before = shuffle_joins.conf.get("spark.sql.adaptive.enabled")
+    shuffle_joins.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows, entries = keyed(hot, "k"), keyed(large.filter("lk < 1000"), "lk")
+        placed = left_lookup(rows.repartition(16), entries, "k", "lk", small=False)
+        sizes = [row["count"] for row in placed.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2.2 * 60_000 / 8
+        assert sorted_rows(placed) == sorted_rows(rows.join(entries, F.col("k") == F.col("lk"), "left"))
+    finally:
+        shuffle_joins.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_counting_reads_only_what_the_spreading_needs(spark, small_dir):
+    from cabrank.operators.enrich import summary
+
+    rows = summary(order_trips.enriched_trips(spark, small_dir, small=False))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "l_suppkey" in plan and "l_extendedprice" not in plan and "l_shipdate" not in plan
 
 
 def test_heavy_key_without_an_entry(shuffle_joins, hot, large):
@@ -141,7 +191,7 @@ def test_heavy_key_without_an_entry(shuffle_joins, hot, large):
 
 
 def test_a_scattered_row_never_meets_an_entry(shuffle_joins, monkeypatch, hot, large):
-    """Even where the hash in place of its key is the key of an entry."""
-    monkeypatch.setattr(lookup, "_scatter", lambda rows, key: F.lit(9).cast("long"))
+    """Even where all rows go to the part that the entries are in."""
+    monkeypatch.setattr(lookup, "_scatter", lambda columns: F.lit(0))
     spread = left_lookup(hot, large, "k", "lk", small=False)
     assert sorted_rows(spread) == sorted_rows(hot.join(large, F.col("k") == F.col("lk"), "left"))

@@ -210,3 +210,61 @@ def test_totals_agree(trips, zones):
     for key in ("PULocationID", "DOLocationID"):
         assert zone_counts(trips, zones, key, "b").agg(F.sum("count")).first()[0] == rows
     assert trips_per_month(trips, PICKUP).agg(F.max("count")).first()[0] == peak_month(trips, PICKUP).first().trip_count
+
+
+def test_either_bound_of_a_series_holds_alone(trips):
+    both = {row.pickup_day: row.total_trips for row in daily_counts(trips, PICKUP).collect()}
+    first = min(day for day in both if day is not None and str(day) >= "2023-03")
+    after = daily_counts(trips, PICKUP, start=str(first)).collect()
+    before = daily_counts(trips, PICKUP, end=str(first)).collect()
+    assert {r.pickup_day for r in after} == {d for d in both if d >= first}
+    assert {r.pickup_day for r in before} == {d for d in both if d < first}
+
+
+def test_text_in_shares_and_ratios(spark, ansi):
+    rows = spark.createDataFrame([("1.0", "10"), ("1.9", "x"), ("2", "0x1p3"), (None, "5")], "passenger_count string, f string")
+    assert solo_share(rows).first().percentage_solo == 25
+    ratios = ratio_outliers(rows, "f", "passenger_count", keep=("f",))
+    assert {r.f: r.fare_per_mile for r in ratios.collect()} == {"10": 10.0, "x": None, "0x1p3": None, "5": None}
+
+
+MONTHS = "pickup timestamp_ntz, dropoff timestamp_ntz"
+
+
+def test_a_second_time_is_not_pruned_by_the_month_of_the_first(spark):
+    from datetime import datetime
+
+    from cabrank.operators.clean import with_month
+
+    rows = spark.createDataFrame([(datetime(2023, 5, 31, 23, 50), datetime(2023, 6, 1, 0, 10))], MONTHS)
+    stored = with_month(rows, "pickup")
+    assert in_range(stored, "dropoff", "2023-06-01", "2023-07-01").count() == 1
+    assert in_range(stored, "pickup", "2023-05-01", "2023-06-01", month="trip_month").count() == 1
+
+
+@pytest.mark.parametrize("value", ["6", "'June'"])
+def test_another_column_of_that_name_does_not_matter(spark, ansi, value):
+    rows = spark.sql(f"select timestamp_ntz '2023-06-05 00:00:00' as at, {value} as trip_month")
+    assert in_range(rows, "at", "2023-06-01", "2023-07-01").count() == 1
+
+
+def test_the_month_of_the_exclusive_end_is_not_listed(spark):
+    from cabrank.functions.conditions import between_times
+
+    rows = spark.sql("select timestamp_ntz '2023-06-05 00:00:00' as at, 202306 as m")
+    text = str(between_times(rows, "at", "2023-06-01", "2023-07-01", "m"))
+    assert "202306" in text and "202307" not in text
+
+
+def test_both_forms_of_the_condition_agree_on_uncleaned_text(spark, ansi):
+    from cabrank.functions.conditions import expensive_short
+    from cabrank.functions.udfs import expensive_short_udf
+
+    good = ("2023-01-02 10:00:00", "60", "0.5")
+    changed = {0: ["2023-01-02 10:00:00.5", "2023-01-02", "x", None, "2023-01-08 00:00:00"], 1: ["NaN", "60d", "Infinity", "50", " 61 ", "6e1", None],
+               2: ["0x1p-3", "-Infinity", "NaN", "1", "", None]}
+    rows = [good] + [tuple(v if i == k else x for i, x in enumerate(good)) for k, vs in changed.items() for v in vs]
+    table = spark.createDataFrame(rows, "t string, f string, d string")
+    native = table.filter(expensive_short(table, time="t", fare="f", distance="d")).collect()
+    python = table.filter(expensive_short_udf()("t", "f", "d")).collect()
+    assert sorted(native) == sorted(python) == sorted([good, (good[0], " 61 ", good[2]), (good[0], "6e1", good[2])])

@@ -21,7 +21,7 @@ def test_report_is_one_file_in_order(spark, tmp_path):
     counts = spark.createDataFrame(fixtures.BOROUGHS["yellow_pickup"], "Pickup_Borough string, count bigint")
     path = tmp_path / "report"
     for _ in range(2):  # the second run replaces the first
-        stored = write_report(counts.repartition(4).orderBy(F.desc("count")), str(path))
+        stored = write_report(counts.repartition(4).orderBy(F.desc("count")), str(path), single_file=True)
     (part,) = parts(path)
     lines = part.read_text().splitlines()
     assert lines[0] == "Pickup_Borough,count" and lines[1] == "Manhattan,19596373" and len(lines) == 8
@@ -102,7 +102,7 @@ def test_csv_folder_is_text_named_by_the_header(spark, raw_trips, tmp_path):
 
 
 def test_lookup_file_with_schema(spark, zones, tmp_path):
-    write_report(zones, str(tmp_path / "zones"))
+    write_report(zones, str(tmp_path / "zones"), single_file=True)
     (file,) = parts(tmp_path / "zones")
     assert read_lookup(spark, str(file)).schema == LOOKUP_SCHEMA
     assert sorted(read_lookup(spark, str(file)).collect()) == sorted(zones.collect())
@@ -120,3 +120,30 @@ def test_inferred_and_parquet(spark, trips, tmp_path):
     assert inferred["PULocationID"] == "int" and inferred["fare_amount"] == "double"
     trips.write.parquet(str(tmp_path / "parquet"))
     assert read_trips(spark, str(tmp_path / "parquet"), "parquet").schema == trips.schema
+
+
+def test_values_come_back_as_they_were(spark, ansi, tmp_path):
+    texts = ["a\nb", "\r\n", " x ", "", None, "back\\slash", "\\n", "\\\\\n", 'say "hi", ok', '"', "\\", "\\N", "\u0001\t", "é\U0001f600"]
+    rows = [(i, text, datetime(2023, 1, 2, 3, 4, 5, 123456 + i)) for i, text in enumerate(texts)]
+    table = spark.createDataFrame(rows, "n int, text string, at timestamp_ntz")
+    table = table.withColumn("instant", F.col("at").cast("timestamp"))
+    stored = write_report(table, str(tmp_path / "r"))
+    assert sorted(stored.collect()) == sorted(table.collect())
+    lines = sum(len(part.read_bytes().split(b"\n")) - 1 for part in parts(tmp_path / "r"))
+    assert lines == len(rows) + len(parts(tmp_path / "r"))
+
+
+def test_an_ordered_report_can_keep_its_order_column(spark, tmp_path):
+    rows = spark.range(0, 100).select((F.col("id") * 37 % 100).alias("at"), "id")
+    stored = write_rows(rows, str(tmp_path / "r"), order_by="at", keep_order=True)
+    written = [line.split(",")[0] for part in parts(tmp_path / "r") for line in part.read_text().splitlines()[1:]]
+    assert stored.columns == ["at", "id"] and written == [str(n) for n in range(100)]
+
+
+@pytest.mark.parametrize("infer", [False, True])
+def test_headers_in_another_order_are_refused(spark, tmp_path, infer):
+    (tmp_path / "trips").mkdir()
+    (tmp_path / "trips/a.csv").write_text("at,fare\n2023-01-01 00:00:00,5\n")
+    (tmp_path / "trips/b.csv").write_text("fare,at\n6,2023-01-01 00:00:00\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(tmp_path / "trips"), infer=infer).collect()
