@@ -21,18 +21,12 @@ from cabrank.llm.warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-URL_RULES = (
-    ("com/", "allow"),
-    ("example.com/en/", "block"),
-    ("www.example.com/en/", "allow"),
-    ("net/es/", "block"),
-    ("net/fr/", "block"),
-)
+URL_RULES = """select * from values ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'),
+    ('net/es/', 'block'), ('net/fr/', 'block') as rules(rule, action)"""
 
 
 def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "rule string, action string")
-    return judge_urls(table(spark, sf_dir, "pages"), rules)
+    return judge_urls(table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
 
 
 def on(operator: Callable[..., DataFrame], *names: str) -> Query:

@@ -16,6 +16,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,7 +102,7 @@ def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     that rejects nothing goes last.
     """
     taken = docs.select(F.col(text).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES).take(rows)
-    sample = docs.sparkSession.createDataFrame(taken, "text string")
+    sample = docs.sparkSession.createDataFrame(pa.table({"text": pa.array([row.text for row in taken], pa.string())}))
     measured = []
     for rule in rules:
         begun = time.perf_counter()
