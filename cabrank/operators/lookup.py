@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +25,19 @@ def fits_broadcast(
     that reaches it is too large, any other has been measured whole. Pass a table
     as it was read, not one that takes a large join to produce.
     """
-    width = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in lookup.columns]
-    probe = lookup.select(sum(width, F.lit(0)).alias("width")).limit(rows + 1)
-    size = probe.agg(F.count("*").alias("rows"), F.sum("width").alias("bytes")).first()
-    return size["rows"] <= rows and (size["bytes"] or 0) <= max_bytes
+    return all_fits([lookup], rows, max_bytes)[0]
+
+
+def all_fits(lookups: Sequence[DataFrame], rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> list[bool]:
+    """The same of several lookups, measured in one job."""
+
+    def size(number: int, lookup: DataFrame) -> DataFrame:
+        width = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in lookup.columns]
+        probe = lookup.select(sum(width, F.lit(0)).alias("width")).limit(rows + 1)
+        return probe.agg(F.lit(number).alias("number"), F.count("*").alias("rows"), F.sum("width").alias("bytes"))
+
+    found = reduce(DataFrame.unionAll, [size(n, lookup) for n, lookup in enumerate(lookups)]).collect()
+    return [row["rows"] <= rows and (row["bytes"] or 0) <= max_bytes for row in sorted(found, key=lambda row: row.number)]
 
 
 def left_lookup(

@@ -18,7 +18,7 @@ from cabrank.functions.conditions import between_times, expensive_short
 from cabrank.functions.udfs import expensive_short_udf
 from cabrank.operators.counts import carry_counts, count_by
 from cabrank.operators.enrich import attach_zone, enrich_zones
-from cabrank.operators.lookup import fits_broadcast, key_sample, left_lookup
+from cabrank.operators.lookup import all_fits, fits_broadcast, key_sample, left_lookup
 from cabrank.plans.taxi_reports import stage_fleet
 from cabrank.schema import TIME_FORMAT, YELLOW
 from cabrank.sinks.reports import shared_folder, write_report, write_rows
@@ -120,15 +120,19 @@ def enriched_trips(spark: SparkSession, sf_dir: str, small: bool | None = None)
     trips = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    keys = {"supplier": ("s_suppkey", "s_nationkey"), "orders": ("o_orderkey", "o_custkey"), "customer": ("c_custkey",)}
-    fits = {
-        name: fits_broadcast(table(spark, sf_dir, name).select(*columns)) if small is None else small
-        for name, columns in keys.items()
-    }
-    sample = None if fits["supplier"] and fits["orders"] else key_sample(trips, "l_suppkey", "l_orderkey")
-    picked = with_pickup_id(spark, sf_dir, trips, sample, fits["supplier"])
-    located = with_dropoff_id(spark, sf_dir, picked, sample, fits["orders"], fits["customer"])
-    return enrich_zones(located, zone_lookup(spark, sf_dir))
+    zones = zone_lookup(spark, sf_dir)
+    if small is None:
+        keys = (("supplier", "s_suppkey", "s_nationkey"), ("orders", "o_orderkey", "o_custkey"), ("customer", "c_custkey"))
+        suppliers, orders, customers, areas = all_fits(
+            [*(table(spark, sf_dir, name).select(*columns) for name, *columns in keys), zones]
+        )
+    else:
+        suppliers = orders = customers = small
+        areas = None
+    sample = None if suppliers and orders else key_sample(trips, "l_suppkey", "l_orderkey")
+    picked = with_pickup_id(spark, sf_dir, trips, sample, suppliers)
+    located = with_dropoff_id(spark, sf_dir, picked, sample, orders, customers)
+    return enrich_zones(located, zones, small=areas)
 
 
 def pickup_trips(spark: SparkSession, sf_dir: str, without: str) -> DataFrame:
