@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
+BLANKS = " \t\n\v\f\r"
 SYMBOLS = r"[#*$%&|<>]"
 SAMPLE_ROWS = 500
 SAMPLE_BYTES = 64 << 10
@@ -68,7 +69,7 @@ RULES = (
 
 def figures(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with their words, their lines that have a word, and the base figures. NULL text counts as empty."""
-    trimmed = F.expr(rf"btrim(`{text}`, ' \t\n\u000b\f\r')")
+    trimmed = F.btrim(F.col(text), F.lit(BLANKS))
     words = F.when(F.length(trimmed) > 0, F.split(trimmed, SPACE)).otherwise(F.array().cast("array<string>"))
     lines = F.filter(F.split(F.col(text), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     rows = docs.withColumn(text, F.coalesce(text, F.lit(""))).withColumns({"words": words, "lines": lines})

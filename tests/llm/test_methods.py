@@ -5,13 +5,14 @@ import random
 from collections import Counter
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cabrank.llm import phrases
+from cabrank.llm import phrases, sql
 from cabrank.llm.components import components
 from cabrank.llm.ordering import permute
 from cabrank.llm.packing import Capacity, fit
@@ -210,3 +211,15 @@ def test_order_of_rules_does_not_matter(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     results = [sorted(judge(docs, rules).collect()) for rules in (RULES, RULES[::-1])]
     assert results[0] == results[1] == sorted(judge(docs).collect())
+
+
+def test_rules_on_every_kind_of_white_space(spark):
+    made = random.Random(3)
+    signs = [*" \t\n\v\f\r", "f", "a b", "É", "é", "#", "!!", "\x1c", "\x85", "\\", "'", "😀", "c d e "]
+    rows = [(n, "".join(made.choice(signs) for _ in range(made.randint(0, 150)))) for n in range(600)]
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    expected = con.execute(sql.QUALITY).fetchall()
+    got = judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(expected)
