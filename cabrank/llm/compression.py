@@ -10,7 +10,9 @@ into a score from 0 to 1. Both kinds weigh the same in it.
 
 Training reads a bounded sample: of each kind, the ``PER_KIND`` labelled texts
 with the smallest keyed hash of their id, half for the dictionaries and half for
-the curve. Scoring reads every text whole. NULL counts as empty; an empty text
+the curve. Of these, texts beyond ``MOST_BYTES / (2 * PER_KIND)`` bytes are left
+out, and of several rows with one id the smallest text is taken, so the sample
+has at most ``MOST_BYTES``. Scoring reads every text whole. NULL counts as empty; an empty text
 has differences 0. Without labelled rows of both kinds, every score is the share
 of good rows among the labelled ones (1 without any).
 """
@@ -130,7 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Train on the driver from the bounded sample, of at most ``MOST_BYTES``: two dictionaries and a few numbers."""
     rows = labelled(docs, labels, doc_id, text).withColumn("size", F.octet_length("text"))
     rows = rows.filter(F.col("size") <= MOST_BYTES // (2 * PER_KIND))
-    return train(rows.drop("size").toPandas())
+    once = rows.groupBy("doc_id", "quality", "order").agg(F.min("text").alias("text"))
+    return train(once.toPandas())
 
 
 def score(model: Model, text: str = "text") -> Column:

@@ -180,8 +180,10 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str, most: int = ITEM_
     """The items in blocks of about ``most`` bytes, each small enough to be sent to every task.
 
     The table is measured first; there are as many blocks as its size asks for.
+    Equal items count once, so copies of one cannot fill a block.
     """
     named = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
+    named = staged(named.distinct(), "items")
     size = named.agg(F.sum(F.octet_length("item") + F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
     blocks = size // most + 1
     for block in range(blocks):

@@ -210,13 +210,18 @@ def _texts(reps: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
 
 
 def _within_shards(texts: DataFrame, sizes: Sizes) -> DataFrame:
-    """Repeated windows of each text by the suffix array of its shard; fingerprints where an anchor has several shards."""
+    """Repeated windows of each text by the suffix array of its shard; fingerprints where an anchor has several shards.
+
+    Equal rows of the input bring a text once each; the first is enough.
+    """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple] = []
         size, group = 0, None
         for rows in rows_of(batches, "anchor", "content", "salt", "split", "text", most=512):
             for row in rows:
+                if shard and row[:2] == shard[-1][:2]:
+                    continue
                 if size >= sizes.shard and row[:1] + row[2:3] != group:
                     yield _judged(shard, sizes)
                     shard, size = [], 0
@@ -300,7 +305,8 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """Per document with a repeated string: key, size and its stretches of repeated windows.
 
     A stretch is a start and places relative to it, of the first window and of
-    the one beyond the last, in turn.
+    the one beyond the last, in turn. Equal rows bring the same stretches, which
+    are kept once.
     """
     keyed = with_key(docs, doc_id, text)
     found = recurring(runs(keyed, sizes))
@@ -325,7 +331,7 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     parts = judged.filter(F.size("spans") > 0).select("anchor", "content", "spans")
     marks = whole.unionAll(parts).unionAll(across)
     hit = found.select("anchor", "content", "key", "size", "start").join(marks, ["anchor", "content"])
-    return hit.groupBy("key", "size").agg(F.collect_list(F.struct("start", "spans")).alias("stretches"))
+    return hit.groupBy("key", "size").agg(F.collect_set(F.struct("start", "spans")).alias("stretches"))
 
 
 def covered(size: int, stretches: list[dict] | None, least: int) -> np.ndarray:

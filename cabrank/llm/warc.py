@@ -1,8 +1,8 @@
 """Pages as WARC archives: written in order by many tasks, and read back.
 
-Records are sorted by page id over ranges; each task writes its range, one gzip
-member for each record, and begins a new file when the compressed size passes a
-bound. Digests and headers are made anew from the payload. Of records with equal
+Records are sorted by page id, then digest, over ranges, so that an id of many
+pages spans several. Each task writes its range, one gzip member for each record,
+and begins a new file when the compressed size passes a bound. Digests and headers are made anew from the payload. Of records with equal
 payloads (of a given size at least) the one with the smallest page id is a
 response, the others are revisits that refer to it and carry no payload.
 
@@ -127,7 +127,7 @@ def write_archives(
             yield pa.RecordBatch.from_pydict({"file": [name], "records": [count], "bytes": [size], "crc32": [check]})
             number += 1
 
-    ranged = marked_pages(pages, page_id, url, html, least).repartitionByRange("page_id")
+    ranged = marked_pages(pages, page_id, url, html, least).repartitionByRange("page_id", "sha1")
     ordered = ranged.sortWithinPartitions("page_id", "sha1", F.desc("marker"), "url")
     return staged(ordered.mapInArrow(write, "file string, records long, bytes long, crc32 long"), "manifest")
 

@@ -1,6 +1,7 @@
 """The operators' results worked out in the plainest way, on small tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -99,3 +100,9 @@ def linked(rows, distance=2):
         if key is not None:
             smallest[root(fp)] = min(key, smallest.get(root(fp), key))
     return [smallest.get(root(fp)) for _, fp in rows]
+
+
+def prose(seed, n):
+    made = random.Random(seed)
+    words = ["".join(made.choice("abcdeé") for _ in range(made.randint(1, 9))) for _ in range(400)]
+    return " ".join(made.choice(words) + made.choice(["", "", "", ".", ",\n"]) for _ in range(n))

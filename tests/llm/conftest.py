@@ -1,4 +1,3 @@
-import random
 import sys
 from pathlib import Path
 
@@ -6,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from brute import prose  # noqa: E402
+
 DOC_TYPES = (
     "doc_id long, text string, lang string, source string, n_chars long, `key` string, size int, fp string, `row` int,"
     " words string, hash string, place int, shard int, anchor int, length int, best int"
@@ -13,12 +14,6 @@ DOC_TYPES = (
 EXTRA = ("k", 1, "f", 2, "w", "h", 3, 4, 5, 6, 7)
 
 
-def prose(seed, n):
-    made = random.Random(seed)
-    words = ["".join(made.choice("abcdeé") for _ in range(made.randint(1, 9))) for _ in range(400)]
-    return " ".join(made.choice(words) + made.choice(["", "", "", ".", ",\n"]) for _ in range(n))
-
-
 def edge_texts():
     base, other = prose(1, 120), prose(2, 90)
     return [

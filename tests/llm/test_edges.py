@@ -3,6 +3,7 @@
 import brute
 import duckdb
 import pytest
+from brute import prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -12,7 +13,7 @@ from cabrank.llm.lengths import at_limits, length_histogram, quantiles
 from cabrank.llm.ordering import Layout, read_order, training_order, write_order
 from cabrank.llm.packing import pack_documents
 from cabrank.llm.phrases import contamination, uncontaminated
-from cabrank.llm.repeats import Sizes, dedup, without_repeats
+from cabrank.llm.repeats import Sizes, dedup, repeated_windows, without_repeats
 from cabrank.llm.rules import judge, keep
 from cabrank.llm.simhash import near_copies, one_of_each
 from cabrank.llm.urls import judge_urls
@@ -218,3 +219,22 @@ def test_stage_columns(spark, edge, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == edge.columns, name
+
+
+def test_many_equal_rows(spark):
+    """One row over and over, and another with one of its passages."""
+    text, other = prose(21, 80), prose(22, 40)
+    rows = [(1, text)] * 300 + [(2, other + text[100:340] + other), (3, prose(23, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected = [(key, *found) for (key, _), found in zip(rows, brute.removed([t for _, t in rows]), strict=True)]
+    same(map(tuple, dedup(docs).collect()), expected)
+    assert max(len(r.stretches) for r in repeated_windows(docs).collect()) <= len(text)
+    assert sorted((r.doc_id, r.text) for r in one_of_each(docs).collect()) == sorted(set(rows))
+    items = [(7, " ".join(text.split()[5:30]))] * 200 + [(8, "no such words")]
+    found = {tuple(r) for r in contamination(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert {row[0] for row in found if row[-1]} == {1} | ({2} if brute.contamination(rows[300:301], items)[0][-1] else set())
+    pages = spark.createDataFrame([(4, f"http://{n}.com/", "x" * (n % 3)) for n in range(300)], "page_id long, url string, html string")
+    kinds = archive_pages(pages).groupBy("payload_bytes", "record_type").count().collect()
+    assert sorted(map(tuple, kinds)) == sorted((n, kind, many) for n in range(3) for kind, many in (("response", 1), ("revisit", 99)))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], LABELS)
+    assert classify(docs, labels).count() == len(rows)
