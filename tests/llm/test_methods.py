@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import zlib
 from collections import Counter
 
 import brute
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cabrank.llm import phrases, sql
+from cabrank.llm import compression, phrases, sql
 from cabrank.llm.components import components
 from cabrank.llm.ordering import permute
 from cabrank.llm.packing import Capacity, fit
@@ -223,3 +224,35 @@ def test_rules_on_every_kind_of_white_space(spark):
     expected = con.execute(sql.QUALITY).fetchall()
     got = judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_long_texts_train_too(spark):
+    """Every sampled text is in the sample, whatever its length, and a curve of long texts only tells them apart."""
+    rows = [(i, brute.prose(i, 6000) if i % 2 else f"junk {i} click here now " * 2000) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    sample = compression.labelled(docs, labels).collect()
+    assert min(len(r.text) for r in sample) > 30_000
+    assert len(sample) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40))
+    judged = compression.classify(docs, labels).collect()
+    assert [r.predicted for r in sorted(judged)] == [i % 2 for i in range(40)]
+
+
+def test_documents_that_are_all_held_out_are_an_error(spark):
+    out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    docs = spark.createDataFrame([(i, brute.prose(i, 60)) for i in range(out + 5)], "doc_id long, text string")
+    marks = [(i, int(i != out), 0) for i in range(out + 5)]
+    with pytest.raises(ValueError, match="held out"):
+        compression.fit(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+
+
+@pytest.mark.parametrize("most", [8, 9, 40, 1000])
+def test_pieces_come_from_the_whole_of_a_text(most):
+    raws = [bytes([i]) * n for i, n in enumerate((0, 1, 2048, 2049, 60_000, 200_000))]
+    each = compression.allowance([len(raw) for raw in raws], most)
+    parts = [compression.pieces(raw, each, i) for i, raw in enumerate(raws)]
+    assert all(parts[1:]) and sum(map(len, parts)) <= most
+    assert most < 1000 or [b"".join(p) for p in parts] == raws
+    raw = b"".join(b"%09d " % i for i in range(50_000))
+    starts = [int(part.split()[1]) for part in compression.pieces(raw, 40, 7)]
+    assert starts == sorted(starts) and len(starts) == 40 and starts[0] < 10_000 and starts[-1] > 40_000
