@@ -6,7 +6,8 @@ into groups of a bounded number of rows, and each group is packed on its own:
 pieces in decreasing length, each into the open sequence with room in every
 capacity (tokens, documents, attention cost, which is the sum of squared piece
 lengths) that is left with the smallest weighted residual norm, or that has the
-largest weighted dot product of demand and residual.
+largest weighted dot product of demand and residual. A piece that is too dear
+for the cost alone gets a sequence of its own.
 
 A group ends with a few sequences that are not full; with 20,000 pieces a group
 that is far below a thousandth of them. NULL text is an empty document of one
@@ -36,7 +37,14 @@ GROUP_PIECES = 20_000
 
 @dataclass(frozen=True)
 class Capacity:
-    """Limits of a sequence and the weights of each in the choice; cost is the sum of squared lengths."""
+    """Limits of a sequence and the weights of each in the choice; cost is the sum of squared lengths.
+
+    At the values that the contract fixes, only the tokens refuse a piece: a
+    piece has a token at least, and a sum of squares is at most the square of the
+    sum. The other two limits then act through their weights alone. They refuse
+    pieces where a caller sets fewer documents than tokens, or a cost below the
+    square of the tokens.
+    """
 
     tokens: int = 2048
     documents: int = 2048
@@ -47,8 +55,6 @@ class Capacity:
     def __post_init__(self) -> None:
         if min(self.tokens, self.documents, self.cost) < 1 or self.choice not in ("norm", "dot"):
             raise ValueError("capacities must be positive and the choice norm or dot")
-        if self.cost < self.tokens**2:
-            raise ValueError("a piece of full length must fit into an empty sequence")
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokens: int = 2048, path: str = RANKS) -> DataFrame:
@@ -102,7 +108,7 @@ def fit(lengths: np.ndarray, room: Capacity) -> tuple[np.ndarray, np.ndarray]:
             live, opened = live + 1, opened + 1
         bins[item], offsets[item] = number[at], room.tokens - left[0, at]
         left[:, at] -= need[:, 0]
-        if left[0, at] < smallest or left[1, at] < 1:
+        if left[0, at] < smallest or left[1, at] < 1 or left[2, at] < smallest * smallest:
             live -= 1
             left[:, at], number[at] = left[:, live], number[live]
     return bins, offsets

@@ -94,6 +94,21 @@ def test_every_capacity_holds(lengths, documents, choice):
         assert sum(n for _, n in own) <= 64
 
 
+@pytest.mark.parametrize("choice", ["norm", "dot"])
+def test_cost_below_the_square_of_the_tokens(choice):
+    """A cost that binds before the tokens do; pieces beyond it are alone, and the others share sequences within it."""
+    lengths = np.array([60, 50, 50, 40, 30, 30, 20, 10, 10, 5, 1] * 20)
+    room = Capacity(tokens=100, cost=2500, choice=choice)
+    bins, offsets = fit(lengths, room)
+    own = [lengths[bins == b] for b in range(bins.max() + 1)]
+    assert all(len(x) == 1 or (x**2).sum() <= room.cost and x.sum() <= room.tokens for x in own)
+    assert all(len(x) == 1 for x in own if x.max() >= 50)
+    assert len(own) < len(lengths) and any((x**2).sum() == room.cost and len(x) > 1 for x in own)
+    for b, x in enumerate(own):
+        at = np.argsort(offsets[bins == b])
+        assert offsets[bins == b][at].tolist() == [0, *x[at].cumsum()[:-1]]
+
+
 def test_tight_packing():
     lengths = np.random.default_rng(1).integers(1, 2049, 5000)
     lengths[::2] = lengths[::2] % 300 + 1
