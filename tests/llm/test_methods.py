@@ -18,7 +18,7 @@ from cabrank.llm.components import components
 from cabrank.llm.ordering import permute
 from cabrank.llm.packing import Capacity, fit
 from cabrank.llm.repeats import SCAN_BYTES, Sizes, _pieces, dedup
-from cabrank.llm.rules import RULES, judge
+from cabrank.llm.rules import RULES, SAMPLE_BYTES, Rule, drawn, judge, ordered
 from cabrank.llm.simhash import links
 from cabrank.llm.suffixes import Buffer, common_prefixes, repeated, suffix_order
 from cabrank.llm.urls import build_cascade, judge_urls, listed
@@ -271,3 +271,20 @@ def test_pieces_come_from_the_whole_of_a_text(most):
     raw = b"".join(b"%09d " % i for i in range(50_000))
     starts = [int(part.split()[1]) for part in compression.pieces(raw, 40, 7)]
     assert starts == sorted(starts) and len(starts) == 40 and starts[0] < 10_000 and starts[-1] > 40_000
+
+
+def test_sample_of_the_rules(spark, tmp_path):
+    """Texts of all files and any length, and no more than asked for."""
+    for n in range(4):
+        rows = [(i, f"file{n} " + "é" * (90_000 if i % 10 == 0 else 9)) for i in range(1000 * n, 1000 * n + 1000)]
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d/n={n}")
+    texts = [r.text for r in drawn(spark.read.parquet(f"{tmp_path}/d").select("doc_id", "text"), rows=100).collect()]
+    assert len(texts) == 100 and {t[:5] for t in texts if t[:4] == "file"} == {f"file{n}" for n in range(4)}
+    assert max(map(len, texts)) == SAMPLE_BYTES // 4
+
+
+def test_cheap_rules_come_first(spark):
+    docs = spark.createDataFrame([(i, brute.prose(i, 900)) for i in range(60)], "doc_id long, text string")
+    dear = Rule("dear", r"length(regexp_replace(regexp_replace({text}, '[a-c]+', 'x'), '(x|d)+', '')) >= 0")
+    never, cheap = Rule("never", "n_words < 0"), Rule("cheap", "n_words > 0")
+    assert [r.name for r in ordered(docs, (never, dear, cheap))] == ["cheap", "dear", "never"]
