@@ -62,3 +62,35 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
         or 10 * len(regexp_extract_all(text, '!!+')) > 3 * n_words) as kept
 from judged
 """
+
+DIVERGENCE = r"""
+with docs as (
+    select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+words as (select doc, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term, count(*) as n from words group by lang, term having count(distinct doc) >= 10),
+counts as (select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all),
+langs as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+sizes as (
+    select g.lang, g.source, coalesce(sum(n), 0) as total
+    from (select distinct lang, source from docs) g left join counts using (lang, source) group by all),
+shares as (
+    select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+        1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (s.total + 2 * v)::hugeint as p,
+        1 + (1000000000::hugeint * (k.n + 2)) // (l.total + 2 * v)::hugeint as q
+    from sizes s join langs l using (lang) join kept k using (lang) left join counts c using (lang, source, term)),
+sums as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from shares a join shares b using (lang, term) where a.source <> b.source group by all),
+found as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+    from sizes a join sizes b using (lang) left join sums s
+        on s.lang = a.lang and s.source = a.source and s.item = b.source
+    where a.source <> b.source
+    union all
+    select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from shares where n > 0 and p > q)
+select lang, source, part, item, value,
+    row_number() over (partition by lang, source, part order by value desc, item)::integer as rank
+from found qualify part = 'pair' or rank <= 10
+"""
