@@ -41,8 +41,9 @@ from cabrank.llm.common import text_blocks
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CHUNKS, PAIRS = 200_000, 1_000_000  # entries of the memories
+CHUNKS, PAIRS = 400_000, 1_000_000  # entries of the memories
 CHUNK_CHARACTERS = 64  # longer ones are not kept
+NEVER = float("-inf")
 
 
 class Pieces:
@@ -61,10 +62,11 @@ class Pieces:
         self.numbers = {p.piece: n for n, p in normal}
         self.bytes = [self.library.piece_to_id(f"<0x{x:02X}>") for x in range(256)]
         self.in_chunks = not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.scores)
-        reachable = [p for p in self.scores if self.merged(p) == [p]]
-        self.shorter = dict.fromkeys(reachable)
+        histories = ((p, self.merging(p)) for p in self.scores)
+        self.histories = {p: steps for p, steps in histories if steps[-1][1] == p}
+        self.shorter: dict[str, str | None] = dict.fromkeys(self.histories)
         self.longest = ahocorasick.Automaton()
-        for piece in reachable:
+        for piece in self.histories:
             self.longest.add_word(piece[::-1], len(piece))
             prefixes = (piece[:n] for n in range(len(piece) - 1, 0, -1))
             self.shorter[piece] = next((p for p in prefixes if p in self.shorter), None)
@@ -72,38 +74,60 @@ class Pieces:
         self.chunks: dict[str, list[int]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
-    def merged(self, text: str, cut: int = -1) -> list[str] | None:
-        """The parts that merging leaves of a short text; None if a merge crosses the cut."""
-        parts, ends = list(text), list(range(1, len(text) + 1))
-        score = self.scores.get
-        ranks = [score(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while any(r is not None for r in ranks):
-            at = max((i for i, r in enumerate(ranks) if r is not None), key=lambda i: (ranks[i], -i))
-            if ends[at] == cut:
-                return None
+    def merging(self, text: str) -> list[tuple[float, str, str]]:
+        """How a short text is merged: before each merge its score, and the first and last part; what is left in the end."""
+        parts, score, steps = list(text), self.scores.get, []
+        ranks = [score(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and max(ranks) > NEVER:
+            at = ranks.index(max(ranks))
+            steps.append((ranks[at], parts[0], parts[-1]))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del ends[at], ranks[at]
+            del ranks[at]
             if at < len(ranks):
-                ranks[at] = score(parts[at] + parts[at + 1])
+                ranks[at] = score(parts[at] + parts[at + 1], NEVER)
             if at:
-                ranks[at - 1] = score(parts[at - 1] + parts[at])
-        return parts
+                ranks[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+        return [*steps, (NEVER, parts[0], parts[-1])]
 
     def compatible(self, a: str, b: str) -> bool:
-        """Whether two pieces stay apart when their join is merged anew."""
+        """Whether two pieces stay apart when their join is merged anew.
+
+        Until a merge crosses their border, each is merged as on its own, so the
+        two histories are run side by side, the better merge (the left one of
+        equals) first, and the parts at the border are tried at every step.
+        """
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(a + b, len(a)) == [a, b]
+            known = self.pairs[a, b] = self._stay_apart(self._history(a), self._history(b))
         return known
 
+    def _history(self, piece: str) -> list[tuple[float, str, str]]:
+        return self.histories.get(piece) or [(NEVER, piece, piece)]
+
+    def _stay_apart(self, left: list[tuple[float, str, str]], right: list[tuple[float, str, str]]) -> bool:
+        i = j = 0
+        while True:
+            before, _, a = left[i]
+            after, b, _ = right[j]
+            across = self.scores.get(a + b, NEVER)
+            if across > before and across >= after:
+                return False
+            if before == after == NEVER:
+                return True
+            if before >= after:
+                i += 1
+            else:
+                j += 1
+
     def parts(self, text: str) -> list[str]:
         """The pieces of a normalised text, by backtracking; characters that no piece holds stand for themselves."""
         n = len(text)
         lengths = array("i", [1]) * n
         for end, length in self.longest.iter(text[::-1]):
-            lengths[n - 1 - end] = max(lengths[n - 1 - end], length)
+            if length > lengths[n - 1 - end]:
+                lengths[n - 1 - end] = length
         failed = bytearray(n // 8 + 1)
         found: list[str] = []
         at, piece = 0, text[: lengths[0]] if n else None
