@@ -44,6 +44,8 @@ SPACE = "▁"
 CHUNKS, PAIRS = 400_000, 1_000_000  # entries of the memories
 CHUNK_CHARACTERS = 64  # longer ones are not kept
 NEVER = float("-inf")
+NONE = -1
+OTHER = "\0\0"  # for a character of no piece; in no piece itself
 
 
 class Pieces:
@@ -59,20 +61,30 @@ class Pieces:
             raise ValueError("the model has symbols of its own or unused pieces")
         normal = [(n, p) for n, p in enumerate(model.pieces) if p.type == kinds.NORMAL]
         self.scores = {p.piece: p.score for _, p in normal}
-        self.numbers = {p.piece: n for n, p in normal}
         self.bytes = [self.library.piece_to_id(f"<0x{x:02X}>") for x in range(256)]
         self.in_chunks = not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.scores)
-        histories = ((p, self.merging(p)) for p in self.scores)
-        self.histories = {p: steps for p, steps in histories if steps[-1][1] == p}
-        self.shorter: dict[str, str | None] = dict.fromkeys(self.histories)
+        # Parts are numbered: pieces by their ids, then characters that occur in pieces only, then any other character.
+        inner = sorted({x for piece in self.scores for x in piece} - set(self.scores))
+        self.pieces = len(model.pieces)
+        self.other = self.pieces + len(inner)
+        self.histories = [[(NEVER, OTHER, OTHER)]] * (self.other + 1)
+        self.sizes = [1] * (self.other + 1)
+        self.shorter = [NONE] * (self.other + 1)
         self.longest = ahocorasick.Automaton()
-        for piece in self.histories:
-            self.longest.add_word(piece[::-1], len(piece))
-            prefixes = (piece[:n] for n in range(len(piece) - 1, 0, -1))
-            self.shorter[piece] = next((p for p in prefixes if p in self.shorter), None)
+        numbers: dict[str, int] = {}
+        for number, part in [*enumerate(inner, self.pieces), *((n, p.piece) for n, p in normal)]:
+            history = self.merging(part)
+            if history[-1][1] == part:
+                numbers[part] = number
+                self.histories[number] = history
+                self.sizes[number] = len(part)
+                self.longest.add_word(part[::-1], number)
+        for part, number in numbers.items():
+            prefixes = (part[:n] for n in range(len(part) - 1, 0, -1))
+            self.shorter[number] = next((numbers[p] for p in prefixes if p in numbers), NONE)
         self.longest.make_automaton()
         self.chunks: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def merging(self, text: str) -> list[tuple[float, str, str]]:
         """How a short text is merged: before each merge its score, and the first and last part; what is left in the end."""
@@ -89,22 +101,17 @@ class Pieces:
                 ranks[at - 1] = score(parts[at - 1] + parts[at], NEVER)
         return [*steps, (NEVER, parts[0], parts[-1])]
 
-    def compatible(self, a: str, b: str) -> bool:
-        """Whether two pieces stay apart when their join is merged anew.
+    def compatible(self, a: int, b: int) -> bool:
+        """Whether two parts stay apart when their join is merged anew.
 
         Until a merge crosses their border, each is merged as on its own, so the
         two histories are run side by side, the better merge (the left one of
         equals) first, and the parts at the border are tried at every step.
         """
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self._stay_apart(self._history(a), self._history(b))
-        return known
-
-    def _history(self, piece: str) -> list[tuple[float, str, str]]:
-        return self.histories.get(piece) or [(NEVER, piece, piece)]
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        apart = self.pairs[a << 32 | b] = self._stay_apart(self.histories[a], self.histories[b])
+        return apart
 
     def _stay_apart(self, left: list[tuple[float, str, str]], right: list[tuple[float, str, str]]) -> bool:
         i = j = 0
@@ -121,40 +128,48 @@ class Pieces:
             else:
                 j += 1
 
-    def parts(self, text: str) -> list[str]:
-        """The pieces of a normalised text, by backtracking; characters that no piece holds stand for themselves."""
-        n = len(text)
-        lengths = array("i", [1]) * n
-        for end, length in self.longest.iter(text[::-1]):
-            if length > lengths[n - 1 - end]:
-                lengths[n - 1 - end] = length
+    def parts(self, text: str) -> list[int]:
+        """The parts of a normalised text, by backtracking."""
+        n, last = len(text), NONE
+        longest = array("i", [self.other]) * n
+        for end, number in self.longest.iter(text[::-1]):
+            if end != last:  # the longest of an end comes first
+                longest[n - 1 - end] = number
+                last = end
+        sizes, shorter, known = self.sizes, self.shorter, self.pairs.get
         failed = bytearray(n // 8 + 1)
-        found: list[str] = []
-        at, piece = 0, text[: lengths[0]] if n else None
+        found: list[int] = []
+        at, before, part = 0, NONE, longest[0] if n else NONE
         while at < n:
-            end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not found or self.compatible(found[-1], piece)):
-                found.append(piece)
-                at = end
-                piece = text[at : at + lengths[at]] if at < n else None
-                continue
-            piece = self.shorter.get(piece)
-            while piece is None:
+            end = at + sizes[part]
+            if not failed[end >> 3] >> (end & 7) & 1:
+                fits = before == NONE or known(before << 32 | part)
+                if fits is None:
+                    fits = self.compatible(before, part)
+                if fits:
+                    found.append(part)
+                    at, before = end, part
+                    part = longest[at] if at < n else NONE
+                    continue
+            part = shorter[part]
+            while part == NONE:
                 failed[at >> 3] |= 1 << (at & 7)
                 back = found.pop()
-                at -= len(back)
-                piece = self.shorter.get(back)
+                at -= sizes[back]
+                before, part = found[-1] if found else NONE, shorter[back]
         return found
 
     def numbers_of(self, text: str) -> list[int]:
         """Ids of a normalised text."""
+        found = self.parts(text)
+        if max(found, default=0) < self.pieces:
+            return found
         out: list[int] = []
-        for part in self.parts(text):
-            number = self.numbers.get(part)
-            if number is None:
-                out.extend(self.bytes[x] for x in part.encode())
-            else:
-                out.append(number)
+        at = 0
+        for part in found:
+            end = at + self.sizes[part]
+            out.extend([part] if part < self.pieces else [self.bytes[x] for x in text[at:end].encode()])
+            at = end
         return out
 
     def encode(self, text: str | None) -> list[int]:
