@@ -49,6 +49,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage_table(df, shared_folder(df.sparkSession, name))
 
 
+def tasks_for(df: DataFrame, files: int) -> int:
+    """How many tasks write or read so many files: the session's shuffle partitions, or one for each if those are more."""
+    return max(1, min(files, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_BYTES) -> Iterator[tuple]:
     """Blocks of rows with at most so many bytes of text, a longer text being a block of its own.
 

@@ -5,7 +5,7 @@ tokens of at least that length, and the tokens that remain if every document is
 cut to that length. From these rows totals, quantiles and truncated totals
 follow for any context limit without another pass over the corpus.
 
-NULL text has length 0. An empty table gives no rows. Equal rows count each.
+NULL text has length 0. A very long text is tokenised whole, whatever it is made of. An empty table gives no rows. Equal rows count each.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cabrank.llm.common import staged
-from cabrank.llm.tokens import RANKS, encoder
+from cabrank.llm.tokens import RANKS, encode
 
 SPAN = 1024
 
@@ -28,8 +28,7 @@ def encoded_lengths(docs: DataFrame, text: str = "text", path: str = RANKS) -> D
 
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
-        encode = encoder(path).encode_ordinary
-        return pd.Series([len(encode(x)) if x else 0 for x in texts], dtype="int64")
+        return pd.Series([len(encode(x, path)) for x in texts], dtype="int64")
 
     return docs.select(count(F.col(text)).alias("length"))
 

@@ -14,7 +14,8 @@ file, and reading can resume at any slot.
 
 A record: document id and token count (little-endian 64 and 32 bits), piece
 number (32 bits), then the ids in 16 bits each, filled up with ``PAD``. Empty and
-NULL texts have no sequence. A NULL id is written as ``NO_ID``. Equal rows are
+NULL texts have no sequence; a very long text is tokenised whole, so a task holds
+its ids. Ids of documents are cast to long, and fail where they are no numbers. A NULL id is written as ``NO_ID``. Equal rows are
 sequences of their own. An empty table writes no shard.
 
 The documents must come in the same places whenever they are read, as a table of
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cabrank.llm.common import staged
+from cabrank.llm.common import staged, tasks_for
 from cabrank.llm.storage import committed, open_folder
 from cabrank.llm.tokens import RANKS, rows_of, token_ids
 from cabrank.sinks.reports import shared_folder
@@ -141,7 +142,9 @@ def sequences(docs: DataFrame, layout: Layout, numbering: Numbering, path: str =
 def write_order(docs: DataFrame, uri: str, layout: Layout = Layout(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the shards below ``uri``; one row for each: shard, file, first slot, records, CRC-32 of the file.
 
-    Each task sorts the sequences of one shard and streams them into its file. The manifest is staged when all shards are in place; files that it
+    A task has a range of shards, sorts their sequences and writes one file after
+    the other; there are as many tasks as shuffle partitions, or shards if those
+    are fewer. The manifest is staged when all shards are in place; files that it
     does not list do not count.
     """
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -161,9 +164,9 @@ def write_order(docs: DataFrame, uri: str, layout: Layout = Layout(), doc_id: st
         if records:
             yield _store(uri, shard, records)
 
-    dealt = sequences(named, layout, numbering).repartitionById(
-        -(-numbering.size // numbering.width), F.col("shard").cast("int")
-    )
+    shards = -(-numbering.size // numbering.width)
+    tasks = tasks_for(docs, shards)
+    dealt = sequences(named, layout, numbering).repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
     written = dealt.sortWithinPartitions("shard", "number").mapInArrow(write, "shard long, file string, records long, crc32 long")
     return staged(with_starts(staged(written, "shards")), "manifest")
 
@@ -208,7 +211,7 @@ def read_order(manifest: DataFrame, uri: str, layout: Layout = Layout(), start:
                         yield _records(stream.read_at(many * layout.stride, at * layout.stride), shard, first, at, layout)
 
     schema = "slot long, doc_id long, piece int, n_tokens int, ids_crc32 long, shard long, position long"
-    return wanted.repartition(max(1, wanted.count()), "shard").mapInArrow(read, schema)
+    return wanted.repartition(tasks_for(wanted, wanted.count()), "shard").mapInArrow(read, schema)
 
 
 def _records(content: bytes, shard: int, first: int, at: int, layout: Layout) -> pa.RecordBatch:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,8 +12,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+from tokenizers import Tokenizer
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The quick encoder's stack holds about ten times as long a run of white space.
+BLANKS = 100_000
+LONG_BLANK = re.compile(rf"\s{{{BLANKS}}}")
 
 
 @lru_cache(maxsize=4)
@@ -23,9 +29,29 @@ def encoder(path: str = RANKS) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def whole_tokenizer(path: str = VOCABULARY) -> Tokenizer:
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    return tokenizer
+
+
+def encode(text: str | None, path: str = RANKS, vocabulary: str = VOCABULARY) -> list[int]:
+    """Ids of a whole text; NULL is empty. Special strings inside a text are ordinary text.
+
+    A long run of white space overflows the stack of the quick encoder, which
+    matches by backtracking there; such a text goes to ``tokenizers`` with the
+    same vocabulary, whose ids are the same.
+    """
+    if not text:
+        return []
+    if len(text) >= BLANKS and LONG_BLANK.search(text):
+        return whole_tokenizer(vocabulary).encode(text, add_special_tokens=False).ids
+    return encoder(path).encode_ordinary(text)
+
+
 def token_ids(text: str | None, path: str = RANKS) -> np.ndarray:
-    """Ids of a whole text; NULL is empty. Special strings inside a text are ordinary text."""
-    return np.frombuffer(array("I", encoder(path).encode_ordinary(text) if text else ()), np.uint32)
+    return np.frombuffer(array("I", encode(text, path)), np.uint32)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str, most: int = 256) -> Iterator[list[tuple]]:

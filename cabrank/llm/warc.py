@@ -2,9 +2,10 @@
 
 Records are sorted by page id, then digest, over ranges, so that an id of many
 pages spans several. Each task writes its range, one gzip member for each record,
-and begins a new file when the compressed size passes a bound. Digests and headers are made anew from the payload. Of records with equal
-payloads (of a given size at least) the one with the smallest page id is a
-response, the others are revisits that refer to it and carry no payload.
+and begins a new file when the compressed size passes a bound. Digests and headers
+are made anew from the payload. Of records with equal payloads (of a given size at
+least) the one with the smallest page id is a response, the others are revisits
+that refer to it, by record id and URL, and carry no payload.
 
 A file gets its name only when it is whole, and counts only once the manifest
 lists it, so a lost or repeated task leaves nothing that a reader would see.
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabrank.llm.common import staged
+from cabrank.llm.common import staged, tasks_for
 from cabrank.llm.storage import committed, open_folder
 from cabrank.llm.tokens import rows_of
 from cabrank.sinks.reports import shared_folder
@@ -55,7 +56,7 @@ def record(kind: str, headers: list[tuple[str, object]], block: bytes) -> bytes:
     """One record as a gzip member of its own. Headers without a value are left out; line breaks in one are escaped."""
     lines = [("WARC-Type", kind), ("WARC-Date", DATE), *headers, ("Content-Length", len(block))]
     text = "".join(
-        f"{name}: {str(value).replace('%', '%25').replace(chr(13), '%0D').replace(chr(10), '%0A') if name == 'WARC-Target-URI' else value}\r\n"
+        f"{name}: {str(value).replace('%', '%25').replace(chr(13), '%0D').replace(chr(10), '%0A') if name.endswith('Target-URI') else value}\r\n"
         for name, value in lines
         if value is not None
     )
@@ -63,7 +64,9 @@ def record(kind: str, headers: list[tuple[str, object]], block: bytes) -> bytes:
     return packer.compress(b"WARC/1.1\r\n" + text.encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes, response: bool, refers_to: int | None) -> bytes:
+def page_record(
+    page_id: int | None, url: str | None, payload: bytes, response: bool, refers_to: int | None = None, refers_url: str | None = None
+) -> bytes:
     own = digest(payload)
     head = HTTP % len(payload)
     shared: list[tuple[str, object]] = [
@@ -77,12 +80,18 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, response:
     if response:
         block = head + payload
         return record("response", [*shared, ("WARC-Block-Digest", f"sha1:{digest(block)}")], block)
-    more = [("WARC-Profile", PROFILE), ("X-Refers-To-Page", refers_to), ("WARC-Block-Digest", f"sha1:{digest(head)}")]
+    more = [
+        ("WARC-Profile", PROFILE),
+        ("WARC-Refers-To", record_id(refers_to, refers_url, own)),
+        ("WARC-Refers-To-Target-URI", refers_url),
+        ("X-Refers-To-Page", refers_to),
+        ("WARC-Block-Digest", f"sha1:{digest(head)}"),
+    ]
     return record("revisit", [*shared, *more], head)
 
 
 def marked_pages(pages: DataFrame, page_id: str, url: str, html: str, least: int) -> DataFrame:
-    """Pages, and a marker in front of each whose payload occurs again: the smallest id that has it.
+    """Pages, and a marker in front of each whose payload occurs again: the smallest id that has it, and its URL.
 
     Markers are found on ids and digests alone, folded by digest in each task
     first; staged, they let the join deal a popular digest over several tasks.
@@ -92,10 +101,14 @@ def marked_pages(pages: DataFrame, page_id: str, url: str, html: str, least: int
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     named = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
     named = named.withColumn("sha1", F.sha1("payload"))
-    digests = named.filter(F.octet_length("payload") >= least).select("page_id", "sha1")
-    firsts = digests.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    markers = digests.join(staged(firsts.drop("n"), "firsts"), "sha1").distinct()
-    return named.withColumns({"first": F.lit(None).cast("long"), "marker": F.lit(False)}).unionByName(
+    digests = named.filter(F.octet_length("payload") >= least).select("page_id", "sha1", "url")
+    known = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url")))
+    unknown = F.min(F.struct(F.lit(None).cast("long").alias("page_id"), "url"))
+    firsts = digests.groupBy("sha1").agg(F.coalesce(known, unknown).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    firsts = firsts.select("sha1", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"))
+    markers = digests.drop("url").join(staged(firsts, "firsts"), "sha1").distinct()
+    none = {"first": F.lit(None).cast("long"), "first_url": F.lit(None).cast("string"), "marker": F.lit(False)}
+    return named.withColumns(none).unionByName(
         markers.withColumn("marker", F.lit(True)), allowMissingColumns=True
     )
 
@@ -134,15 +147,15 @@ def write_archives(
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
     """Packed records of sorted pages. Rows equal in id and payload follow each other; the first is the response."""
-    marked, smallest, fresh = None, None, False
-    for rows in rows_of(batches, "page_id", "url", "payload", "sha1", "first", "marker", most=64):
-        for page_id, url, payload, sha1, first, marker in rows:
+    marked, smallest, its_url, fresh = None, None, None, False
+    for rows in rows_of(batches, "page_id", "url", "payload", "sha1", "first", "first_url", "marker", most=64):
+        for page_id, url, payload, sha1, first, first_url, marker in rows:
             if marker:
-                marked, smallest, fresh = (page_id, sha1), first, True
+                marked, smallest, its_url, fresh = (page_id, sha1), first, first_url, True
                 continue
             revisit = (page_id, sha1) == marked and not (fresh and page_id == smallest)
             fresh = False
-            yield page_record(page_id, url, payload, not revisit, smallest if revisit else None)
+            yield page_record(page_id, url, payload, not revisit, *((smallest, its_url) if revisit else ()))
 
 
 def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -186,7 +199,7 @@ def read_archives(manifest: DataFrame, uri: str) -> DataFrame:
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return manifest.repartition(max(1, manifest.count()), "file").mapInArrow(read, schema)
+    return manifest.repartition(tasks_for(manifest, manifest.count()), "file").mapInArrow(read, schema)
 
 
 def _described(headers: dict[str, str], block: bytes) -> tuple:

@@ -1,7 +1,11 @@
 """Every operator on NULLs, empty and long texts, ties, repeated rows, clashing columns and empty tables."""
 
+import random
+import zlib
+
 import brute
 import duckdb
+import numpy as np
 import pytest
 from brute import prose
 from pyspark.sql import functions as F
@@ -13,9 +17,10 @@ from cabrank.llm.lengths import at_limits, length_histogram, quantiles
 from cabrank.llm.ordering import Layout, read_order, training_order, write_order
 from cabrank.llm.packing import pack_documents
 from cabrank.llm.phrases import contamination, uncontaminated
-from cabrank.llm.repeats import Sizes, dedup, repeated_windows, without_repeats
+from cabrank.llm.repeats import Sizes, dedup, repeated_windows, with_key, without_repeats
 from cabrank.llm.rules import judge, keep
 from cabrank.llm.simhash import near_copies, one_of_each
+from cabrank.llm.tokens import token_ids
 from cabrank.llm.urls import judge_urls
 from cabrank.llm.warc import archive_pages
 
@@ -62,6 +67,24 @@ def test_order(spark, edge, edge_rows, tmp_path):
     same(some, [r for r in rows if 5 <= r.slot < 40])
 
 
+def test_long_white_space(spark, tmp_path):
+    """Runs of white space beyond the stack of the quick encoder, in all operators that count tokens."""
+    made = random.Random(5)
+    mixed = "".join(made.choice(" \t\n\r\u00a0\u3000") for _ in range(1_100_000))
+    rows = [(0, "a" + " " * 3_000_000 + "b"), (1, "\n" * 1_100_000), (2, "x" + "\t" * 1_100_000), (3, mixed), (4, "plain text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = {key: np.array(brute.token_ids(text), np.uint32) for key, text in rows}
+    for key, text in rows:
+        assert np.array_equal(token_ids(text), expected[key])
+    lengths = sorted(len(x) for x in expected.values())
+    same([r.length for r in length_histogram(docs).collect()], lengths)
+    cut = pack_documents(docs).groupBy("doc_id").agg(F.sum("length"), F.count("*")).collect()
+    same(map(tuple, cut), [(key, len(x) + 1, -(-(len(x) + 1) // 2048)) for key, x in expected.items()])
+    order = training_order(docs, Layout(length=4096, records=64)).collect()
+    parts = [(key, n, zlib.crc32(x[at : at + 4096].astype("<u2").tobytes())) for key, x in expected.items() for n, at in enumerate(range(0, len(x), 4096))]
+    same([(r.doc_id, r.piece, r.ids_crc32) for r in order], parts)
+
+
 def test_near_copies(edge, edge_rows):
     prints = [(key, brute.fingerprint(text)) for key, text in edge_rows]
     expected = [(k, f"{fp:016x}", root) for (k, fp), root in zip(prints, brute.linked(prints), strict=True)]
@@ -228,7 +251,7 @@ def test_many_equal_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     expected = [(key, *found) for (key, _), found in zip(rows, brute.removed([t for _, t in rows]), strict=True)]
     same(map(tuple, dedup(docs).collect()), expected)
-    assert max(len(r.stretches) for r in repeated_windows(docs).collect()) <= len(text)
+    assert max(len(r.stretches) for r in repeated_windows(with_key(docs, "doc_id", "text", "s"), Sizes(), "s").collect()) <= len(text)
     assert sorted((r.doc_id, r.text) for r in one_of_each(docs).collect()) == sorted(set(rows))
     items = [(7, " ".join(text.split()[5:30]))] * 200 + [(8, "no such words")]
     found = {tuple(r) for r in contamination(docs, spark.createDataFrame(items, ITEMS)).collect()}
