@@ -7,7 +7,9 @@ shard each term has one sorted list of positions; documents follow each other
 with an unused position in between, so no phrase crosses them.
 
 A phrase is found by intersecting the lists of its terms, each shifted by the
-term's offset in the phrase, from the rarest term on.
+term's offset in the phrase, from the rarest term on. The benchmark is stored in
+files of bounded size; each shard is opened once, and the files are taken through
+it one after the other, so neither the driver nor a task holds the whole of it.
 
 Words are runs of a-z (A-Z lower-cased), 0-9 and anything beyond ASCII. NULL
 texts have no words. A document row is known by its place in the index, so equal
@@ -19,20 +21,24 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
-from itertools import count
+from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import zstandard as zstd
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cabrank.llm.common import staged, text_blocks
+from cabrank.llm.storage import open_folder
 from cabrank.llm.tokens import rows_of
 from cabrank.operators.lookup import fits_broadcast
+from cabrank.sinks.reports import shared_folder, stage_table
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
@@ -176,31 +182,47 @@ def near_hits(shard: Shard, words: list[bytes], within: int) -> np.ndarray:
     return hits
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, most: int = ITEM_BYTES) -> Iterator[list[Item]]:
-    """The items in blocks of about ``most`` bytes, each small enough to be sent to every task.
+def store_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", most: int = ITEM_BYTES) -> str:
+    """Write the items under the shared folder in files of about ``most`` bytes of text; the folder.
 
-    The table is measured first; there are as many blocks as its size asks for.
-    Equal items count once, so copies of one cannot fill a block.
+    The table is measured first; there are as many files as its size asks for.
+    Equal items count once, so copies of one cannot fill a file.
     """
     named = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
-    named = staged(named.distinct(), "items")
+    named = staged(named.distinct(), "distinct")
     size = named.agg(F.sum(F.octet_length("item") + F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
-    blocks = size // most + 1
-    for block in range(blocks):
-        part = named.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        yield [(row.item, words_of((row.text or "").encode())) for row in part.toLocalIterator()]
+    folder = shared_folder(benchmark.sparkSession, "items")
+    stage_table(named.repartition(size // most + 1, "item", "text"), folder)
+    return folder
 
 
-def search(index: DataFrame, items: list[Item], window: int = WINDOW) -> DataFrame:
-    """Of every document of the index: words, covered words (as numbers within the document) and items found."""
+def item_blocks(folder: str) -> Iterator[list[Item]]:
+    """The stored items, the words of one file at a time."""
+    system, path = open_folder(folder)
+    for file in sorted(file.path for file in system.get_file_info(fs.FileSelector(path))):
+        if file.endswith(".parquet"):
+            yield _block(folder, file)
+
+
+@lru_cache(maxsize=1)
+def _block(folder: str, file: str) -> list[Item]:
+    """Kept until the next file, so that items of a single file are read once by a worker."""
+    rows = pq.read_table(file, filesystem=open_folder(folder)[0]).to_pylist()
+    return [(row["item"], words_of((row["text"] or "").encode())) for row in rows]
+
+
+def search(index: DataFrame, items: str, window: int = WINDOW) -> DataFrame:
+    """Of every document of the index: words, covered words (as numbers within the document) and items found.
+
+    A task opens a shard once and takes the stored items through it, a file at a time.
+    """
     id_type = index.schema["doc_ids"].dataType.elementType
-    known = index.sparkSession.sparkContext.broadcast(items)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, ids, counts, shard in opened(batches):
             hits: list[list[np.ndarray]] = [[] for _ in ids]
             found: list[set[str]] = [set() for _ in ids]
-            for item, words in known.value:
+            for item, words in chain.from_iterable(item_blocks(items)):
                 covered = phrase_hits(shard, words, window)
                 if len(covered):
                     documents = shard.documents(covered)
@@ -221,14 +243,13 @@ def search(index: DataFrame, items: list[Item], window: int = WINDOW) -> DataFra
     return index.mapInArrow(look, schema)
 
 
-def near(index: DataFrame, items: list[Item], within: int) -> DataFrame:
-    """Proximity matches: document, item and word number of its rarest word, all its words lying that close."""
+def near(index: DataFrame, items: str, within: int) -> DataFrame:
+    """Proximity matches of stored items: document, item and word number of its rarest word, all its words lying that close."""
     id_type = index.schema["doc_ids"].dataType.elementType
-    known = index.sparkSession.sparkContext.broadcast(items)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, _, shard in opened(batches):
-            for item, words in known.value:
+            for item, words in chain.from_iterable(item_blocks(items)):
                 hits = near_hits(shard, words, within)
                 documents = shard.documents(hits)
                 columns = [
@@ -248,19 +269,12 @@ def contamination(
     text: str = "text",
     item_id: str = "item_id",
     window: int = WINDOW,
+    item_bytes: int = ITEM_BYTES,
 ) -> DataFrame:
     """Per document row: id, words, words hit, items found and whether anything was hit."""
     index = build_index(docs, doc_id, text)
-    blocks = [search(index, items, window) for items in item_blocks(benchmark, item_id, "text")]
-    merged = reduce(DataFrame.unionAll, blocks)
-    if len(blocks) > 1:
-        merged = merged.groupBy("shard", "place").agg(
-            F.first("doc_id").alias("doc_id"),
-            F.first("n_words").alias("n_words"),
-            F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        )
-    return merged.select(
+    found = search(index, store_items(benchmark, item_id, "text", item_bytes), window)
+    return found.select(
         "doc_id",
         "n_words",
         F.size("hits").cast("long").alias("n_hit"),
