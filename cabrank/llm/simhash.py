@@ -1,17 +1,26 @@
 """Near copies by 64-bit SimHash fingerprints that differ in few bits.
 
-Fingerprints are indexed by the bytes at their positions. With at most two
-differing bits, at least six of the eight bytes agree, and of the four pairs of
-neighbouring bytes at least two. So the postings are kept for two pairs at a time
-(six lists for each fingerprint; lists of single bytes would each hold a 256th of
-the corpus). Pairs that meet in a list get their agreeing bytes counted, those
-with fewer than six fall, and the rest are verified by their differing bits.
+Fingerprints are indexed by the bytes at their positions. A posting list belongs
+to some of the eight positions and the bytes there: lists of single bytes would
+each hold a 256th of the corpus. For up to three differing bits there are
+fourteen lists for each fingerprint, of four positions each: the quadruples of
+positions, as numbers of three bits, whose exclusive or is zero. Any three
+positions lie together in one of them, and every other pair, triple and so on
+equally often, so bits that differ spoil as few lists as can be. For four bits
+there are the 56 triples of positions.
+
+1. *Tally.* For each pair of fingerprints that meet, the lists that they share are counted.
+2. *Count filter.* Pairs below the number that is left when the differing bits lie
+   in as many positions, and in the worst of them, fall: for one, two and three
+   bits 7, 3 and 1 of 14, for four 4 of 56.
+3. *Verification.* The rest is held against the differing bits.
 
 A list of more than ``LIST`` fingerprints would give too many pairs. Its members
 are linked by midpoints instead, which is exact as well: two fingerprints differ
-in at most two bits if and only if some value differs from each of them in at
-most one. Every member names itself and its 64 neighbours, and the members (65
-at most) that name the same value are linked to the smallest of them.
+in at most ``d`` bits if and only if some value differs from one of them in at
+most half as many, rounded down, and from the other in the rest. Every member
+names the values around it, and those that name one value are linked to the
+smallest that is near enough to be in reach of all.
 
 Only different fingerprints are indexed and linked, so copies cost nothing. NULL
 text has no words and fingerprint zero, which is linked like any other. Rows with
@@ -22,7 +31,9 @@ with NULL ids only has a NULL component id. Empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
+from operator import xor
 
 import numpy as np
 import pandas as pd
@@ -36,7 +47,9 @@ from cabrank.llm.components import components
 SHINGLE = 3
 DISTANCE = 2
 SEED = 42
-LIST = 32
+LIST = 128
+MOST_DISTANCE = 4
+POSITIONS = 8
 SUM_ROWS = 60_000
 #: Four 16-bit counters, one for each bit of half a byte.
 LANES = np.array([sum((x >> b & 1) << 16 * b for b in range(4)) for x in range(16)], np.uint64)
@@ -90,53 +103,63 @@ def hexadecimal(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-def postings(prints: DataFrame) -> DataFrame:
-    """Each fingerprint under the numbers of two of its byte pairs and the bytes there."""
-    pair = [F.shiftrightunsigned(F.col("fp"), 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
+def lists_of(distance: int) -> list[tuple[int, ...]]:
+    """The positions of each posting list."""
+    if distance == MOST_DISTANCE:
+        return list(combinations(range(POSITIONS), 3))
+    return [c for c in combinations(range(POSITIONS), 4) if reduce(xor, c) == 0]
+
+
+def guaranteed(distance: int) -> int:
+    """How many lists a pair shares at least, wherever its differing bits are."""
+    lists = lists_of(distance)
+    return min(sum(not set(spoilt) & set(own) for own in lists) for spoilt in combinations(range(POSITIONS), distance))
+
+
+def postings(prints: DataFrame, distance: int) -> DataFrame:
+    """Each fingerprint under the number of every list and the bytes there."""
+    byte = [F.shiftrightunsigned(F.col("fp"), 8 * i).bitwiseAND(255) for i in range(POSITIONS)]
     keys = [
-        F.lit(n << 32).bitwiseOR(F.shiftleft(pair[i], 16)).bitwiseOR(pair[j])
-        for n, (i, j) in enumerate(combinations(range(4), 2))
+        reduce(lambda key, i: F.shiftleft(key, 8).bitwiseOR(byte[i]), own, F.lit(n).cast("long"))
+        for n, own in enumerate(lists_of(distance))
     ]
     return prints.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def agreeing_bytes(a: Column, b: Column) -> Column:
-    """How many of the eight byte positions hold equal bytes."""
-    differing = a.bitwiseXOR(b)
-    equal = [F.shiftrightunsigned(differing, 8 * i).bitwiseAND(255) == 0 for i in range(8)]
-    return sum((x.cast("int") for x in equal), F.lit(0))
+def tallied(entries: DataFrame) -> DataFrame:
+    """Pairs of fingerprints that share lists, and how many."""
+    a = entries.select("key", F.col("fp").alias("a"))
+    pairs = a.join(entries.select("key", F.col("fp").alias("b")), "key").filter("a < b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("lists"))
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, most: int = LIST) -> DataFrame:
-    """Pairs of different fingerprints that connect all that differ in at most ``distance`` bits (at most 2)."""
-    if not 0 <= distance <= DISTANCE:
-        raise ValueError("the index guarantees pairs of at most two differing bits")
-    entries = postings(prints)
+    """Pairs of different fingerprints that connect all that differ in at most ``distance`` bits (at most 4)."""
+    if not 0 <= distance <= MOST_DISTANCE:
+        raise ValueError("the index is for at most four differing bits")
+    entries = postings(prints, distance)
     sizes = entries.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     met = staged(entries.join(sizes, "key"), "postings")
-    short = met.filter(F.col("n") <= most).select("key", "fp")
-    a, b = F.col("a"), F.col("b")
-    pairs = short.select("key", F.col("fp").alias("a")).join(short.select("key", F.col("fp").alias("b")), "key")
-    pairs = pairs.filter((a < b) & (agreeing_bytes(a, b) >= 8 - distance) & (F.bit_count(a.bitwiseXOR(b)) <= distance))
+    enough = tallied(met.filter(F.col("n") <= most)).filter(F.col("lists") >= guaranteed(distance))
+    pairs = enough.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     crowded = met.filter(F.col("n") > most).select("fp").distinct()
-    if distance < DISTANCE:
-        return pairs.select("a", "b").unionAll(_neighbours(crowded, distance)).distinct()
-    return pairs.select("a", "b").unionAll(_midpoints(crowded)).distinct()
-
+    return pairs.select("a", "b").unionAll(_midpoints(crowded, distance)).distinct()
 
-def _midpoints(prints: DataFrame) -> DataFrame:
-    flips = F.expr("transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i))")
-    named = prints.select("fp", F.explode(F.concat(F.array("fp"), flips)).alias("value"))
-    shared = named.groupBy("value").agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    starred = shared.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
-    return starred.filter(F.col("a") < F.col("b"))
 
+def _midpoints(prints: DataFrame, distance: int) -> DataFrame:
+    """Stars that connect all fingerprints in reach of each other, without a pair for each.
 
-def _neighbours(prints: DataFrame, distance: int) -> DataFrame:
-    """Pairs of one differing bit (none at distance zero): one names itself, the other its neighbours."""
-    flips = F.expr("transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i))")
-    named = prints.select(F.col("fp").alias("a"), F.explode(flips).alias("b")).filter(F.lit(distance == 1))
-    return named.join(prints.select(F.col("fp").alias("b")), "b").filter("a < b").select("a", "b")
+    A value in reach of a fingerprint by half the distance is a centre: all that
+    name the value by the rest of the distance are in reach of the centre.
+    """
+    near, far = distance // 2, distance - distance // 2
+    masks = [sum(1 << bit for bit in bits) for n in range(far + 1) for bits in combinations(range(64), n)]
+    masks = [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
+    named = prints.select("fp", F.explode(F.lit(masks)).alias("mask"))
+    named = named.select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("value"), (F.bit_count("mask") <= near).alias("near"))
+    shared = named.groupBy("value").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("centre"), F.collect_list("fp").alias("fps"))
+    starred = shared.filter(F.size("fps") > 1).select("centre", F.explode("fps").alias("fp")).filter("centre <> fp")
+    return starred.select(F.least("centre", "fp").alias("a"), F.greatest("centre", "fp").alias("b"))
 
 
 def grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, distance: int, *keep: str) -> DataFrame:
