@@ -18,7 +18,7 @@ from cabrank.llm.pieces import encoding_digests
 from cabrank.llm.repeats import dedup
 from cabrank.llm.rules import judge
 from cabrank.llm.simhash import near_copies
-from cabrank.llm.sql import DIVERGENCE, PAYLOADS, QUALITY, URLS
+from cabrank.llm.sql import DIVERGENCE, PASSAGES, PAYLOADS, QUALITY, REPEATS, URLS
 from cabrank.llm.urls import judge_urls
 from cabrank.llm.warc import archive_pages
 
@@ -62,8 +62,10 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_suffix_array_dedup": REPEATS,
         "op3_url_filters": URLS,
         "op5_quality_rules": QUALITY,
         "op8_warc_writer": PAYLOADS,
+        "op9_decontamination": PASSAGES,
         "op12_source_divergence": DIVERGENCE,
     }

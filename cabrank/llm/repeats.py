@@ -8,20 +8,24 @@ never cross documents.
    with the smallest hash is its anchor (the first of equals). Equal windows have
    equal anchors at equal places, so a window whose anchor occurs once in the
    corpus is unique. Windows that follow each other with one anchor form a run.
-2. *Runs.* Runs with an anchor that recurs are kept, with a hash of their text. A
-   run whose text recurs is repeated as a whole.
-3. *Suffix arrays.* The remaining different texts around one anchor are brought
-   together in shards of bounded size. Each shard gets a suffix array by
-   Larsson-Sadakane refinement and common prefixes by Kasai's scan, which tell
-   the windows that recur in it.
+   Anchors only say which runs have to be compared.
+2. *Shards.* Runs with an anchor that recurs are kept, with a SHA-256 of their text.
+   The different texts around one anchor are brought together in shards of bounded
+   size, two copies of each text that occurs more than once. Further copies would
+   tell nothing new; what is found for a text holds for all runs of its digest.
+3. *Suffix arrays.* Each shard gets a suffix array by Larsson-Sadakane refinement and
+   common prefixes by Kasai's scan. They alone tell the windows that recur in it.
 4. *Across shards.* Anchors with too many different texts for a shard are dealt
-   over several. Their shards send one fingerprint for each different window,
-   sorted; binary search among all of them finds those of more than one shard.
+   over several. Their shards send a digest for each different window, sorted;
+   binary search among all of them finds those of more than one shard.
+
+Digests are 128 bits of SHA-256 over a secret of the run and the text, so nobody can
+prepare texts that share one.
 
 Work and data moved are in proportion to the text; texts travel by document once
 to fetch runs and once to be cut. Very long texts are scanned piece by piece.
 
-Documents are told apart by their id, text hash and length. Rows equal in both id
+Documents are told apart by such a digest of id and text, in 64 bits, and their length. Rows equal in both id
 and text repeat each other, so all their long strings go. NULL text is empty;
 NULL ids are kept. An empty table gives no rows.
 """
@@ -29,6 +33,7 @@ NULL ids are kept. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -47,6 +52,7 @@ LEAST = 200
 GRAM = 64
 SHARD_BYTES = 1 << 20
 SCAN_BYTES = 1 << 20
+DIGEST = 16  # bytes
 PLACE_BITS = np.uint64(22)  # of a place in a scanned block
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 BYTE_VALUES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -54,13 +60,18 @@ BYTE_VALUES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, np.uint6
 
 @dataclass(frozen=True)
 class Sizes:
+    """``bits``: of the hashes that choose anchors; with fewer of them more texts have to be compared, and no result changes."""
+
     least: int = LEAST
     gram: int = GRAM
     shard: int = SHARD_BYTES
+    bits: int = 64
 
     def __post_init__(self) -> None:
         if not 1 <= self.gram <= self.least or self.least < 8:
             raise ValueError("a gram is at most as long as the strings, which have at least 8 bytes")
+        if not 1 <= self.bits <= 64:
+            raise ValueError("a hash has 1 to 64 bits")
 
 
 @lru_cache(maxsize=4)
@@ -76,7 +87,7 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Hashes of any substrings of a block, from one pass over it."""
+    """Hashes of all substrings of one length of a block, from one pass over it."""
 
     def __init__(self, text: np.ndarray) -> None:
         size = 1 << max(21, len(text).bit_length())
@@ -84,25 +95,24 @@ class Hashes:
         np.cumsum(BYTE_VALUES[text] * _powers(BASE, size)[: len(text)], out=self.sums[1:])
         self.inverse = _powers(pow(BASE, -1, 1 << 64), size)
 
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
-
     def all(self, length: int) -> np.ndarray:
-        """Of every string of that length."""
         n = len(self.sums) - length
         return _mixed((self.sums[length:] - self.sums[:n]) * self.inverse[:n])
 
 
+def digest(text: bytes, secret: bytes) -> bytes:
+    return hashlib.sha256(secret + text).digest()[:DIGEST]
+
+
 def runs_of(texts: list[bytes], sizes: Sizes) -> tuple[np.ndarray, ...]:
-    """Anchor hash, text hash, text number, start and window count of every run of a block."""
+    """Anchor hash, text number, start and window count of every run of a block."""
     lengths = np.array([len(t) for t in texts], np.int64)
     firsts = np.cumsum(lengths) - lengths
     text = np.frombuffer(b"".join(texts), np.uint8)
     none = np.empty(0, np.int64)
     if lengths.max(initial=0) < sizes.least:
-        return none, none, none, none, none
-    hashes = Hashes(text)
-    grams = hashes.all(sizes.gram)
+        return none, none, none, none
+    grams = Hashes(text).all(sizes.gram) >> np.uint64(64 - sizes.bits) << np.uint64(64 - sizes.bits)
     place = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
     smallest = (grams & ~place) | np.arange(len(grams), dtype=np.uint64)
     span, width = sizes.least - sizes.gram + 1, 1
@@ -120,43 +130,58 @@ def runs_of(texts: list[bytes], sizes: Sizes) -> tuple[np.ndarray, ...]:
     starts = np.flatnonzero(change)
     counts = np.diff(np.append(starts, len(anchors)))
     starts, counts = starts[whole[starts]], counts[whole[starts]]
-    ends = starts + counts - 1 + sizes.least
-    texts_hashed = hashes.of(starts, ends) ^ _mixed((ends - starts).astype(np.uint64))
-    found = grams[anchors[starts]].view(np.int64), texts_hashed.view(np.int64), owner[starts]
-    return *found, starts - firsts[owner[starts]], counts
+    return grams[anchors[starts]].view(np.int64), owner[starts], starts - firsts[owner[starts]], counts
 
 
-def with_key(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
-    """Documents with what tells them apart: a hash of id and text, and the length in bytes."""
+def with_key(docs: DataFrame, doc_id: str, text: str, secret: str, *more: str) -> DataFrame:
+    """Documents with what tells them apart: a digest of id and text, and the length in bytes."""
     named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), *more)
-    return named.withColumns({"key": F.xxhash64("doc_id", "text"), "size": F.octet_length("text")})
+    whole = F.concat_ws("\n", F.lit(secret), F.col("doc_id").cast("string"), "text")
+    return named.withColumns({"key": F.xxhash64(F.sha2(whole, 256)), "size": F.octet_length("text")})
 
 
-def runs(keyed: DataFrame, sizes: Sizes) -> DataFrame:
-    """Every run of every document: anchor and text hash, document, start and number of windows."""
-    names = ["anchor", "content", "key", "size", "start", "windows"]
+def anchors(docs: DataFrame, sizes: Sizes) -> DataFrame:
+    """The anchor of every run of every document."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_blocks(batches, "text", SCAN_BYTES):
-            parts = [(i, a, t) for i, t in enumerate(texts) for a, t in _pieces(t, sizes.least)]
-            if not parts:
-                continue
+        for _, parts in _scanned(batches, sizes):
+            yield pa.RecordBatch.from_arrays([pa.array(runs_of([p[2] for p in parts], sizes)[0], pa.int64())], ["anchor"])
+
+    return docs.filter(F.octet_length("text") >= sizes.least).select("text").mapInArrow(scan, "anchor long")
+
+
+def runs(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
+    """Every run of every document: anchor, digest of its text, document, start and number of windows."""
+    names, salt = ["anchor", "content", "key", "size", "start", "windows"], secret.encode()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, parts in _scanned(batches, sizes):
+            anchor, part, start, windows = runs_of([p[2] for p in parts], sizes)
+            ends = start + windows - 1 + sizes.least
+            found = zip(part.tolist(), start.tolist(), ends.tolist(), strict=True)
+            contents = [digest(parts[n][2][a:b], salt) for n, a, b in found]
             numbers, offsets = np.array([p[:2] for p in parts], np.int64).T
-            for block in _blocks(parts):
-                anchor, content, part, start, windows = runs_of([p[2] for p in parts[block]], sizes)
-                own = pa.array(numbers[block][part])
-                columns = [
-                    pa.array(anchor, pa.int64()),
-                    pa.array(content, pa.int64()),
-                    rows.column("key").take(own),
-                    rows.column("size").take(own),
-                    pa.array(offsets[block][part] + start, pa.int64()),
-                    pa.array(windows, pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            own = pa.array(numbers[part])
+            columns = [
+                pa.array(anchor, pa.int64()),
+                pa.array(contents, pa.binary()),
+                rows.column("key").take(own),
+                rows.column("size").take(own),
+                pa.array(offsets[part] + start, pa.int64()),
+                pa.array(windows, pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     wanted = keyed.filter(F.col("size") >= sizes.least).select("key", "size", "text")
-    return wanted.mapInArrow(scan, "anchor long, content long, key long, size int, start long, windows int")
+    return wanted.mapInArrow(scan, "anchor long, content binary, key long, size int, start long, windows int")
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], sizes: Sizes) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, bytes]]]]:
+    """Some rows, and their texts in pieces: row, offset, bytes."""
+    for rows, texts in text_blocks(batches, "text", SCAN_BYTES):
+        parts = [(i, at, piece) for i, text in enumerate(texts) for at, piece in _pieces(text, sizes.least)]
+        for block in _blocks(parts) if parts else ():
+            yield rows, parts[block]
 
 
 def _pieces(text: bytes, least: int) -> Iterator[tuple[int, bytes]]:
@@ -175,20 +200,20 @@ def _blocks(parts: list[tuple[int, int, bytes]]) -> Iterator[slice]:
     yield slice(start, len(parts))
 
 
-def recurring(found: DataFrame) -> DataFrame:
+def recurring(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     """Runs with an anchor that occurs more than once, staged.
 
     Counts are folded in each task, and staged: between two plain shuffles,
     adaptive execution deals the many rows of a popular anchor over several tasks.
     """
-    counts = found.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("anchor")
-    return staged(found.join(staged(counts, "anchors"), "anchor"), "runs")
+    counts = anchors(keyed, sizes).groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("anchor")
+    return staged(runs(keyed, sizes, secret).join(staged(counts, "anchors"), "anchor"), "runs")
 
 
-def _texts(reps: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
-    """The text of one run of each different text, fetched from the documents."""
-    wanted = reps.groupBy("key", "size").agg(
-        F.collect_list(F.struct("anchor", "content", "salt", "split", "start", "windows")).alias("runs")
+def _texts(chosen: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
+    """The text of each chosen run, fetched from the documents."""
+    wanted = chosen.groupBy("key", "size").agg(
+        F.collect_list(F.struct("anchor", "content", "copy", "salt", "split", "start", "windows")).alias("runs")
     )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,64 +224,60 @@ def _texts(reps: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
                 for run in found:
                     a = run["start"]
                     content = raw[a : a + run["windows"] - 1 + sizes.least]
-                    out.append((run["anchor"], run["content"], run["salt"], run["split"], content))
+                    out.append((*(run[name] for name in names[:-1]), content))
             arrays = [pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    names = ["anchor", "content", "salt", "split", "text"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    names = ["anchor", "content", "copy", "salt", "split", "text"]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
     joined = keyed.select("key", "size", "text").join(wanted.hint("shuffle_hash"), ["key", "size"])
-    return joined.select("text", "runs").mapInArrow(fetch, "anchor long, content long, salt int, split boolean, text binary")
+    schema = "anchor long, content binary, copy int, salt int, split boolean, text binary"
+    return joined.select("text", "runs").mapInArrow(fetch, schema)
 
 
-def _within_shards(texts: DataFrame, sizes: Sizes) -> DataFrame:
-    """Repeated windows of each text by the suffix array of its shard; fingerprints where an anchor has several shards.
+def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
+    """Repeated windows of each text by the suffix array of its shard; digests of windows where an anchor has several shards.
 
-    Equal rows of the input bring a text once each; the first is enough.
+    Equal rows of the input bring a copy once each; the first is enough.
     """
+    salt = secret.encode()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple] = []
         size, group = 0, None
-        for rows in rows_of(batches, "anchor", "content", "salt", "split", "text", most=512):
+        for rows in rows_of(batches, "anchor", "content", "copy", "salt", "split", "text", most=512):
             for row in rows:
-                if shard and row[:2] == shard[-1][:2]:
+                if shard and row[:3] == shard[-1][:3]:
                     continue
-                if size >= sizes.shard and row[:1] + row[2:3] != group:
-                    yield _judged(shard, sizes)
+                if size >= sizes.shard and (row[0], row[3]) != group:
+                    yield _judged(shard, sizes, salt)
                     shard, size = [], 0
                 shard.append(row)
-                size += len(row[4])
-                group = row[:1] + row[2:3]
+                size += len(row[5])
+                group = row[0], row[3]
         if shard:
-            yield _judged(shard, sizes)
+            yield _judged(shard, sizes, salt)
 
-    dealt = texts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "content")
-    schema = "anchor long, content long, spans array<int>, prints array<long>, places array<int>, single array<boolean>"
+    dealt = texts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "content", "copy")
+    schema = "anchor long, content binary, spans array<int>, highs array<long>, lows array<long>, places array<int>, single array<boolean>"
     return dealt.mapInArrow(judge, schema)
 
 
-def _judged(shard: list[tuple], sizes: Sizes) -> pa.RecordBatch:
-    segments = [row[4] for row in shard]
-    text = Buffer.of(segments)
+def _judged(shard: list[tuple], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
+    """What the suffix array of a shard tells of each text, by its first copy."""
+    text = Buffer.of([row[5] for row in shard])
     found, first = repeated(text, sizes.least)
-    any_split = any(row[3] for row in shard)
-    if any_split:
-        prints = Hashes(np.frombuffer(b"\0".join(segments) + b"\0", np.uint8)).all(sizes.least).view(np.int64)
     out = []
-    for (anchor, content, _, split, raw), start in zip(shard, text.starts, strict=True):
+    for (anchor, content, copy, _, split, raw), start in zip(shard, text.starts, strict=True):
         own = slice(start, start + len(raw) - sizes.least + 1)
-        places = np.flatnonzero(first[own]) if split else []
-        out.append((
-            anchor,
-            content,
-            spans_of(found[own]),
-            prints[own][places] if split else [],
-            places,
-            ~found[own][places] if split else [],
-        ))
-    kinds = [pa.int64(), pa.int64(), *map(pa.list_, (pa.int32(), pa.int64(), pa.int32(), pa.bool_()))]
-    names = ["anchor", "content", "spans", "prints", "places", "single"]
+        places = np.flatnonzero(first[own]) if split else np.empty(0, np.int64)
+        if copy:
+            continue
+        digests = [digest(raw[at : at + sizes.least], salt) for at in places.tolist()]
+        highs, lows = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
+        out.append((anchor, content, spans_of(found[own]), highs, lows, places, ~found[own][places]))
+    kinds = [pa.int64(), pa.binary(), *map(pa.list_, (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))]
+    names = ["anchor", "content", "spans", "highs", "lows", "places", "single"]
     arrays = [pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names)
 
@@ -270,66 +291,68 @@ def spans_of(marked: np.ndarray) -> np.ndarray:
 def _across_shards(judged: DataFrame) -> DataFrame:
     """Windows that are single in their shard and occur in another shard of their anchor.
 
-    Fingerprints are dealt by range and sorted; those of one window are found by
+    Digests are dealt by range and sorted; those of one window are found by
     binary search. There is one for each shard at most.
     """
-    each = judged.filter(F.size("prints") > 0).select("anchor", "content", F.arrays_zip("prints", "places", "single").alias("all"))
-    each = each.select("anchor", "content", F.inline("all"))
-    dealt = each.repartitionByRange("prints").sortWithinPartitions("prints", "anchor")
+    each = judged.filter(F.size("highs") > 0).select(
+        "anchor", "content", F.inline(F.arrays_zip("highs", "lows", "places", "single"))
+    )
+    dealt = each.repartitionByRange("highs").sortWithinPartitions("highs", "lows", "anchor")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             rows = batch if held is None else pa.concat_batches([held, batch])
-            prints = rows.column("prints").to_numpy()
-            done = int(np.searchsorted(prints, prints[-1], "left")) if len(prints) else 0
+            highs = rows.column("highs").to_numpy()
+            done = int(np.searchsorted(highs, highs[-1], "left")) if len(highs) else 0
             yield _shared(rows.slice(0, done))
             held = rows.slice(done)
         if held is not None:
             yield _shared(held)
 
-    return dealt.mapInArrow(merge, "anchor long, content long, place int")
+    return dealt.mapInArrow(merge, "anchor long, content binary, place int")
 
 
 def _shared(rows: pa.RecordBatch) -> pa.RecordBatch:
-    prints, anchors = rows.column("prints").to_numpy(), rows.column("anchor").to_numpy()
-    change = (prints[1:] != prints[:-1]) | (anchors[1:] != anchors[:-1])
-    window = np.concatenate([[0], np.cumsum(change)]) if len(prints) else np.empty(0, np.int64)
+    keys = [rows.column(name).to_numpy() for name in ("highs", "lows", "anchor")]
+    change = np.logical_or.reduce([key[1:] != key[:-1] for key in keys])
+    window = np.concatenate([[0], np.cumsum(change)]) if rows.num_rows else np.empty(0, np.int64)
     several = np.searchsorted(window, window, "right") - np.searchsorted(window, window, "left") > 1
     keep = pa.array(several & rows.column("single").to_numpy(zero_copy_only=False))
     columns = [rows.column(name).filter(keep) for name in ("anchor", "content", "places")]
     return pa.RecordBatch.from_arrays(columns, ["anchor", "content", "place"])
 
 
-def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sizes: Sizes = Sizes()) -> DataFrame:
+def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     """Per document with a repeated string: key, size and its stretches of repeated windows.
 
     A stretch is a start and places relative to it, of the first window and of
     the one beyond the last, in turn. Equal rows bring the same stretches, which
     are kept once.
     """
-    keyed = with_key(docs, doc_id, text)
-    found = recurring(runs(keyed, sizes))
+    found = recurring(keyed, sizes, secret)
+    place = F.struct("key", "size", "start", "windows")
     texts = found.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "size", "start", "windows")).alias("rep")
+        F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
     )
-    variety = texts.groupBy("anchor").agg(F.count("*").alias("different")).filter(F.col("different") > 1)
-    variety = staged(variety, "variety")
-    shards = F.ceil(F.col("different") * (sizes.least + 70) / sizes.shard).cast("int")
-    mixed = texts.join(variety, "anchor").select(
+    both = F.when(F.col("n") > 1, F.array("first", "last")).otherwise(F.array("first"))
+    different = texts.groupBy("anchor").agg(F.sum(F.size(both) * (F.col("first.windows") + sizes.least)).alias("bytes"))
+    shards = F.ceil(F.col("bytes") / sizes.shard).cast("int")
+    large = staged(different.filter(shards > 1).select("anchor", shards.alias("shards")), "large")
+    dealt = texts.join(large, "anchor", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+    chosen = dealt.select(
         "anchor",
         "content",
-        F.pmod(F.xxhash64("content"), shards).cast("int").alias("salt"),
-        (shards > 1).alias("split"),
-        "rep.*",
+        F.pmod(F.xxhash64("content"), "shards").cast("int").alias("salt"),
+        (F.col("shards") > 1).alias("split"),
+        F.posexplode(both).alias("copy", "place"),
     )
-    judged = staged(_within_shards(_texts(mixed, keyed, sizes), sizes), "judged")
+    chosen = chosen.select("anchor", "content", "salt", "split", "copy", "place.*")
+    judged = staged(_within_shards(_texts(chosen, keyed, sizes), sizes, secret), "judged")
     across = _across_shards(judged).groupBy("anchor", "content").agg(
         F.flatten(F.collect_list(F.array(F.col("place"), F.col("place") + 1))).alias("spans")
     )
-    whole = texts.filter(F.col("n") > 1).select("anchor", "content", F.array(F.lit(0), F.col("rep.windows")).alias("spans"))
-    parts = judged.filter(F.size("spans") > 0).select("anchor", "content", "spans")
-    marks = whole.unionAll(parts).unionAll(across)
+    marks = judged.filter(F.size("spans") > 0).select("anchor", "content", "spans").unionAll(across)
     hit = found.select("anchor", "content", "key", "size", "start").join(marks, ["anchor", "content"])
     return hit.groupBy("key", "size").agg(F.collect_set(F.struct("start", "spans")).alias("stretches"))
 
@@ -346,8 +369,9 @@ def covered(size: int, stretches: list[dict] | None, least: int) -> np.ndarray:
 
 
 def _with_stretches(docs: DataFrame, doc_id: str, text: str, sizes: Sizes, *more: str) -> DataFrame:
-    found = repeated_windows(docs, doc_id, text, sizes)
-    return with_key(docs, doc_id, text, *more).join(found.hint("shuffle_hash"), ["key", "size"], "left")
+    secret = secrets.token_hex(16)
+    found = repeated_windows(with_key(docs, doc_id, text, secret), sizes, secret)
+    return with_key(docs, doc_id, text, secret, *more).join(found.hint("shuffle_hash"), ["key", "size"], "left")
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sizes: Sizes = Sizes()) -> DataFrame:

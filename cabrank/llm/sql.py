@@ -94,3 +94,45 @@ select lang, source, part, item, value,
     row_number() over (partition by lang, source, part order by value desc, item)::integer as rank
 from found qualify part = 'pair' or rank <= 10
 """
+
+PASSAGES = r"""
+with docs as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+items as (
+    select item_id::varchar as item, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark),
+windows as (
+    select distinct item, least(10, len(words)) as width, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') as phrase
+    from items, unnest(range(1, greatest(2, len(words) - 8))) u(i) where len(words) > 0),
+places as (
+    select doc_id, width, i, array_to_string(words[i:i + width - 1], ' ') as phrase
+    from docs, (select distinct width from windows), unnest(range(1, greatest(1, len(words) - width + 2))) u(i)),
+hits as (select doc_id, item, i, width from places join windows using (width, phrase)),
+covered as (select doc_id, count(distinct i + k) as n_hit from hits, range(10) r(k) where k < width group by doc_id),
+named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as joined
+    from (select distinct doc_id, item from hits) group by doc_id)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(joined, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (doc_id) left join named using (doc_id)
+"""
+
+REPEATS = r"""
+with raws as (select doc_id, coalesce(text, '') as text, hex(encode(coalesce(text, ''))) as raw from documents),
+sizes as (select *, length(raw) // 2 as n_bytes from raws),
+strings as (select doc_id, i, sha256(substr(raw, 2 * i + 1, 400)) as string from sizes, unnest(range(0, n_bytes - 199)) u(i)),
+again as (select doc_id, i from strings qualify count(*) over (partition by string) > 1),
+edges as (select *, i > coalesce(lag(i) over (partition by doc_id order by i), -1000) + 200 as new from again),
+numbered as (select *, sum(new::integer) over (partition by doc_id order by i) as span from edges),
+spans as (select doc_id, span, min(i) as low, max(i) + 200 as high from numbered group by doc_id, span),
+gaps as (
+    select doc_id, low, high, coalesce(lag(high) over (partition by doc_id order by low), 0) as before from spans),
+cut as (
+    select doc_id, sum(high - low)::bigint as n_removed, count(*) as n_spans, max(high) as last,
+        string_agg(substr(raw, 2 * before + 1, 2 * (low - before)), '' order by low) as kept
+    from gaps join sizes using (doc_id) group by doc_id)
+select doc_id, n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+    sha256(unhex(coalesce(kept || substr(raw, 2 * last + 1), raw))) as kept_sha256
+from sizes left join cut using (doc_id)
+"""

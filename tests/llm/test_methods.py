@@ -17,9 +17,9 @@ from cabrank.llm import compression, phrases, sql
 from cabrank.llm.components import components
 from cabrank.llm.ordering import permute
 from cabrank.llm.packing import Capacity, fit
-from cabrank.llm.repeats import SCAN_BYTES, Sizes, _pieces, dedup
+from cabrank.llm.repeats import SCAN_BYTES, Hashes, Sizes, _pieces, dedup
 from cabrank.llm.rules import RULES, SAMPLE_BYTES, Rule, drawn, judge, ordered
-from cabrank.llm.simhash import links
+from cabrank.llm.simhash import guaranteed, links, lists_of, postings, tallied
 from cabrank.llm.suffixes import Buffer, common_prefixes, repeated, suffix_order
 from cabrank.llm.urls import build_cascade, judge_urls, listed
 from cabrank.llm.warc import read_archives, write_archives
@@ -64,6 +64,38 @@ def test_popular_passage_over_shards(spark, seed):
     assert [found[n] for n in range(300)] == brute.removed([t for _, t in rows], 24)
 
 
+SAME_HASH = (
+    "zxreedbqepkfrnadhcsyjzcyzrfwhjxkyqtkwgepyrwdvtjhvbfqhtabbptufwxdteoojcsawxllrijitvrpairxgogtyjcxeeamxwxosdireyfrtmalffealw"
+    "aqnptdtrtjxlrofyrpqpgzgvovtwetglcwogglqmbomyyknfgjdabiibveajkjyvnaxkrskfilpzob",
+    "zxreedbqepkfrnadhcsyjzcyzrfwhjxkyqtkwgepyrwdvtjhvbfqhtabbptufwxdteoojcsawxllrijitvrpairxgogtyjcxeeamqpmwootzxaodkripsxgbnq"
+    "egqyjaybecmxsjivcvcvzncscbzfutanbmeotjicgxnzfwworyhqahvyclebewnzzguwsddwswzmtt",
+)
+
+
+def test_equal_hashes_are_no_equal_texts(spark):
+    """Two texts of one hash, and of one start, stay as they are, alone and inside longer ones."""
+    a, b = SAME_HASH
+    grams = [int(Hashes(np.frombuffer(x.encode(), np.uint8)).all(200)[0]) for x in SAME_HASH]
+    assert grams[0] == grams[1] and a[:100] == b[:100]
+    rows = [(0, a), (1, b), (2, brute.prose(1, 60) + a[100:]), (3, brute.prose(2, 50) + b + brute.prose(3, 20)), (4, "x" + a + "y")]
+    for some in (rows[:2], rows[2:4], rows):
+        found = {r.doc_id: tuple(r)[1:] for r in dedup(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+        assert [found[n] for n, _ in some] == brute.removed([t for _, t in some])
+
+
+@pytest.mark.parametrize(("bits", "shard"), [(1, 1 << 20), (3, 400), (64, 300)])
+def test_hashes_decide_nothing(spark, bits, shard):
+    """With anchors of a few bits, whose texts fill one shard or many, the suffix arrays still tell what recurs."""
+    made = random.Random(bits)
+    parts = ["".join(made.choice("ab") for _ in range(made.randint(10, 50))) for _ in range(12)]
+    rows = [(n, "".join(made.choice(parts) for _ in range(made.randint(0, 6)))) for n in range(80)]
+    docs = spark.createDataFrame([*rows, rows[3], rows[3]], "doc_id long, text string").repartition(3)
+    expected = sorted((n, *x) for (n, _), x in zip([*rows, rows[3], rows[3]], brute.removed([t for _, t in [*rows, rows[3], rows[3]]], 24), strict=True))
+    found = dedup(docs, sizes=Sizes(least=24, gram=8, shard=shard, bits=bits)).collect()
+    assert sorted(map(tuple, found)) == expected
+    assert 0 < sum(x[2] for x in expected) < sum(x[1] for x in expected)
+
+
 def test_long_texts_are_scanned_in_pieces_that_overlap():
     text = bytes(random.Random(1).randbytes(3 * SCAN_BYTES + 50))
     pieces = list(_pieces(text, 200))
@@ -116,24 +148,25 @@ def test_tight_packing():
     assert len(set(bins.tolist())) <= 1.01 * -(-lengths.sum() // 2048)
 
 
+@pytest.mark.parametrize("distance", range(5))
 @pytest.mark.parametrize(("bits", "most", "count"), [(64, 4, 300), (12, 4, 400), (12, 10_000, 400), (6, 2, 60)])
-def test_links(spark, bits, most, count):
+def test_links(spark, distance, bits, most, count):
     """Fingerprints around a few centres, in lists below and above the bound."""
     made = random.Random(bits)
     centres = [made.getrandbits(64) for _ in range(6)]
-    prints = {made.choice(centres) ^ sum(1 << made.randrange(bits) for _ in range(made.randint(0, 4))) % 2**64 for _ in range(count)}
+    prints = {made.choice(centres) ^ sum(1 << b for b in made.sample(range(bits), made.randint(0, 5))) for _ in range(count)}
     signed = [fp - (1 << 64) if fp >> 63 else fp for fp in prints]
     table = spark.createDataFrame([(fp,) for fp in signed], "fp long")
-    pairs = links(table, most=most).collect()
-    assert all(bin((a ^ b) & (2**64 - 1)).count("1") <= 2 for a, b in pairs)
+    pairs = links(table, distance, most).collect()
+    assert all(bin((a ^ b) & (2**64 - 1)).count("1") <= distance for a, b in pairs)
     roots = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long") if pairs else table.selectExpr("fp a", "fp b").limit(0)).collect()}
-    assert [roots.get(fp, fp) for fp in signed] == brute_roots(signed)
+    assert [roots.get(fp, fp) for fp in signed] == brute_roots(signed, distance)
 
 
-def brute_roots(signed):
+def brute_roots(signed, distance):
     roots = {fp: fp for fp in signed}
     changed = True
-    near = {a: [b for b in signed if bin((a ^ b) & (2**64 - 1)).count("1") <= 2] for a in signed}
+    near = {a: [b for b in signed if bin((a ^ b) & (2**64 - 1)).count("1") <= distance] for a in signed}
     while changed:
         changed = False
         for a in signed:
@@ -143,6 +176,32 @@ def brute_roots(signed):
     return [roots[fp] for fp in signed]
 
 
+@pytest.mark.parametrize(("distance", "least"), [(0, 14), (1, 7), (2, 3), (3, 1), (4, 4)])
+def test_count_filter(spark, distance, least):
+    """Pairs that meet are tallied over all lists, and those with too few shared ones fall before they are verified."""
+    made = random.Random(7)
+    values = [made.getrandbits(64)]
+    for n in range(400):
+        positions = made.sample(range(8), made.randint(1, 5))
+        values.append(values[made.randrange(len(values))] ^ sum(1 << 8 * p + made.randrange(8) for p in positions))
+    signed = [fp - (1 << 64) if fp >> 63 else fp for fp in set(values)]
+    table = spark.createDataFrame([(fp,) for fp in signed], "fp long")
+    assert guaranteed(distance) == least
+    met = {(r.a, r.b): r.lists for r in tallied(postings(table, distance)).collect()}
+
+    def shared(a, b):
+        same = {p for p in range(8) if not (a ^ b) >> 8 * p & 255}
+        return sum(set(own) <= same for own in lists_of(distance))
+
+    pairs = [(min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i]]
+    assert met == {pair: n for pair in pairs if (n := shared(*pair))}
+    near = {(a, b) for a, b in pairs if bin((a ^ b) & (2**64 - 1)).count("1") <= distance}
+    assert all(met[pair] >= least for pair in near)
+    if distance != 3:
+        assert sum(n < least for n in met.values()) > 100
+    assert {tuple(r) for r in links(table, distance, 10_000).collect()} == near
+
+
 @pytest.mark.parametrize("edges", [[(i, i + 1) for i in range(200)], [(0, i) for i in range(1, 200)], [(5, 5), (None, 2), (7, 3), (3, 7)], []])
 def test_components(spark, edges):
     parent = {}
@@ -155,12 +214,20 @@ def test_components(spark, edges):
     assert {r.node: r.root for r in got} == parent and len(got) == len(parent)
 
 
-def test_phrases_over_blocks(spark, monkeypatch, sf_dir):
-    """The same result whether the items go in one block or several."""
+def test_phrases_over_blocks(spark, sf_dir):
+    """The same result whether the items are in one file or in a hundred, which go through an index that is read once."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    made = spark.createDataFrame([(-n, brute.prose(n, 30)) for n in range(1, 900)], "item_id long, text string")
+    items = items.select(F.col("item_id").cast("long"), "text").unionAll(made)
     whole = phrases.contamination(docs, items).collect()
-    monkeypatch.setattr(phrases.item_blocks, "__defaults__", (500,))
-    assert sorted(phrases.contamination(docs, items).collect()) == sorted(whole)
+    size = sum(len((r.text or "").encode()) for r in items.select("text").distinct().collect())
+    folder = phrases.store_items(items, most=size // 100)
+    blocks = list(phrases.item_blocks(folder))
+    assert len(blocks) > 80 and sum(map(len, blocks)) == items.distinct().count()
+    found = phrases.contamination(docs, items, item_bytes=size // 100)
+    assert sorted(found.collect()) == sorted(whole)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Broadcast" not in plan and "Union" not in plan
     assert sum(r.contaminated for r in whole) > 10
 
 
@@ -168,7 +235,8 @@ def test_proximity(spark):
     texts = ["a x b x x c", "c b a", "a b", "b x x x x a c", None, "a a b c"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     index = phrases.build_index(docs)
-    found = phrases.near(index, [("q", [b"a", b"b", b"c"]), ("none", [b"a", b"y"]), ("empty", [])], 3).collect()
+    items = spark.createDataFrame([("q", "a b c"), ("none", "a y"), ("empty", None)], "item_id string, text string")
+    found = phrases.near(index, phrases.store_items(items), 3).collect()
     expected = set()
     for n, text in enumerate(texts):
         words = (text or "").split()

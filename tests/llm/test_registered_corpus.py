@@ -24,13 +24,13 @@ def run(spark, name, folder):
 
 def test_all_are_registered():
     assert set(NAMES) | {"pipeline"} <= set(registry.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in NAMES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in NAMES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         con.execute(f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')")
     cursor = con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
