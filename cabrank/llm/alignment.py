@@ -16,19 +16,27 @@ SentencePiece model, which adds that space itself. Both cut the same bytes.
 
 A text whose joined token bytes of ``a`` or ``b`` are not the space and the text has
 no tokens, nor has a NULL or empty one. Special strings inside a text are ordinary
-text. A long text is cut, exactly, at single spaces between ASCII letters, where
-both tokenizers start anew; one without such places is encoded as a whole. Equal
-rows, rows of one id and NULL ids each keep their row and count in full. Empty
-tables give no rows.
+text. Equal rows, rows of one id and NULL ids each keep their row and count in
+full. Empty tables give no rows.
+
+Both tokenizers start anew at a single space between two signs that are no white
+space: the pattern of ``a`` takes a space only in front of what follows, and no
+piece of ``b`` has a space behind another sign. So a text is cut, exactly, into
+segments there. Segments that a task has met lately are kept; new ones are joined
+by spaces and encoded many at a time. A text without such places, however long, is
+one segment and encoded as a whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -47,8 +55,11 @@ from cabrank.llm.tokens import rows_of
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK_BYTES = 4 << 20
-LONG = 1 << 20  # characters of a text that is cut
-BETWEEN_WORDS = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+LONG = 1 << 18  # characters that are encoded at a time
+SOME_BYTES = 1 << 19
+KNOWN = 300_000  # segments that are kept
+KNOWN_CHARACTERS = 64  # longer ones are not
+BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -78,6 +89,15 @@ class Alignment:
         return meets, at[meets]
 
 
+class Segment(NamedTuple):
+    """What is kept of a segment: tokens of both sides, its groups in writing, and its links as pairs of ids."""
+
+    n_a: int
+    n_b: int
+    groups: str
+    pairs: array
+
+
 NOTHING = Alignment(*(Side(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in range(2)))
 
 
@@ -102,6 +122,10 @@ class Aligner:
             bytes([int(piece[1:-1], 16)]) if self.b.is_byte(n) else piece.replace("▁", " ").encode() for n, piece in enumerate(pieces)
         ]
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes))
+        if any(re.search("[^▁]▁", piece) for piece in pieces):
+            raise ValueError("pieces that go on behind a space: texts cannot be cut")
+        self.known: dict[str, Segment | None] = {}  # met lately
+        self.earlier: dict[str, Segment | None] = {}
         self.written = [f"{n}{end}" for n in range(len(self.a_bytes)) for end in ",|"]
         self.written += [f"{n}{end}" for n in range(len(self.b_bytes)) for end in ",;"]
 
@@ -110,7 +134,7 @@ class Aligner:
         ids = found.ids
         if b"".join(map(self.a_bytes.__getitem__, ids)) != whole:
             return None
-        ids, spans = np.array(ids), np.array(found.offsets)
+        ids, spans = np.array(ids), np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
         certain = np.append(spans[1:, 0] >= spans[:-1, 1], True)
         coarse = spans[:, 1]
         if len(whole) != len(text):
@@ -122,7 +146,7 @@ class Aligner:
         found = [(p.id, p.begin, p.end) for p in self.b.encode(text, return_type="proto").pieces]
         if b"".join([self.b_bytes[p[0]] for p in found]) != whole:
             return None
-        ids, begins, ends = np.array(found).T
+        ids, begins, ends = np.fromiter(chain.from_iterable(found), np.int64, 3 * len(found)).reshape(-1, 3).T
         return Side(ids, self._checked(ends + 1, ends > begins, self.b_sizes[ids]))
 
     def _checked(self, coarse: np.ndarray, certain: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -149,7 +173,7 @@ class Aligner:
     def _parts(text: str, long: int) -> Iterator[str]:
         start = 0
         while len(text) - start > long:
-            cut = BETWEEN_WORDS.search(text, start + long)
+            cut = BETWEEN.search(text, start + long)
             if cut is None:
                 break
             yield text[start : cut.start()]
@@ -157,6 +181,54 @@ class Aligner:
         if start < len(text):
             yield text[start:]
 
+    def segments(self, texts: list[str]) -> Iterator[list[Segment] | None]:
+        """The segments of some texts; None for a text whose bytes are not those of its tokens."""
+        if len(self.known) > KNOWN:
+            self.known, self.earlier = {}, self.known
+        known, earlier = self.known, self.earlier
+        cuts = [BETWEEN.split(text) if text else [] for text in texts]
+        met = {part for own in cuts for part in own if part not in known}
+        found: dict[str, Segment | None] = {part: earlier[part] for part in met if part in earlier}
+        new = [part for part in met if part not in found]
+        found |= dict.fromkeys(new)
+        inner = [part for part in new if not part[0].isspace() and not part[-1].isspace()]
+        start = size = 0
+        for n, part in enumerate(inner):
+            size += len(part)
+            if size > LONG:
+                self._learn(inner[start : n + 1], found)
+                start, size = n + 1, 0
+        self._learn(inner[start:], found)
+        for part in new:
+            if part[0].isspace() or part[-1].isspace():
+                self._learn([part], found)
+        known |= {part: segment for part, segment in found.items() if len(part) <= KNOWN_CHARACTERS}
+        for own in cuts:
+            segments = [known[part] if part in known else found[part] for part in own]
+            yield None if None in segments else segments
+
+    def _learn(self, parts: list[str], found: dict[str, Segment | None]) -> None:
+        """Align some segments in one text, or each for itself if the text as a whole has no tokens."""
+        if not parts:
+            return
+        both = self.align(" ".join(parts))
+        if not len(both.a.ids):
+            if len(parts) > 1:
+                for part in parts:
+                    self._learn([part], found)
+            return
+        at_a, at_b = both.links()
+        pairs = array("q", ((both.a.ids[at_a] << 32) | both.b.ids[at_b]).tobytes())
+        groups = self.groups(both).split(";")
+        ends = np.cumsum([len(part.encode()) + 1 for part in parts])
+        edges_a, edges_b, edges = (
+            [0, *np.searchsorted(sorted_ends, ends, "right").tolist()] for sorted_ends in (both.a.ends, both.b.ends, both.a.ends[at_a])
+        )
+        for n, part in enumerate(parts):
+            low, high = edges[n], edges[n + 1]
+            n_a, n_b = edges_a[n + 1] - edges_a[n], edges_b[n + 1] - edges_b[n]
+            found[part] = Segment(n_a, n_b, ";".join(groups[low:high]), pairs[low:high])
+
     def groups(self, found: Alignment) -> str:
         """Ids of all groups: ``a1,a2|b1;a3|b2,b3``."""
         at_a, at_b = found.links()
@@ -207,6 +279,18 @@ def _unpack(content: bytes, kind: str) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstd.ZstdDecompressor().decompress(content), kind), dtype=np.int64)
 
 
+def _some(texts: list[bytes]) -> Iterator[list[str]]:
+    """A few texts at a time, so that what is new in them stays small beside what is kept."""
+    held, size = [], 0
+    for raw in texts:
+        held.append(raw.decode())
+        size += len(raw)
+        if size > SOME_BYTES:
+            yield held
+            held, size = [], 0
+    yield held
+
+
 def chunks(docs: DataFrame, doc_id: str, text: str, vocabulary: str, model: str, most: int = CHUNK_BYTES) -> DataFrame:
     """One row for each chunk of documents: their figures, the chunk's different pairs, and each link as the place of its pair. Staged."""
     id_type = docs.schema[doc_id].dataType
@@ -225,15 +309,17 @@ def chunks(docs: DataFrame, doc_id: str, text: str, vocabulary: str, model: str,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, task = aligner(vocabulary, model), TaskContext.get().partitionId()
         for n, (rows, texts) in enumerate(text_blocks(batches, "text", most)):
-            figures, keys = [], []
-            for raw in texts:
-                found = both.align(raw.decode())
-                at_a, at_b = found.links()
-                keys.append((found.a.ids[at_a] << 32) | found.b.ids[at_b])
-                groups = both.groups(found)
-                digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                figures.append((len(found.a.ids), len(found.b.ids), len(at_a), digest))
-            pairs, places, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+            figures, keys = [], array("q")
+            for some in _some(texts):
+                for own in both.segments(some):
+                    groups = ";".join([segment.groups for segment in own or ()])
+                    before = len(keys)
+                    for segment in own or ():
+                        keys += segment.pairs
+                    sums = [sum([segment[side] for segment in own or ()]) for side in (0, 1)]
+                    digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+                    figures.append((*sums, len(keys) - before, digest))
+            pairs, places, times = np.unique(np.frombuffer(keys, np.int64), return_inverse=True, return_counts=True)
             row = [(task << 32) + n, rows.column("doc_id").to_pylist(), *map(list, zip(*figures, strict=True))]
             row += [_pack(pairs, "<i8"), times, _pack(places, "<i4")]
             arrays = [pa.array([value], kind) for value, kind in zip(row, kinds.values(), strict=True)]
