@@ -41,7 +41,7 @@ from cabrank.llm.common import text_blocks
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CHUNKS, PAIRS = 400_000, 1_000_000  # entries of the memories
+CHUNKS, PAIRS = 250_000, 1_000_000  # entries of the memories
 CHUNK_CHARACTERS = 64  # longer ones are not kept
 NEVER = float("-inf")
 NONE = -1
@@ -83,7 +83,8 @@ class Pieces:
             prefixes = (part[:n] for n in range(len(part) - 1, 0, -1))
             self.shorter[number] = next((numbers[p] for p in prefixes if p in numbers), NONE)
         self.longest.make_automaton()
-        self.chunks: dict[str, list[int]] = {}
+        self.chunks: dict[str, list[int]] = {}  # met lately
+        self.earlier: dict[str, list[int]] = {}
         self.pairs: dict[int, bool] = {}
 
     def merging(self, text: str) -> list[tuple[float, str, str]]:
@@ -181,10 +182,10 @@ class Pieces:
         for chunk in re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", whole):
             known = self.chunks.get(chunk)
             if known is None:
-                known = self.numbers_of(chunk)
+                known = self.earlier.get(chunk) or self.numbers_of(chunk)
                 if len(chunk) <= CHUNK_CHARACTERS:
                     if len(self.chunks) >= CHUNKS:
-                        self.chunks.clear()
+                        self.chunks, self.earlier = {}, self.chunks
                     self.chunks[chunk] = known
             out += known
         return out
