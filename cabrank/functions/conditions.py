@@ -18,15 +18,16 @@ from cabrank.schema import TIME_FORMAT
 
 #: A number as people write it.
 DECIMAL = r"\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*"
-#: What else a cast takes (``60d``, ``1f``, ``0x1p3``, ``NaN``, ``Infinity``) has one of these, which no cast takes any more once replaced.
-LETTERS = "dDfFxXnN"
+#: What else a cast takes (``60d``, ``1f``, ``0x1p3``, ``NaN``, ``Infinity``) has one of these.
+LETTERS = "[dDfFxXnN]"
 
 
 def number(df: DataFrame, name: str) -> Column:
     """The column as a number; text that is not a plain decimal becomes NULL."""
     if isinstance(df.schema[name].dataType, T.NumericType):
         return F.col(name)
-    return F.translate(F.col(name).cast("string"), LETTERS, "#" * len(LETTERS)).try_cast("double")
+    text = F.col(name).cast("string")
+    return F.when(~text.rlike(LETTERS), text.try_cast("double"))
 
 
 def non_negative(df: DataFrame, name: str) -> Column:
