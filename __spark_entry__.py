@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabrank.functions.text import percent
-from cabrank.operators.clean import as_text, clean_trips, typed, with_month
-from cabrank.operators.counts import count_by, solo_share, top_k, zone_counts
+from cabrank.operators.clean import as_text, checks, clean_trips, judged_trips, reason_counts, typed, with_month
+from cabrank.operators.counts import count_by, fleet_counts, solo_share, top_k, zone_counts
 from cabrank.operators.enrich import summary
 from cabrank.operators.ratios import ratio_outliers
 from cabrank.operators.series import (
@@ -24,16 +25,20 @@ from cabrank.operators.series import (
     trips_per_month,
 )
 from cabrank.plans import order_trips as trips
+from cabrank.plans.taxi_reports import ReportRun, split_fleet
 from cabrank.schema import MONTH, YELLOW
-from cabrank.sinks.reports import shared_folder, stage_table, write_report, write_rows
-from cabrank.sources.trips import read_lookup, read_table, read_trips
+from cabrank.sinks.partials import DayCounts
+from cabrank.sinks.reports import latest_report, shared_folder, stage_table, write_report, write_rows
+from cabrank.sources.trips import read_folder, read_lookup, read_table, read_trips
 
 try:
     import corpus_pipeline
     from cabrank.llm import queries as corpus
 except ModuleNotFoundError as missing:
-    if missing.name not in ("cabrank.llm", "corpus_pipeline") and not str(missing.name).startswith("cabrank.llm."):
+    parts = str(missing.name).split(".")
+    if parts[0] == "cabrank" and parts[1:2] != ["llm"]:
         raise
+    warnings.warn(f"no corpus queries: {missing.name} is not there", stacklevel=1)
     corpus = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,6 +191,67 @@ def _csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_trips(read_trips(spark, path, fleet=YELLOW), YELLOW.pickup, YELLOW.dropoff)
 
 
+def _csv_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose files differ in the order, the number and the spelling of their columns."""
+    written = trips.written_trips(spark, sf_dir)
+    kinds = [
+        written,
+        written.select(*reversed(written.columns)).withColumn("Airport_fee", F.lit("1.25")),
+        written.withColumn("airport_fee", F.lit("2.5")).withColumnRenamed("fare_amount", "Fare_amount"),
+    ]
+    paths = [shared_folder(spark, f"mixed-{n}") for n in range(len(kinds))]
+    for n, (rows, path) in enumerate(zip(kinds, paths, strict=True)):
+        write_rows(rows.filter(F.col("passenger_count").cast("int") % len(kinds) == n), path)
+    return clean_trips(read_folder(spark, paths, YELLOW), YELLOW.pickup, YELLOW.dropoff)
+
+
+def _clean_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_trips(trips.written_trips(spark, sf_dir), YELLOW.pickup, YELLOW.dropoff)
+
+
+def _fleet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fleet_counts(_clean_written(spark, sf_dir), trips.zone_lookup(spark, sf_dir), YELLOW.pickup)
+
+
+def _reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = trips.written_trips(spark, sf_dir)
+    names = tuple(checks(written, YELLOW.pickup, YELLOW.dropoff))
+    return reason_counts(judged_trips(written, YELLOW.pickup, YELLOW.dropoff), names)
+
+
+def _rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected trips as they are stored apart, with one of their values as it was written."""
+    split = split_fleet(trips.written_trips(spark, sf_dir), YELLOW, shared_folder(spark, "split"))
+    return split.rejected.select("trip", "failed_checks", F.get_json_object("written", "$.fare_amount").alias("fare"))
+
+
+def _staged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was counted while the trips were stored by month."""
+    split = split_fleet(trips.written_trips(spark, sf_dir), YELLOW, shared_folder(spark, "split"), by_month=True)
+    return spark.range(1).select(*(F.lit(rows).cast("long").alias(name) for name, rows in split.counts.items()))
+
+
+def _counts_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items per day, of files that come in two lots; the second time only the new ones are read."""
+    items, path = trips.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate"), shared_folder(spark, "lots")
+    counts = DayCounts(spark, shared_folder(spark, "days"))
+    for lot in (0, 1):
+        items.filter(F.col("l_orderkey") % 2 == lot).write.mode("append").parquet(path)
+        counts.update(path, "l_shipdate")
+    return counts.daily()
+
+
+def _latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three runs the last is not complete, so its report does not count yet."""
+    out = shared_folder(spark, "out")
+    for n, status in enumerate(("O", "F", "O")):
+        run = ReportRun(out, f"r{n}", preview=False)
+        run.publish(trips_per_month(trips.fleet(spark, sf_dir, status), "l_shipdate"), "task8", "month")
+        if n < 2:
+            run.commit(spark)
+    return latest_report(spark, out, "task8", "month")
+
+
 def _csv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "zones")
     zones = trips.zone_lookup(spark, sf_dir).withColumn("LocationID", F.col("LocationID").cast("int"))
@@ -264,6 +330,13 @@ def queries() -> dict[str, Query]:
         "csv_conversations": _stored("conversations"),
         "csv_events": _stored("events"),
         "ordered_ratios": _ordered_ratios,
+        "csv_mixed_headers": _csv_mixed,
+        "fleet_counts": _fleet_counts,
+        "rejected_reasons": _reasons,
+        "rejected_trips": _rejected,
+        "staged_counts": _staged_counts,
+        "daily_counts_added": _counts_added,
+        "latest_report": _latest_report,
         "job_pickup_counts": _job_counts,
         "job_fare_per_mile": _job_ratios,
         "daily_counts_from": lambda spark, sf_dir: daily_counts(
@@ -341,6 +414,10 @@ WRITTEN = """(select l_orderkey || '-' || l_linenumber as trip, l_linenumber, l_
 KEPT = f"""(select * exclude (l_linenumber) from {WRITTEN}
     where l_linenumber not in (2, 3) and trip_distance >= 0 and fare_amount >= 0) kept"""
 
+#: What is wrong with a written trip, by its line number: one bit, or one name, for each check.
+FAILED_BITS = "case when l_linenumber >= 5 then 8 when l_linenumber >= 2 then 1 << (l_linenumber - 2)::integer else 0 end"
+FAILED_NAMES = """[case l_linenumber when 2 then 'tpep_pickup_datetime' when 3 then 'tpep_dropoff_datetime'
+    when 4 then 'trip_distance' when 5 then 'fare_amount' when 6 then 'fare_amount' when 7 then 'fare_amount' end]"""
 WRITTEN_WEEK = f"""select strftime(tpep_pickup_datetime, '%Y-%m-%d') as "Date", count(*) as "count" from {WRITTEN}
     where l_linenumber <> 2 and tpep_pickup_datetime >= timestamp '1998-01-01'
     and tpep_pickup_datetime < timestamp '1998-01-08' and fare_amount > 50000 and trip_distance < 20 group by 1"""
@@ -427,6 +504,25 @@ def oracle_sql() -> dict[str, str]:
         "csv_trips_typed": f"select * from {KEPT}",
         "csv_lookup": f"""select location::integer as "LocationID", borough as "Borough", zone as "Zone", service_zone
             from {ZONES} z""",
+        "csv_mixed_headers": f"""select *, case passenger_count::integer % 3 when 1 then '1.25' when 2 then '2.5' end
+            as "Airport_fee" from {KEPT}""",
+        "fleet_counts": f"""select 'Pickup' as role, borough as name, count(*) as "count"
+                from {KEPT} left join {ZONES} z on "PULocationID" = location group by 2
+            union all select 'Dropoff', borough, count(*)
+                from {KEPT} left join {ZONES} z on "DOLocationID" = location group by 2
+            union all select 'Month', monthname(tpep_pickup_datetime), count(*) from {KEPT} group by 2""",
+        "rejected_reasons": f"""select reason, count(*) as "count" from (select unnest({FAILED_NAMES}) as reason
+            from {WRITTEN}) failed where reason is not null group by 1""",
+        "rejected_trips": f"""select l_orderkey || '-' || l_linenumber as trip, ({FAILED_BITS})::integer as failed_checks,
+            case l_linenumber when 5 then l_extendedprice || 'd' when 6 then '0x1p3' when 7 then 'Infinity'
+                else l_extendedprice::varchar end as fare from lineitem where l_linenumber >= 2""",
+        "staged_counts": f"""select count(*) as "rows", count(*) filter ({FAILED_BITS} <> 0) as rejected,
+            count(*) filter (l_linenumber = 2) as tpep_pickup_datetime,
+            count(*) filter (l_linenumber = 3) as tpep_dropoff_datetime,
+            count(*) filter (l_linenumber = 4) as trip_distance,
+            count(*) filter (l_linenumber >= 5) as fare_amount from {WRITTEN}""",
+        "daily_counts_added": "select cast(l_shipdate as date) as pickup_day, count(*) as total_trips from lineitem group by 1",
+        "latest_report": _months_sql("F"),
         "csv_conversations": "select * from conversations",
         "csv_events": "select * from events",
         "ordered_ratios": f"""with ratios as (select l_shipdate, l_extendedprice / nullif(l_discount, 0)

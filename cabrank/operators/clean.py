@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabrank.functions.conditions import non_negative, number, well_formed_time
-from cabrank.schema import AMOUNTS, MONTH, TIME_FORMAT, TRIP_TYPES
+from cabrank.schema import AMOUNTS, FAILED, MONTH, TIME_FORMAT, TRIP_TYPES, WRITTEN
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -57,6 +57,18 @@ def typed(df: DataFrame, times: tuple[str, ...] = (), fmt: str = TIME_FORMAT, zo
     return df.select([column(name).alias(name) for name in df.columns])
 
 
+def checks(
+    df: DataFrame,
+    pickup: str | None = None,
+    dropoff: str | None = None,
+    amounts: tuple[str, ...] = AMOUNTS,
+    fmt: str = TIME_FORMAT,
+) -> dict[str, Column]:
+    """What a trip must meet, by the column that it is about."""
+    found = {name: well_formed_time(df, name, fmt) for name in (pickup, dropoff) if name is not None}
+    return found | {name: non_negative(df, name) for name in amounts}
+
+
 def clean_trips(
     df: DataFrame,
     pickup: str | None = None,
@@ -72,12 +84,42 @@ def clean_trips(
     times, ``zone`` the one in which instants are read off the clock.
     """
     times = tuple(name for name in (pickup, dropoff) if name is not None)
-    checks = [well_formed_time(df, name, fmt) for name in times]
-    checks += [non_negative(df, name) for name in amounts]
-    kept = df.filter(reduce(and_, checks)) if checks else df
+    found = checks(df, pickup, dropoff, amounts, fmt)
+    kept = df.filter(reduce(and_, found.values())) if found else df
     return typed(kept, times, fmt, zone)
 
 
+def judged_trips(
+    df: DataFrame,
+    pickup: str | None = None,
+    dropoff: str | None = None,
+    amounts: tuple[str, ...] = AMOUNTS,
+    fmt: str = TIME_FORMAT,
+    zone: str | None = None,
+) -> DataFrame:
+    """All trips, typed, with the checks that each fails: those that fail none are what ``clean_trips`` gives.
+
+    ``FAILED`` has a bit for each check, in the order of ``checks``. A trip that
+    fails any keeps its values as they were written, as JSON in ``WRITTEN``, for
+    its columns may have become NULL by their types.
+    """
+    times = tuple(name for name in (pickup, dropoff) if name is not None)
+    found = checks(df, pickup, dropoff, amounts, fmt)
+    bits = [F.when(F.coalesce(check, F.lit(False)), 0).otherwise(1 << n) for n, check in enumerate(found.values())]
+    mask = reduce(Column.bitwiseOR, bits, F.lit(0))
+    written = F.when(F.col(FAILED) != 0, F.to_json(F.struct(*df.columns)))
+    marked = df.withColumn(FAILED, mask).withColumn(WRITTEN, written)
+    return typed(marked, times, fmt, zone)
+
+
+def reason_counts(judged: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Trips per failed check; a trip that fails several counts for each. ``names`` are those of the checks, in order."""
+    each = F.array(*(F.when(F.col(FAILED).bitwiseAND(1 << n) != 0, name) for n, name in enumerate(names)))
+    reasons = judged.filter(F.col(FAILED) != 0).groupBy(FAILED).agg(F.count("*").alias("count"))
+    exploded = reasons.select(F.explode(F.array_compact(each)).alias("reason"), "count")
+    return exploded.groupBy("reason").agg(F.sum("count").alias("count"))
+
+
 def with_month(trips: DataFrame, pickup: str) -> DataFrame:
     """Trips with the month of their pickup, such as 202306, to be stored by it."""
     return trips.withColumn(MONTH, F.year(pickup) * 100 + F.month(pickup))

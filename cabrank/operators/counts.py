@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabrank.functions.conditions import number
-from cabrank.schema import ZONE_KEY
+from cabrank.functions.text import month_name
+from cabrank.schema import MONTH_ROLE, ROLES, ZONE_KEY
 
 
 def count_by(df: DataFrame, key: str, count: str = "count") -> DataFrame:
@@ -43,6 +44,34 @@ def zone_counts(
     return carry_counts(count_by(trips, key, count), lookup, key, ZONE_KEY, group, name, count)
 
 
+def fleet_counts(trips: DataFrame, lookup: DataFrame, pickup: str, roles: dict[str, str] = ROLES, group: str = "Borough") -> DataFrame:
+    """Trips per zone group of every role and per month, in one pass: ``role``, ``name`` and ``count``.
+
+    Grouping sets count the ids of all roles and the months together, folded to a
+    row for each id or month in each task; the few counts are then carried over to
+    the lookup's groups and the months' names. A role's rows equal its
+    ``zone_counts``, those of ``MONTH_ROLE`` equal ``trips_per_month``; NULL is a
+    name of its own. Ids must be numbers, as ``typed`` makes them.
+    """
+    keys = {role: F.col(key) for role, key in roles.items()} | {MONTH_ROLE: F.month(F.col(pickup).try_cast("date"))}
+    narrow = trips.select([key.cast("bigint").alias(role) for role, key in keys.items()])
+    counts = narrow.groupingSets([[role] for role in keys], *keys).agg(
+        F.count("*").alias("count"), *(F.grouping(role).alias(f"_{role}") for role in keys)
+    )
+    role = F.coalesce(*(F.when(F.col(f"_{name}") == 0, name) for name in keys))
+    key = F.coalesce(*keys)
+    counts = counts.select(role.alias("role"), key.alias("key"), "count")
+    entries = lookup.select(F.col(ZONE_KEY).cast("bigint").alias("_key"), F.col(group).alias("_group"))
+    zones = (F.col("key") == F.col("_key")) & (F.col("role") != MONTH_ROLE)
+    name = F.when(F.col("role") == MONTH_ROLE, month_name(F.col("key"))).otherwise(F.col("_group"))
+    return counts.join(entries, zones, "left").groupBy("role", name.alias("name")).agg(F.sum("count").alias("count"))
+
+
+def counts_of(counts: DataFrame, role: str, name: str, count: str = "count") -> DataFrame:
+    """One role of ``fleet_counts`` as a report of its own."""
+    return counts.filter(F.col("role") == role).select(F.col("name").alias(name), F.col("count").alias(count))
+
+
 def top_k(counts: DataFrame, key: str, k: int = 5, count: str = "count") -> DataFrame:
     """The k largest counts, largest first; equal counts are ordered by key."""
     return counts.orderBy(F.desc(count), F.asc_nulls_first(key)).limit(k)

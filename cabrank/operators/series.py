@@ -81,5 +81,10 @@ def peak_month(df: DataFrame, time: str) -> DataFrame:
     Trips without a time form a group too; if they are the largest there is no
     peak month and the result is empty.
     """
-    top = _month_counts(df, time).orderBy(F.desc("count"), "pickup_month").limit(1)
+    return peak_of(_month_counts(df, time))
+
+
+def peak_of(months: DataFrame) -> DataFrame:
+    """The same from counts per month that exist already."""
+    top = months.orderBy(F.desc("count"), "pickup_month").limit(1)
     return top.filter(F.col("pickup_month").isNotNull()).select("pickup_month", F.col("count").alias("trip_count"))

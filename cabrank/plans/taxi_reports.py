@@ -2,8 +2,9 @@
 
     spark-submit cabrank/plans/taxi_reports.py --yellow DIR --green DIR --zones FILE --out DIR
 
-Both fleets are read and cleaned once and stored as Parquet; the reports read
-the few columns they need from there. Connection settings of an object store
+Both fleets are read and judged once and stored as Parquet, rejected trips apart
+with what is wrong with them; the reports read the few columns they need from
+there, and all counts per zone and month come from one pass. Connection settings of an object store
 belong to spark-submit (``--conf spark.hadoop.fs.s3a.*``).
 """
 
@@ -15,26 +16,34 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cabrank.functions.conditions import expensive_short
 from cabrank.functions.text import percent
-from cabrank.operators.clean import clean_trips, with_month
-from cabrank.operators.counts import solo_share, top_k, zone_counts
+from cabrank.operators.clean import checks, judged_trips, with_month
+from cabrank.operators.counts import counts_of, fleet_counts, solo_share, top_k
 from cabrank.operators.enrich import enrich_zones, summary
 from cabrank.operators.ratios import ratio_outliers
-from cabrank.operators.series import daily_anomalies, daily_counts, filtered_daily, in_range, mean_day, peak_month
-from cabrank.schema import GREEN, MONTH, YELLOW, Fleet
-from cabrank.sinks.reports import report_path, run_stamp, stage_table, write_report, write_rows
+from cabrank.operators.series import daily_anomalies, daily_counts, filtered_daily, in_range, mean_day, peak_of
+from cabrank.schema import FAILED, GREEN, MONTH, MONTH_ROLE, ROLES, TIME_FORMAT, WRITTEN, YELLOW, ZONE_KEY, Fleet
+from cabrank.sinks.reports import (
+    Split,
+    commit_run,
+    report_path,
+    run_stamp,
+    stage_split,
+    stage_table,
+    write_report,
+    write_rows,
+)
 from cabrank.sources.trips import read_lookup, read_trips
 
-ROLES = {"Pickup": "PULocationID", "Dropoff": "DOLocationID"}
-
-
 class ReportRun:
     """Where the reports of one run go, and what they are called."""
 
     def __init__(self, out: str, run_id: str, preview: bool = True):
         self.out, self.run_id, self.preview = out, run_id, preview
+        self.reports: list[tuple[str, str, StructType]] = []
 
     def path(self, task: str, name: str) -> str:
         return report_path(self.out, task, name, self.run_id)
@@ -42,36 +51,73 @@ class ReportRun:
     def publish(self, df: DataFrame, task: str, name: str) -> DataFrame:
         """Write an aggregated report, show it from the stored file, return that."""
         stored = write_report(df, self.path(task, name), single_file=True)
+        self.reports.append((task, name, stored.schema))
         if self.preview:
             stored.show()
         return stored
 
+    def publish_rows(self, df: DataFrame, task: str, name: str) -> DataFrame:
+        """Write a row-level report from all tasks."""
+        stored = write_rows(df, self.path(task, name))
+        self.reports.append((task, name, stored.schema))
+        return stored
 
-def stage_fleet(trips: DataFrame, fleet: Fleet, path: str, by_month: bool = False) -> DataFrame:
-    """Clean the trips of a fleet and store them."""
-    clean = clean_trips(trips, fleet.pickup, fleet.dropoff)
+    def commit(self, spark: SparkSession) -> None:
+        """Make the run count: only now ``latest_report`` finds its reports."""
+        commit_run(spark, self.out, self.run_id, self.reports)
+
+
+def split_fleet(trips: DataFrame, fleet: Fleet, path: str, by_month: bool = False, fmt: str = TIME_FORMAT) -> Split:
+    """Judge the trips of a fleet and store them, rejected ones apart, in one pass that also counts them.
+
+    ``counts`` has the rows read, those rejected, and those that fail each check.
+    """
+    names = tuple(checks(trips, fleet.pickup, fleet.dropoff))
+    judged = judged_trips(trips, fleet.pickup, fleet.dropoff, fmt=fmt)
+    bad = F.col(FAILED) != 0
+    counts = {"rejected": bad} | {name: F.col(FAILED).bitwiseAND(1 << n) != 0 for n, name in enumerate(names)}
     if by_month:
-        return stage_table(with_month(clean, fleet.pickup), path, MONTH)
-    return stage_table(clean, path)
+        judged = with_month(judged, fleet.pickup)
+    return stage_split(judged, path, bad, counts, MONTH if by_month else None)
 
 
-def fleet_reports(run: ReportRun, fleet: Fleet, trips: DataFrame, zones: DataFrame) -> None:
-    """The reports that exist for every fleet."""
-    title, prefix = fleet.title, fleet.title.lower()
+def stage_fleet(trips: DataFrame, fleet: Fleet, path: str, by_month: bool = False) -> DataFrame:
+    """The clean trips of a fleet, stored."""
+    return split_fleet(trips, fleet, path, by_month).kept.drop(FAILED, WRITTEN)
+
 
-    enriched = enrich_zones(trips, zones)
+def summary_of(kept: DataFrame, rows: int, zones: DataFrame) -> DataFrame:
+    """The summary of the trips with their zones, from rows that were counted on the way.
+
+    They are as many as before if no zone id has several entries; else they are
+    counted.
+    """
+    enriched = enrich_zones(kept, zones)
     enriched.printSchema()
-    summary(enriched).show()
+    if zones.groupBy(ZONE_KEY).count().filter("count > 1").isEmpty():
+        columns = F.lit(len(enriched.columns)).alias("column_count")
+        return kept.sparkSession.range(1).select(F.lit(rows).cast("long").alias("row_count"), columns)
+    return summary(enriched)
+
+
+def fleet_reports(run: ReportRun, fleet: Fleet, split: Split, zones: DataFrame) -> None:
+    """The reports that exist for every fleet; all counts come from one pass over its trips."""
+    title, prefix = fleet.title, fleet.title.lower()
+    trips = split.kept.drop(FAILED, WRITTEN)
+
+    dropped = " ".join(f"{name}={rows}" for name, rows in split.counts.items())
+    print(f"{title}: {dropped}")
+    summary_of(trips, split.counts["rows"] - split.counts["rejected"], zones).show()
 
-    for role, key in ROLES.items():
+    counts = stage_table(fleet_counts(trips, zones, fleet.pickup), run.path("counts", fleet.taxi_type))
+    for role in ROLES:
         borough, column = f"{role}_Borough", f"{title}_{role}_Count"
-        counts = zone_counts(trips, zones, key, borough, column)
-        stored = run.publish(counts, "task2", f"{prefix}_{role.lower()}_counts")
+        stored = run.publish(counts_of(counts, role, borough, column), "task2", f"{prefix}_{role.lower()}_counts")
         top = top_k(stored.withColumnRenamed(column, "count"), borough)
         run.publish(top, "task4", f"top_{prefix}_{role.lower()}")
 
     solo_share(trips).select(F.lit(title).alias("fleet"), percent(F.col("percentage_solo")).alias("solo")).show()
-    run.publish(peak_month(trips, fleet.pickup), "task8", f"month_{prefix}")
+    run.publish(peak_of(counts_of(counts, MONTH_ROLE, "pickup_month")), "task8", f"month_{prefix}")
 
 
 def yellow_reports(run: ReportRun, trips: DataFrame, year: int, month: str | None = None) -> None:
@@ -81,12 +127,12 @@ def yellow_reports(run: ReportRun, trips: DataFrame, year: int, month: str | Non
     run.publish(filtered_daily(trips, time, dear), "task3", "daily_trip_counts")
 
     june = daily_counts(trips, time, f"{year}-06-01", f"{year}-07-01", month)
-    stored = write_report(june, run.path("task5", "trip_count"), single_file=True)
+    stored = run.publish(june, "task5", "trip_count")
     mean_day(stored).show()
     run.publish(daily_anomalies(stored), "task5", "anomalies")
 
     march = in_range(trips, time, f"{year}-03-01", f"{year}-04-01", month)
-    write_rows(ratio_outliers(march), run.path("task6", "fare_per_mile"))
+    run.publish_rows(ratio_outliers(march), "task6", "fare_per_mile")
 
 
 def run_reports(
@@ -105,12 +151,13 @@ def run_reports(
     run = ReportRun(out, run_id or run_stamp(), preview)
     lookup = read_lookup(spark, zones)
     staged = {
-        fleet: stage_fleet(read_trips(spark, path, fmt, fleet), fleet, run.path("trips", fleet.taxi_type), by_month)
+        fleet: split_fleet(read_trips(spark, path, fmt, fleet), fleet, run.path("trips", fleet.taxi_type), by_month)
         for fleet, path in ((YELLOW, yellow), (GREEN, green))
     }
-    for fleet, trips in staged.items():
-        fleet_reports(run, fleet, trips, lookup)
-    yellow_reports(run, staged[YELLOW], year, MONTH if by_month else None)
+    for fleet, split in staged.items():
+        fleet_reports(run, fleet, split, lookup)
+    yellow_reports(run, staged[YELLOW].kept, year, MONTH if by_month else None)
+    run.commit(spark)
     return run
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MONTH = "trip_month"
+#: Which checks a trip fails, one bit for each, and its values as they were written if it fails any.
+FAILED, WRITTEN = "failed_checks", "written"
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,11 @@ TRIP_TYPES = {
     "DOLocationID": "int",
 }
 
+#: Which column holds the zone id of each role that a zone plays for a trip.
+ROLES = {"Pickup": "PULocationID", "Dropoff": "DOLocationID"}
+#: The role under which counts per month stand beside them.
+MONTH_ROLE = "Month"
+
 ZONE_KEY = "LocationID"
 ZONE_COLUMNS = ("Borough", "Zone", "service_zone")
 LOOKUP_SCHEMA = T.StructType(

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+#: Names the folder of a run, and the column that tells rejected rows.
+RUN, REJECTED = "run", "rejected"
+
+
 def run_stamp(at: datetime | None = None) -> str:
     """Names a run by its time, without the colons that some stores refuse."""
     return (at or datetime.now()).strftime("%Y%m%dT%H%M%S")
@@ -77,6 +82,27 @@ def write_report(df: DataFrame, path: str, single_file: bool = False) -> DataFra
     return read_report(df.sparkSession, path, df.schema)
 
 
+RUNS = "runs"
+RUN_SCHEMA = "run_id string, at timestamp, task string, name string, schema string"
+
+
+def commit_run(spark: SparkSession, base: str, run_id: str, reports: list[tuple[str, str, StructType]]) -> None:
+    """List a run's reports (task, name, schema) as complete, in one row for each, after all of them are written."""
+    at = datetime.now()
+    rows = [(run_id, at, task, name, schema.json()) for task, name, schema in reports]
+    spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{RUNS}")
+
+
+def latest_report(spark: SparkSession, base: str, task: str, name: str) -> DataFrame:
+    """A report as the last complete run wrote it. Reports of a run that was not committed do not count."""
+    runs = spark.read.schema(RUN_SCHEMA).parquet(f"{base.rstrip('/')}/{RUNS}")
+    wanted = runs.filter((F.col("task") == task) & (F.col("name") == name))
+    last = wanted.orderBy(F.desc("at"), F.desc("run_id")).first()
+    if last is None:
+        raise ValueError(f"no complete run has {task}/{name}")
+    return read_report(spark, report_path(base, task, name, last.run_id), StructType.fromJson(json.loads(last.schema)))
+
+
 def write_rows(df: DataFrame, path: str, order_by: str | None = None, keep_order: bool = False) -> DataFrame:
     """Write a row-level result from all tasks, in range order if asked for.
 
@@ -108,16 +134,66 @@ def stage_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Split:
+    """A table stored in two parts, and what was counted on the way."""
+
+    kept: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def stage_split(df: DataFrame, path: str, rejected: Column, counts: dict[str, Column], partition_by: str | None = None) -> Split:
+    """Write a table once, rejected rows apart from the others, counting rows while they are written.
+
+    ``counts`` are conditions; the rows that meet each are counted, and all
+    ``rows``. The counts come from the tasks that write, after any move of rows,
+    so a task that has to be run again counts once.
+    """
+    marked = df.withColumn(REJECTED, F.coalesce(rejected, F.lit(False)))
+    if partition_by is not None:
+        marked = marked.hint("rebalance", F.col(partition_by))
+    seen = Observation()
+    metrics = [F.count_if(condition).alias(name) for name, condition in counts.items()]
+    folders = [REJECTED] if partition_by is None else [REJECTED, partition_by]
+    observed = marked.observe(seen, F.count("*").alias("rows"), *metrics)
+    observed.write.mode("overwrite").partitionBy(*folders).parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    kept, gone = (stored.filter(F.col(REJECTED) == flag).select(df.columns) for flag in (False, True))
+    return Split(kept, gone, dict(seen.get))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the folder that all executors share.
+    """A fresh path in the folder of this session's run, below the one that all executors share.
 
-    That folder is the session's ``spark.checkpoint.dir``. A local session
-    without the setting gets a temporary folder; a cluster without it is an
-    error, as a folder of one machine would be invisible to the others.
+    The shared folder is the session's ``spark.checkpoint.dir``. A local session
+    without the setting takes one in its warehouse; a cluster without it is an
+    error. ``drop_scratch`` removes the run's folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="cabrank-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return f"{base.rstrip('/')}/{RUN}-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The store of a path, as Spark itself finds it, and the path in it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, found = _file_system(spark, path)
+    return bool(store.exists(found))
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Remove all that this session's application has staged; whether there was anything.
+
+    Tables read from there are gone, too, so results have to be written elsewhere
+    before. Other applications' folders are left alone.
+    """
+    store, folder = _file_system(spark, shared_folder(spark, "").rpartition("/")[0])
+    return bool(store.delete(folder, True))

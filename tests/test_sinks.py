@@ -91,7 +91,7 @@ def test_staging_no_rows(spark, trips, tmp_path):
 def test_shared_folder_is_the_sessions(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
-    assert first.startswith(f"{base}/x-") and first != second
+    assert first.startswith(f"{base}/run-{spark.sparkContext.applicationId}/x-") and first != second
 
 
 def test_csv_folder_is_text_named_by_the_header(spark, raw_trips, tmp_path):
