@@ -4,6 +4,7 @@ import gzip
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import brute
 import duckdb
@@ -314,13 +315,32 @@ def test_long_texts_train_too(spark):
     rows = [(i, brute.prose(i, 6000) if i % 2 else f"junk {i} click here now " * 2000) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
-    sample = compression.labelled(docs, labels).collect()
+    sample = compression.labelled(docs, compression.marked(docs, labels)).collect()
     assert min(len(r.text) for r in sample) > 30_000
     assert len(sample) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(40))
     judged = compression.classify(docs, labels).collect()
     assert [r.predicted for r in sorted(judged)] == [i % 2 for i in range(40)]
 
 
+def test_scores_are_shares(spark, sf_dir):
+    """In each well-filled range of scores of held-out texts the mean score is the share of good ones."""
+    folder = Path(sf_dir).parent / "sf0.1"
+    docs, labels = (spark.read.parquet(str(folder / f"{name}.parquet")) for name in ("documents", "labels"))
+    model = compression.fit(docs, labels)
+    held = docs.join(labels.filter(compression.held_out()), "doc_id").select("quality", compression.score(model).alias("score")).collect()
+    scores, kinds = np.array([row.score for row in held]), np.array([row.quality for row in held])
+    assert len(held) > 700 and ((scores >= compression.THRESHOLD) == kinds).mean() >= 0.98
+    assert abs(scores.mean() - kinds.mean()) < 0.02
+    edges = [0, 0.05, 0.3, 0.7, 0.95, 1.01]
+    filled = 0
+    for low, high in zip(edges, edges[1:], strict=False):
+        own = (scores >= low) & (scores < high)
+        if own.sum() >= 40:
+            filled += 1
+            assert abs(scores[own].mean() - kinds[own].mean()) <= 0.05
+    assert filled >= 2
+
+
 def test_documents_that_are_all_held_out_are_an_error(spark):
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
     docs = spark.createDataFrame([(i, brute.prose(i, 60)) for i in range(out + 5)], "doc_id long, text string")
