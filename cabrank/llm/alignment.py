@@ -31,12 +31,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -89,15 +87,9 @@ class Alignment:
         return meets, at[meets]
 
 
-class Segment(NamedTuple):
-    """What is kept of a segment: tokens of both sides, its groups in writing, and its links as pairs of ids."""
-
-    n_a: int
-    n_b: int
-    groups: str
-    pairs: array
-
-
+#: What is kept of a segment: tokens of both sides, its groups in writing, and its links as pairs of ids in 64 bits.
+#: A plain tuple of plain values is nothing that the collector of garbage has to visit.
+Segment = tuple[int, int, str, bytes]
 NOTHING = Alignment(*(Side(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in range(2)))
 
 
@@ -187,7 +179,7 @@ class Aligner:
             self.known, self.earlier = {}, self.known
         known, earlier = self.known, self.earlier
         cuts = [BETWEEN.split(text) if text else [] for text in texts]
-        met = {part for own in cuts for part in own if part not in known}
+        met = set(chain.from_iterable(cuts)).difference(known)
         found: dict[str, Segment | None] = {part: earlier[part] for part in met if part in earlier}
         new = [part for part in met if part not in found]
         found |= dict.fromkeys(new)
@@ -204,7 +196,9 @@ class Aligner:
                 self._learn([part], found)
         known |= {part: segment for part, segment in found.items() if len(part) <= KNOWN_CHARACTERS}
         for own in cuts:
-            segments = [known[part] if part in known else found[part] for part in own]
+            segments = list(map(known.get, own))
+            if None in segments:  # too long to be kept, or without tokens
+                segments = [segment or found.get(part) for part, segment in zip(own, segments, strict=True)]
             yield None if None in segments else segments
 
     def _learn(self, parts: list[str], found: dict[str, Segment | None]) -> None:
@@ -218,7 +212,7 @@ class Aligner:
                     self._learn([part], found)
             return
         at_a, at_b = both.links()
-        pairs = array("q", ((both.a.ids[at_a] << 32) | both.b.ids[at_b]).tobytes())
+        pairs = ((both.a.ids[at_a] << 32) | both.b.ids[at_b]).tobytes()
         groups = self.groups(both).split(";")
         ends = np.cumsum([len(part.encode()) + 1 for part in parts])
         edges_a, edges_b, edges = (
@@ -227,7 +221,7 @@ class Aligner:
         for n, part in enumerate(parts):
             low, high = edges[n], edges[n + 1]
             n_a, n_b = edges_a[n + 1] - edges_a[n], edges_b[n + 1] - edges_b[n]
-            found[part] = Segment(n_a, n_b, ";".join(groups[low:high]), pairs[low:high])
+            found[part] = n_a, n_b, ";".join(groups[low:high]), pairs[8 * low : 8 * high]
 
     def groups(self, found: Alignment) -> str:
         """Ids of all groups: ``a1,a2|b1;a3|b2,b3``."""
@@ -309,16 +303,14 @@ def chunks(docs: DataFrame, doc_id: str, text: str, vocabulary: str, model: str,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, task = aligner(vocabulary, model), TaskContext.get().partitionId()
         for n, (rows, texts) in enumerate(text_blocks(batches, "text", most)):
-            figures, keys = [], array("q")
+            figures, keys = [], bytearray()
             for some in _some(texts):
                 for own in both.segments(some):
-                    groups = ";".join([segment.groups for segment in own or ()])
-                    before = len(keys)
-                    for segment in own or ():
-                        keys += segment.pairs
-                    sums = [sum([segment[side] for segment in own or ()]) for side in (0, 1)]
+                    n_a, n_b, written, pairs = zip(*own, strict=True) if own else ((), (), (), ())
+                    groups, before = ";".join(written), len(keys)
+                    keys += b"".join(pairs)
                     digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                    figures.append((*sums, len(keys) - before, digest))
+                    figures.append((sum(n_a), sum(n_b), (len(keys) - before) // 8, digest))
             pairs, places, times = np.unique(np.frombuffer(keys, np.int64), return_inverse=True, return_counts=True)
             row = [(task << 32) + n, rows.column("doc_id").to_pylist(), *map(list, zip(*figures, strict=True))]
             row += [_pack(pairs, "<i8"), times, _pack(places, "<i4")]

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -67,6 +67,7 @@ class Pieces:
         inner = sorted({x for piece in self.scores for x in piece} - set(self.scores))
         self.pieces = len(model.pieces)
         self.other = self.pieces + len(inner)
+        self.bits = self.other.bit_length()
         self.histories = [[(NEVER, OTHER, OTHER)]] * (self.other + 1)
         self.sizes = [1] * (self.other + 1)
         self.shorter = [NONE] * (self.other + 1)
@@ -83,8 +84,8 @@ class Pieces:
             prefixes = (part[:n] for n in range(len(part) - 1, 0, -1))
             self.shorter[number] = next((numbers[p] for p in prefixes if p in numbers), NONE)
         self.longest.make_automaton()
-        self.chunks: dict[str, list[int]] = {}  # met lately
-        self.earlier: dict[str, list[int]] = {}
+        self.chunks: dict[str, Sequence[int]] = {}  # met lately
+        self.earlier: dict[str, Sequence[int]] = {}
         self.pairs: dict[int, bool] = {}
 
     def merging(self, text: str) -> list[tuple[float, str, str]]:
@@ -111,7 +112,7 @@ class Pieces:
         """
         if len(self.pairs) >= PAIRS:
             self.pairs.clear()
-        apart = self.pairs[a << 32 | b] = self._stay_apart(self.histories[a], self.histories[b])
+        apart = self.pairs[a << self.bits | b] = self._stay_apart(self.histories[a], self.histories[b])
         return apart
 
     def _stay_apart(self, left: list[tuple[float, str, str]], right: list[tuple[float, str, str]]) -> bool:
@@ -137,47 +138,48 @@ class Pieces:
             if end != last:  # the longest of an end comes first
                 longest[n - 1 - end] = number
                 last = end
-        sizes, shorter, known = self.sizes, self.shorter, self.pairs.get
+        sizes, shorter, known, bits = self.sizes, self.shorter, self.pairs.get, self.bits
         failed = bytearray(n // 8 + 1)
         found: list[int] = []
-        at, before, part = 0, NONE, longest[0] if n else NONE
+        at, before = 0, NONE
         while at < n:
-            end = at + sizes[part]
-            if not failed[end >> 3] >> (end & 7) & 1:
-                fits = before == NONE or known(before << 32 | part)
-                if fits is None:
-                    fits = self.compatible(before, part)
-                if fits:
-                    found.append(part)
-                    at, before = end, part
-                    part = longest[at] if at < n else NONE
-                    continue
-            part = shorter[part]
-            while part == NONE:
-                failed[at >> 3] |= 1 << (at & 7)
-                back = found.pop()
-                at -= sizes[back]
-                before, part = found[-1] if found else NONE, shorter[back]
+            part = longest[at]
+            while True:
+                end = at + sizes[part]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    fits = before < 0 or known(before << bits | part)
+                    if fits is None:
+                        fits = self.compatible(before, part)
+                    if fits:
+                        found.append(part)
+                        at, before = end, part
+                        break
+                part = shorter[part]
+                while part < 0:
+                    failed[at >> 3] |= 1 << (at & 7)
+                    back = found.pop()
+                    at -= sizes[back]
+                    before, part = found[-1] if found else NONE, shorter[back]
         return found
 
-    def numbers_of(self, text: str) -> list[int]:
+    def numbers_of(self, text: str) -> Sequence[int]:
         """Ids of a normalised text."""
         found = self.parts(text)
         if max(found, default=0) < self.pieces:
-            return found
+            return tuple(found)
         out: list[int] = []
         at = 0
         for part in found:
             end = at + self.sizes[part]
             out.extend([part] if part < self.pieces else [self.bytes[x] for x in text[at:end].encode()])
             at = end
-        return out
+        return tuple(out)
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; NULL is empty."""
         whole = self.library.normalize(text) if text else ""
         if not self.in_chunks:
-            return self.numbers_of(whole)
+            return list(self.numbers_of(whole))
         out: list[int] = []
         for chunk in re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", whole):
             known = self.chunks.get(chunk)
