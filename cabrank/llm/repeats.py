@@ -13,6 +13,7 @@ never cross documents.
    The different texts around one anchor are brought together in shards of bounded
    size, two copies of each text that occurs more than once. Further copies would
    tell nothing new; what is found for a text holds for all runs of its digest.
+   Runs that follow each other in both copies are compared in one piece.
 3. *Suffix arrays.* Each shard gets a suffix array by Larsson-Sadakane refinement and
    common prefixes by Kasai's scan. They alone tell the windows that recur in it.
 4. *Across shards.* Anchors with too many different texts for a shard are dealt
@@ -36,11 +37,11 @@ import hashlib
 import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -52,6 +53,7 @@ LEAST = 200
 GRAM = 64
 SHARD_BYTES = 1 << 20
 SCAN_BYTES = 1 << 20
+STRETCH = 1 << 16
 DIGEST = 16  # bytes
 PLACE_BITS = np.uint64(22)  # of a place in a scanned block
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
@@ -210,33 +212,36 @@ def recurring(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     return staged(runs(keyed, sizes, secret).join(staged(counts, "anchors"), "anchor"), "runs")
 
 
+#: The runs of a segment: anchor, digest, place of the first window in the segment, number of windows.
+MEMBERS = "array<struct<anchor: bigint, content: binary, place: int, windows: int>>"
+
+
 def _texts(chosen: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
-    """The text of each chosen run, fetched from the documents."""
-    wanted = chosen.groupBy("key", "size").agg(
-        F.collect_list(F.struct("anchor", "content", "copy", "salt", "split", "start", "windows")).alias("runs")
-    )
+    """The text of each chosen segment, fetched from the documents."""
+    columns = ["anchor", "content", "copy", "salt", "split", "members"]
+    wanted = chosen.groupBy("key", "size").agg(F.collect_list(F.struct(*columns, "start", "windows")).alias("segments"))
+    joined = keyed.select("key", "size", "text").join(wanted.hint("shuffle_hash"), ["key", "size"])
+    members = pa.list_(pa.struct({"anchor": pa.int64(), "content": pa.binary(), "place": pa.int32(), "windows": pa.int32()}))
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), members, pa.binary()]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in rows_of(batches, "text", "runs", most=64):
+        for rows in rows_of(batches, "text", "segments", most=64):
             out = []
             for text, found in rows:
                 raw = text.encode()
-                for run in found:
-                    a = run["start"]
-                    content = raw[a : a + run["windows"] - 1 + sizes.least]
-                    out.append((*(run[name] for name in names[:-1]), content))
+                for part in found:
+                    a = part["start"]
+                    content = raw[a : a + part["windows"] - 1 + sizes.least]
+                    out.append((*(part[name] for name in columns), content))
             arrays = [pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays(arrays, [*columns, "text"])
 
-    names = ["anchor", "content", "copy", "salt", "split", "text"]
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-    joined = keyed.select("key", "size", "text").join(wanted.hint("shuffle_hash"), ["key", "size"])
-    schema = "anchor long, content binary, copy int, salt int, split boolean, text binary"
-    return joined.select("text", "runs").mapInArrow(fetch, schema)
+    schema = f"anchor long, content binary, copy int, salt int, split boolean, members {MEMBERS}, text binary"
+    return joined.select("text", "segments").mapInArrow(fetch, schema)
 
 
 def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
-    """Repeated windows of each text by the suffix array of its shard; digests of windows where an anchor has several shards.
+    """Repeated windows of each run by the suffix array of its shard; digests of windows where an anchor has several shards.
 
     Equal rows of the input bring a copy once each; the first is enough.
     """
@@ -245,7 +250,7 @@ def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple] = []
         size, group = 0, None
-        for rows in rows_of(batches, "anchor", "content", "copy", "salt", "split", "text", most=512):
+        for rows in rows_of(batches, "anchor", "content", "copy", "salt", "split", "members", "text", most=512):
             for row in rows:
                 if shard and row[:3] == shard[-1][:3]:
                     continue
@@ -253,7 +258,7 @@ def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
                     yield _judged(shard, sizes, salt)
                     shard, size = [], 0
                 shard.append(row)
-                size += len(row[5])
+                size += len(row[6])
                 group = row[0], row[3]
         if shard:
             yield _judged(shard, sizes, salt)
@@ -264,22 +269,25 @@ def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
 
 
 def _judged(shard: list[tuple], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
-    """What the suffix array of a shard tells of each text, by its first copy."""
-    text = Buffer.of([row[5] for row in shard])
+    """What the suffix array of a shard tells of each run, by the first copy of its text."""
+    text = Buffer.of([row[6] for row in shard])
     found, first = repeated(text, sizes.least)
+    nothing = np.empty(0, np.int64)
     out = []
-    for (anchor, content, copy, _, split, raw), start in zip(shard, text.starts, strict=True):
-        own = slice(start, start + len(raw) - sizes.least + 1)
-        places = np.flatnonzero(first[own]) if split else np.empty(0, np.int64)
+    for (_, _, copy, _, split, members, raw), start in zip(shard, text.starts, strict=True):
         if copy:
             continue
-        digests = [digest(raw[at : at + sizes.least], salt) for at in places.tolist()]
-        highs, lows = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
-        out.append((anchor, content, spans_of(found[own]), highs, lows, places, ~found[own][places]))
+        for run in members:
+            low = start + run["place"]
+            own = slice(low, low + run["windows"])
+            places = np.flatnonzero(first[own]) if split else nothing
+            digests = [digest(raw[at : at + sizes.least], salt) for at in (places + run["place"]).tolist()]
+            highs, lows = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
+            out.append((run["anchor"], run["content"], spans_of(found[own]), highs, lows, places, ~found[own][places]))
     kinds = [pa.int64(), pa.binary(), *map(pa.list_, (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))]
     names = ["anchor", "content", "spans", "highs", "lows", "places", "single"]
-    arrays = [pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, names)
+    columns = zip(*out, strict=True) if out else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names)
 
 
 def spans_of(marked: np.ndarray) -> np.ndarray:
@@ -323,6 +331,60 @@ def _shared(rows: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["anchor", "content", "place"])
 
 
+def _singles(texts: DataFrame, sizes: Sizes) -> DataFrame:
+    """Each text of an anchor with several as a segment, twice if it recurs, in the shard that its digest says."""
+    shards = F.ceil(2 * F.col("bytes") / sizes.shard).cast("int")
+    run = F.struct("anchor", "content", F.lit(0).alias("place"), F.col("first.windows").alias("windows"))
+    both = F.when(F.col("n") > 1, F.array("first", "last")).otherwise(F.array("first"))
+    copies = texts.select(
+        "anchor",
+        "content",
+        F.pmod(F.xxhash64("content"), shards).cast("int").alias("salt"),
+        (shards > 1).alias("split"),
+        F.array(run).cast(MEMBERS).alias("members"),
+        F.posexplode(both).alias("copy", "place"),
+    )
+    return copies.select("anchor", "content", "salt", "split", "members", "copy", "place.*")
+
+
+def _stretches(texts: DataFrame) -> DataFrame:
+    """Texts that are the only one of their anchor, and recur: those that follow each other in both copies are one segment.
+
+    So a long passage that two documents share comes once from each, and not as
+    runs that overlap. A segment has about ``STRETCH`` windows at most.
+    """
+    order = Window.partitionBy("first.key", "first.size", "last.key", "last.size").orderBy("first.start", "last.start")
+    goes_on = reduce(
+        Column.__and__,
+        [F.col(f"{copy}.start") == F.lag(F.col(f"{copy}.start") + F.col(f"{copy}.windows")).over(order) for copy in ("first", "last")],
+    )
+    block = F.floor(F.col("first.start") / STRETCH)
+    begins = ~F.coalesce(goes_on & (block == F.lag(block).over(order)), F.lit(False))
+    numbered = texts.withColumn("begins", begins.cast("int")).withColumn("stretch", F.sum("begins").over(order))
+    run = F.struct(F.col("first.start").alias("start"), F.col("first.windows").alias("windows"), "anchor", "content")
+    stretches = numbered.groupBy("first.key", "first.size", "last.key", "last.size", "stretch").agg(
+        F.min("first").alias("first"),
+        F.min("last").alias("last"),
+        F.sum("first.windows").cast("int").alias("windows"),
+        F.sort_array(F.collect_list(run)).alias("runs"),
+    )
+    members = F.transform(
+        "runs",
+        lambda r: F.struct(r["anchor"], r["content"], (r["start"] - F.col("first.start")).cast("int").alias("place"), r["windows"]),
+    )
+    place = [F.struct(F.col(f"{copy}.key"), F.col(f"{copy}.size"), F.col(f"{copy}.start"), "windows") for copy in ("first", "last")]
+    copies = stretches.select(
+        F.col("runs")[0]["anchor"].alias("anchor"),
+        F.col("runs")[0]["content"].alias("content"),
+        F.lit(0).alias("salt"),
+        F.lit(False).alias("split"),
+        members.cast(MEMBERS).alias("members"),
+        F.posexplode(F.array(*place)).alias("copy", "place"),
+    )
+    needed = F.when(F.col("copy") == 0, F.col("members")).otherwise(F.array().cast(MEMBERS))
+    return copies.select("anchor", "content", "salt", "split", needed.alias("members"), "copy", "place.*")
+
+
 def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     """Per document with a repeated string: key, size and its stretches of repeated windows.
 
@@ -335,19 +397,11 @@ def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     texts = found.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
     )
-    both = F.when(F.col("n") > 1, F.array("first", "last")).otherwise(F.array("first"))
-    different = texts.groupBy("anchor").agg(F.sum(F.size(both) * (F.col("first.windows") + sizes.least)).alias("bytes"))
-    shards = F.ceil(F.col("bytes") / sizes.shard).cast("int")
-    large = staged(different.filter(shards > 1).select("anchor", shards.alias("shards")), "large")
-    dealt = texts.join(large, "anchor", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
-    chosen = dealt.select(
-        "anchor",
-        "content",
-        F.pmod(F.xxhash64("content"), "shards").cast("int").alias("salt"),
-        (F.col("shards") > 1).alias("split"),
-        F.posexplode(both).alias("copy", "place"),
+    variety = texts.groupBy("anchor").agg(
+        F.count("*").alias("different"), F.sum(F.col("first.windows") + sizes.least).alias("bytes")
     )
-    chosen = chosen.select("anchor", "content", "salt", "split", "copy", "place.*")
+    variety = staged(variety.filter(F.col("different") > 1), "variety")
+    chosen = _stretches(texts.join(variety, "anchor", "left_anti")).unionByName(_singles(texts.join(variety, "anchor"), sizes))
     judged = staged(_within_shards(_texts(chosen, keyed, sizes), sizes, secret), "judged")
     across = _across_shards(judged).groupBy("anchor", "content").agg(
         F.flatten(F.collect_list(F.array(F.col("place"), F.col("place") + 1))).alias("spans")

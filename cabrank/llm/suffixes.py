@@ -13,6 +13,9 @@ import numpy as np
 #: Keeps the first n of 8 bytes.
 FIRST = np.array([0, *(((1 << 64) - 1) ^ ((1 << (64 - 8 * n)) - 1) for n in range(1, 9))], np.uint64)
 
+#: Three ranks of so many bits are a key of 63.
+RANK_BITS = 21
+
 
 @dataclass
 class Buffer:
@@ -40,9 +43,10 @@ def suffix_order(text: Buffer) -> np.ndarray:
     """Positions in the order of their suffixes.
 
     Suffixes are sorted by 8 bytes first. Groups that are not yet single are
-    then sorted by the rank of the suffix as far along as they already agree,
-    which doubles the compared length each time. Suffixes shorter than the
-    compared length are single from the start, so segments never run together.
+    then sorted by the ranks of the suffixes as far along as they already agree,
+    and as far again where three ranks fit a key, which triples the compared
+    length each time, and doubles it otherwise. Suffixes shorter than the compared
+    length are single from the start, so segments never run together.
     """
     n = len(text.words)
     order = np.argsort(text.words)
@@ -60,7 +64,11 @@ def suffix_order(text: Buffer) -> np.ndarray:
         if not len(slots):
             return order
         found = order[slots]
-        keys = (rank[found].astype(np.uint64) << np.uint64(32)) | rank[found + depth].astype(np.uint64)
+        if n < 1 << RANK_BITS:
+            beyond = np.where(text.left[found] >= 2 * depth, rank[np.minimum(found + 2 * depth, n - 1)], 0)
+            keys = (((rank[found] << RANK_BITS) | rank[found + depth]) << RANK_BITS) | beyond
+        else:
+            keys = (rank[found] << 32) | rank[found + depth]
         sorting = np.argsort(keys)
         keys, found = keys[sorting], found[sorting]
         order[slots] = found
@@ -68,7 +76,7 @@ def suffix_order(text: Buffer) -> np.ndarray:
         new[1:] = keys[1:] != keys[:-1]
         head[slots] = new
         rank[found] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
-        depth *= 2
+        depth *= 3 if n < 1 << RANK_BITS else 2
 
 
 def common_prefixes(text: Buffer, order: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
