@@ -29,6 +29,7 @@ from cabrank.plans.taxi_reports import ReportRun, split_fleet
 from cabrank.schema import MONTH, YELLOW
 from cabrank.sinks.partials import DayCounts
 from cabrank.sinks.reports import latest_report, shared_folder, stage_table, write_report, write_rows
+from cabrank.sources.inference import merged_types, type_states
 from cabrank.sources.trips import read_folder, read_lookup, read_table, read_trips
 
 try:
@@ -252,6 +253,11 @@ def _latest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_report(spark, out, "task8", "month")
 
 
+def _inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of the columns of orders in text, from states of each status merged."""
+    return merged_types(type_states(as_text(trips.table(spark, sf_dir, "orders")).withColumn("part", F.col("o_orderstatus")), "part"))
+
+
 def _csv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "zones")
     zones = trips.zone_lookup(spark, sf_dir).withColumn("LocationID", F.col("LocationID").cast("int"))
@@ -320,6 +326,7 @@ def queries() -> dict[str, Query]:
         "csv_inferred": _csv_inferred,
         "stored_report": _stored_report,
         "enrich_zones_spread": lambda spark, sf_dir: trips.enriched_trips(spark, sf_dir, small=False),
+        "enrich_zones_stored": trips.enriched_from_stored,
         "enrich_summary_spread": lambda spark, sf_dir: summary(trips.enriched_trips(spark, sf_dir, small=False)),
         "stored_second_time": _second_time,
         "clean_both_times": _clean_both_times,
@@ -337,6 +344,7 @@ def queries() -> dict[str, Query]:
         "staged_counts": _staged_counts,
         "daily_counts_added": _counts_added,
         "latest_report": _latest_report,
+        "inferred_types": _inferred,
         "job_pickup_counts": _job_counts,
         "job_fare_per_mile": _job_ratios,
         "daily_counts_from": lambda spark, sf_dir: daily_counts(
@@ -414,6 +422,8 @@ WRITTEN = """(select l_orderkey || '-' || l_linenumber as trip, l_linenumber, l_
 KEPT = f"""(select * exclude (l_linenumber) from {WRITTEN}
     where l_linenumber not in (2, 3) and trip_distance >= 0 and fare_amount >= 0) kept"""
 
+NUMBER = r"\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*"
+
 #: What is wrong with a written trip, by its line number: one bit, or one name, for each check.
 FAILED_BITS = "case when l_linenumber >= 5 then 8 when l_linenumber >= 2 then 1 << (l_linenumber - 2)::integer else 0 end"
 FAILED_NAMES = """[case l_linenumber when 2 then 'tpep_pickup_datetime' when 3 then 'tpep_dropoff_datetime'
@@ -494,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_inferred": "select * from customer",
         "stored_report": DAILY,
         "enrich_zones_spread": ENRICHED,
+        "enrich_zones_stored": ENRICHED,
         "enrich_summary_spread": f"select count(*) as row_count, 14 as column_count from ({ENRICHED}) enriched",
         "stored_second_time": """select * from (select l_orderkey, l_linenumber, l_shipdate,
             l_shipdate + to_days(l_quantity::integer) as arrival from lineitem) items
@@ -523,6 +534,18 @@ def oracle_sql() -> dict[str, str]:
             count(*) filter (l_linenumber >= 5) as fare_amount from {WRITTEN}""",
         "daily_counts_added": "select cast(l_shipdate as date) as pickup_day, count(*) as total_trips from lineitem group by 1",
         "latest_report": _months_sql("F"),
+        "inferred_types": f"""with cells as (unpivot (select o_orderkey::varchar as o_orderkey, o_custkey::varchar as o_custkey,
+                o_orderstatus, o_totalprice::varchar as o_totalprice,
+                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate, o_orderpriority from orders)
+                on columns(*) into name "column" value text),
+            fits as (select "column", text, regexp_full_match(text, '[+-]?[0-9]{{1,18}}') as whole,
+                regexp_full_match(text, '{NUMBER}') as number,
+                try_strptime(text, '%Y-%m-%d %H:%M:%S') is not null as moment from cells)
+            select "column", count(*) as filled, count(*) filter (whole) as as_bigint, count(*) filter (number) as as_double,
+            count(*) filter (moment) as as_timestamp_ntz, min(text) filter (not whole) as against_bigint,
+            min(text) filter (not number) as against_double, min(text) filter (not moment) as against_timestamp_ntz,
+            case when bool_and(whole) then 'bigint' when bool_and(number) then 'double'
+                when bool_and(moment) then 'timestamp_ntz' else 'string' end as type from fits group by 1""",
         "csv_conversations": "select * from conversations",
         "csv_events": "select * from events",
         "ordered_ratios": f"""with ratios as (select l_shipdate, l_extendedprice / nullif(l_discount, 0)

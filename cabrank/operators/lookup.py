@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -125,6 +126,50 @@ def _spread_lookup(
     return marked.join(copied, on, "left").drop("_row_part", "_entry_part")
 
 
+def store_lookup(lookup: DataFrame, key: str, name: str) -> DataFrame:
+    """A large lookup as a table bucketed and sorted by its key, for joins that recur.
+
+    It is moved and sorted once, here: a join by ``join_stored`` reads it as it
+    lies. There are as many buckets as the session has shuffle partitions, each one
+    file. The table lies in the run's folder, which ``drop_scratch`` removes.
+    """
+    spark, parts = lookup.sparkSession, shuffle_parts(lookup)
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = lookup.repartition(parts, key).write.format("parquet").bucketBy(parts, key).sortBy(key)
+    writer.option("path", shared_folder(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
+def join_stored(
+    rows: DataFrame,
+    stored: DataFrame,
+    key: str,
+    lookup_key: str,
+    keys_from: DataFrame | None = None,
+    spread_on: Sequence[str] | None = None,
+) -> DataFrame:
+    """As ``left_lookup``, with a lookup from ``store_lookup``, none of which is moved.
+
+    Rows of heavy keys and rows without a key stay where they are and meet the few
+    entries that are theirs; should those not be few, they go the way of
+    ``left_lookup``. The other rows are moved to the buckets of their keys.
+    """
+    heavy = heavy_keys(rows if keys_from is None else keys_from, key, shuffle_parts(rows))
+    heavy = stage_table(heavy, shared_folder(rows.sparkSession, "heavy"))
+    marks = heavy.select(F.col("heavy_key").alias("_heavy"))
+    marked = rows.join(F.broadcast(marks), F.col(key) == F.col("_heavy"), "left")
+    apart = F.col("_heavy").isNotNull() | F.col(key).isNull()
+    on = F.col(key) == F.col(lookup_key)
+    moved = marked.filter(~apart).drop("_heavy").join(stored.hint("merge"), on, "left")
+    entries = stored.join(F.broadcast(marks), F.col(lookup_key) == F.col("_heavy"), "left_semi")
+    entries = stage_table(entries, shared_folder(rows.sparkSession, "entries"))
+    staying = marked.filter(apart).drop("_heavy")
+    if fits_broadcast(entries):
+        return moved.unionByName(staying.join(F.broadcast(entries), on, "left"))
+    names = rows.columns if spread_on is None else spread_on
+    return moved.unionByName(_spread_lookup(staying, entries, key, lookup_key, heavy, names))
+
+
 def _scatter(columns: Sequence[str]) -> Column:
     """A hash of the row and its input partition.
 

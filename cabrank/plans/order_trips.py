@@ -18,7 +18,7 @@ from cabrank.functions.conditions import between_times, expensive_short
 from cabrank.functions.udfs import expensive_short_udf
 from cabrank.operators.counts import carry_counts, count_by
 from cabrank.operators.enrich import attach_zone, enrich_zones
-from cabrank.operators.lookup import all_fits, fits_broadcast, key_sample, left_lookup
+from cabrank.operators.lookup import all_fits, fits_broadcast, join_stored, key_sample, left_lookup, store_lookup
 from cabrank.plans.taxi_reports import stage_fleet
 from cabrank.schema import TIME_FORMAT, YELLOW
 from cabrank.sinks.reports import shared_folder, write_report, write_rows
@@ -135,6 +135,23 @@ def enriched_trips(spark: SparkSession, sf_dir: str, small: bool | None = None)
     return enrich_zones(located, zones, small=areas)
 
 
+def enriched_from_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with suppliers and located orders stored by their keys, as for many such runs over one set of lookups."""
+    trips = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
+    )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("PULocationID"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("DOLocationID"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    located = left_lookup(orders, customers, "o_custkey", "c_custkey", spread_on=["o_orderkey"]).drop("c_custkey", "o_custkey")
+    by_supplier = store_lookup(suppliers, "s_suppkey", "suppliers")
+    by_order = store_lookup(located, "o_orderkey", "orders")
+    sample = key_sample(trips, "l_suppkey", "l_orderkey")
+    picked = join_stored(trips, by_supplier, "l_suppkey", "s_suppkey", sample, ITEM).drop("s_suppkey")
+    dropped = join_stored(picked, by_order, "l_orderkey", "o_orderkey", sample, ITEM).drop("o_orderkey")
+    return enrich_zones(dropped, zone_lookup(spark, sf_dir))
+
+
 def pickup_trips(spark: SparkSession, sf_dir: str, without: str) -> DataFrame:
     """All line items with their pickup zone, from a lookup that lacks a region."""
     trips = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")

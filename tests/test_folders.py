@@ -16,6 +16,7 @@ from cabrank.schema import FAILED, MONTH_ROLE, ROLES, WRITTEN, YELLOW
 from cabrank.sinks import reports
 from cabrank.sinks.partials import DayCounts
 from cabrank.sinks.reports import latest_report, shared_folder
+from cabrank.sources.inference import merged_types, type_states
 from cabrank.sources.trips import headers, list_files, read_folder, read_trips
 from pyspark.sql import functions as F
 
@@ -235,3 +236,22 @@ def test_registry_without_the_core(monkeypatch):
         spec.loader.exec_module(importlib.util.module_from_spec(spec))
 
 
+
+
+def test_states_of_types_merge(spark, ansi, mixed):
+    rows = read_folder(spark, mixed, file="origin")
+    each = type_states(rows, "origin")
+    merged = {row.column: row for row in merged_types(each).collect()}
+    whole = {row.column: row for row in merged_types(type_states(rows.drop("origin"))).collect()}
+    assert merged == whole
+    kinds = {name: row.type for name, row in merged.items()}
+    assert kinds == {
+        "VendorID": "bigint", "PULocationID": "bigint", "fare_amount": "double", "tpep_pickup_datetime": "timestamp_ntz", "Airport_fee": "double",
+    }
+    assert merged["fare_amount"].against_bigint == "5.0" and merged["fare_amount"].as_bigint == 1
+    assert merged["Airport_fee"].filled == 1
+    more = spark.createDataFrame([("x9",)], "VendorID string")
+    added = merged_types(type_states(rows.select("VendorID")).unionAll(type_states(more))).first()
+    assert added.type == "string" and added.against_bigint == added.against_double == "x9"
+    empty = merged_types(type_states(more.limit(0))).first()
+    assert empty.type == "string" and empty.filled == 0

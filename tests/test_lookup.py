@@ -2,7 +2,7 @@
 
 import pytest
 from cabrank.operators import lookup
-from cabrank.operators.lookup import fits_broadcast, heavy_keys, left_lookup
+from cabrank.operators.lookup import fits_broadcast, heavy_keys, join_stored, left_lookup, store_lookup
 from cabrank.plans import order_trips
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -195,3 +195,24 @@ def test_a_scattered_row_never_meets_an_entry(shuffle_joins, monkeypatch, hot, l
     monkeypatch.setattr(lookup, "_scatter", lambda columns: F.lit(0))
     spread = left_lookup(hot, large, "k", "lk", small=False)
     assert sorted_rows(spread) == sorted_rows(hot.join(large, F.col("k") == F.col("lk"), "left"))
+
+
+@pytest.mark.parametrize("most", [500_000, 0], ids=["few entries", "spread"])
+def test_stored_lookup(shuffle_joins, hot, large, monkeypatch, most):
+    """Rows of a hot key and without a key meet a stored lookup that is not moved, and lacks some keys and repeats others."""
+    doubled = large.unionAll(large.filter("lk < 10"))
+    stored = store_lookup(doubled, "lk", "zones")
+    monkeypatch.setattr(lookup.fits_broadcast, "__defaults__", (most, 64 << 20))
+    joined = join_stored(hot, stored, "k", "lk", spread_on=["row"])
+    expected = hot.join(doubled, F.col("k") == F.col("lk"), "left")
+    same = joined.select(expected.columns).exceptAll(expected).count() + expected.exceptAll(joined.select(expected.columns)).count()
+    assert same == 0
+
+
+def test_stored_lookup_is_not_moved(shuffle_joins, hot, large):
+    stored = store_lookup(large, "lk", "zones")
+    plan = join_stored(hot, stored, "k", "lk")._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin") :]
+    assert "Bucketed: true" in join and join.count("Exchange hashpartitioning") == 1
+    entries = join[: join.index("Bucketed: true")].splitlines()[-4:]
+    assert any("FileScan" in line for line in entries) and not any("Exchange" in line for line in entries)
