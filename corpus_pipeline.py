@@ -19,31 +19,55 @@ from cabrank.llm.simhash import one_of_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier, trained on the labelled ones among them, does not reject."""
+    """Documents that the compression classifier, trained on the labelled ones among them, does not reject.
+
+    NULL and empty texts have one and the same score, of a text that compresses
+    like neither kind; as short junk is labelled bad they are rejected where such
+    labels are. Equal texts have equal scores, so they stay or go together. A score
+    at the threshold stays. Very long texts are scored whole.
+    """
     model = fit(docs, table(with_package(spark), sf_dir, "labels"))
     return docs.filter(score(model) >= THRESHOLD)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: three-word shingles, fingerprints linked at two bits or fewer."""
+    """One document of each group of near copies: three-word shingles, fingerprints linked at two bits or fewer.
+
+    The one with the smallest id stays, NULL being the largest; of rows that are
+    equal in every column one stays. Texts without words, NULL among them, have
+    fingerprint zero and are a group.
+    """
     with_package(spark)
     return one_of_each(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the strings of 200 bytes that occur elsewhere too; their length is counted anew."""
+    """All documents without the strings of 200 bytes that occur elsewhere too; their length is counted anew.
+
+    Every row stays, if with an empty text. NULL stays NULL, as does its length.
+    All copies of a string go, the first included.
+    """
     with_package(spark)
     cut = without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without ten consecutive words of a benchmark item."""
+    """Documents without ten consecutive words of a benchmark item.
+
+    NULL and empty texts have no words and stay. An item of fewer words counts as
+    a whole, one without words never. Rows of one id are judged each by its own text.
+    """
     return uncontaminated(docs, table(with_package(spark), sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of at most 2048 tokens."""
+    """The pieces of all documents and their places in sequences of at most 2048 tokens.
+
+    NULL and empty texts are a piece of one token. Longer documents than a
+    sequence have several pieces. Pieces of equal length are interchangeable, so
+    which sequence each is in may differ between runs.
+    """
     with_package(spark)
     return pack_documents(docs)
 
@@ -61,7 +85,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of a folder, each written and read again."""
+    """All stages on the documents of a folder, each written and read again. An empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)
