@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cabrank.llm import sql
+from cabrank.llm.alignment import aligned, alignment_figures
 from cabrank.llm.compression import classify
+from cabrank.llm.divergence import divergences, shares
 from cabrank.llm.lengths import at_limits, length_histogram, quantiles
 from cabrank.llm.ordering import Layout, read_order, training_order, write_order
 from cabrank.llm.packing import pack_documents
 from cabrank.llm.phrases import contamination, uncontaminated
+from cabrank.llm.pieces import encoding_digests
 from cabrank.llm.repeats import Sizes, dedup, repeated_windows, with_key, without_repeats
 from cabrank.llm.rules import judge, keep
 from cabrank.llm.simhash import near_copies, one_of_each
@@ -212,10 +215,54 @@ def test_urls(spark, pages):
     assert judge_urls(pages, table.limit(0)).filter("rule is not null or verdict <> 'allow'").count() == 0
 
 
+def test_pieces(edge, edge_rows):
+    same(map(tuple, encoding_digests(edge).collect()), [(key, *brute.encoding(text)) for key, text in edge_rows])
+
+
+def test_divergence(spark, edge):
+    """Groups without terms, NULL groups, a language whose terms are all rare, and texts cut into pieces."""
+    made = random.Random(9)
+    words = [f"w{chr(97 + n)}" for n in range(20)] + ["É", "ÀB", "x9y", "z-z", "\u2581"]
+    rows = [("de", f"s{n % 4}", " ".join(made.choices(words, range(1, 26), k=made.randint(0, 60)))) for n in range(150)]
+    rows += [(None, "s1", "A a"), (None, None, None), ("", "s2", ""), ("fr", "s1", "seul"), ("fr", "s2", "seul"), ("en", "", "only")] + rows[:30]
+    docs = spark.createDataFrame([(*row, 1, 2.0, "x") for row in rows], "lang string, source string, text string, n long, docs double, term string")
+    expected = brute.divergence(rows)
+    for sizes in ({}, {"block": 300, "piece": 40, "fold": 20}):
+        same(map(tuple, divergences(docs.repartition(4), **sizes).collect()), expected)
+    long = [("l", f"s{n % 3}", brute.prose(n, 20_000 if n == 4 else 50)) for n in range(40)]
+    table = spark.createDataFrame(long, "lang string, source string, text string")
+    same(map(tuple, divergences(table, piece=5000).collect()), brute.divergence(long))
+    groups = [(r.lang, r.source, r.text) for r in edge.select("lang", "source", "text").collect()]
+    same(map(tuple, divergences(edge, least=2).collect()), brute.divergence(groups, 2))
+
+
+def test_large_counts_stay_exact():
+    counts = np.array([0, 1, 10**12, 7 * 10**14], np.int64)
+    expected = [1 + 10**9 * (int(n) + 2) // (8 * 10**15 + 2 * 5) for n in counts]
+    assert shares(counts, 8 * 10**15, 5).tolist() == expected
+
+
+def test_alignment(edge, edge_rows):
+    expected = [(key, *found) for (key, _), found in zip(edge_rows, brute.alignment([t for _, t in edge_rows]), strict=True)]
+    same(map(tuple, alignment_figures(edge).collect()), expected)
+    same(map(tuple, alignment_figures(edge, most=1000).collect()), expected)
+
+
+def test_tokens_and_links(edge, edge_rows):
+    rows = aligned(edge).collect()
+    plain = [(key, brute.aligned(text)) for key, text in edge_rows]
+    same([(r.doc_id, r.a_ids, r.b_ids) for r in rows], [(key, a, b) for key, (a, b, _, _) in plain])
+    pairs = [(r.doc_id, [(r.a_ids[i], r.b_ids[j]) for i, j in zip(r.a_links, r.b_links, strict=True)]) for r in rows]
+    same(pairs, [(key, links) for key, (_, _, _, links) in plain])
+    for r in rows:
+        assert all(r.a_ends[i] == r.b_ends[j] for i, j in zip(r.a_links, r.b_links, strict=True))
+
+
 def test_empty_tables(spark, no_docs, pages):
     items = spark.createDataFrame([], ITEMS)
     labels = spark.createDataFrame([], LABELS)
-    for operator in (training_order, dedup, pack_documents, judge, length_histogram, near_copies, one_of_each, without_repeats):
+    for operator in (training_order, dedup, pack_documents, judge, length_histogram, near_copies, one_of_each, without_repeats,
+                     encoding_digests, divergences, alignment_figures, aligned):
         assert operator(no_docs).count() == 0
     assert contamination(no_docs, items).count() == uncontaminated(no_docs, items).count() == 0
     assert classify(no_docs, labels).count() == 0
@@ -261,3 +308,11 @@ def test_many_equal_rows(spark):
     assert sorted(map(tuple, kinds)) == sorted((n, kind, many) for n in range(3) for kind, many in (("response", 1), ("revisit", 99)))
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], LABELS)
     assert classify(docs, labels).count() == len(rows)
+
+
+def test_pipeline_without_documents(spark, no_docs, tmp_path):
+    no_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    assert rows.count() == 0 and rows.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -15,15 +15,17 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cabrank.llm import compression, phrases, sql
+from cabrank.llm.alignment import aligner, refined
 from cabrank.llm.components import components
-from cabrank.llm.ordering import permute
+from cabrank.llm.ordering import Layout, permute, read_order, write_order
 from cabrank.llm.packing import Capacity, fit
+from cabrank.llm.pieces import Pieces
 from cabrank.llm.repeats import SCAN_BYTES, Hashes, Sizes, _pieces, dedup
 from cabrank.llm.rules import RULES, SAMPLE_BYTES, Rule, drawn, judge, ordered
 from cabrank.llm.simhash import guaranteed, links, lists_of, postings, tallied
 from cabrank.llm.suffixes import Buffer, common_prefixes, repeated, suffix_order
 from cabrank.llm.urls import build_cascade, judge_urls, listed
-from cabrank.llm.warc import read_archives, write_archives
+from cabrank.llm.warc import parse, read_archives, write_archives
 
 SEGMENTS = st.lists(st.binary(max_size=60).map(lambda b: bytes(97 + x % 2 if x else 0 for x in b)), min_size=1, max_size=8)
 
@@ -270,6 +272,112 @@ def test_damaged_archive_ends_the_job(spark, tmp_path, small_dir):
         read_archives(lost, uri).collect()
 
 
+PARTS = st.sampled_from([*" aabtehinrs.,'", "the", " of", "ing", "\n", "\t", "\u00e9", "\u6f22", "\U0001f9a9", "\u2581", "<s>", "<0x0A>", "  ", "\0", "tion", "ABC"])
+TEXTS = st.lists(PARTS, max_size=60).map("".join)
+MODEL = Pieces()
+BOTH = aligner()
+
+
+@settings(max_examples=500, deadline=None)
+@given(TEXTS)
+def test_pieces_equal_the_library(text):
+    expected = MODEL.library.encode(text)
+    assert MODEL.encode(text) == expected
+    assert list(MODEL.numbers_of(MODEL.library.normalize(text) if text else "")) == expected
+
+
+def test_pieces_of_any_strings(sf_dir):
+    """Pieces, cut and joined in all ways, runs of one sign, and long texts without a place to cut."""
+    made = random.Random(1)
+    known = list(MODEL.scores)
+    texts = ["".join(made.choice(known)[: made.randint(1, 16)] for _ in range(made.randint(1, 30))) for _ in range(3000)]
+    texts += [sign * n for sign in " a\n\u6f22\u00e9" for n in (1, 15, 16, 17, 33, 100_000)]
+    texts += ["".join(made.choice("abcdefgh") for _ in range(100_000))]
+    assert [MODEL.encode(text) for text in texts] == MODEL.library.encode(texts)
+
+
+def test_places_fail_and_are_left_behind():
+    """Texts on which the longest pieces lead astray, so that places are marked as failed."""
+    made = random.Random(3)
+    strayed = 0
+    for _ in range(300):
+        text = "\u2581" + "".join(made.choice("abdeinorst") for _ in range(made.randint(5, 40)))
+        found = MODEL.parts(text)
+        greedy, at = [], 0
+        while at < len(text):
+            size = max(n for n in range(1, 17) if text[at : at + n] in MODEL.scores and at + n <= len(text))
+            greedy.append(text[at : at + size])
+            at += size
+        strayed += [MODEL.library.id_to_piece(n) for n in found] != greedy
+    assert strayed > 50
+
+
+def test_memories_are_bounded(monkeypatch):
+    model = Pieces()
+    monkeypatch.setattr("cabrank.llm.pieces.CHUNKS", 5)
+    monkeypatch.setattr("cabrank.llm.pieces.PAIRS", 7)
+    text = brute.prose(4, 3000)
+    assert model.encode(text) == model.library.encode(text)
+    assert len(model.chunks) <= 5 and len(model.earlier) <= 5 and len(model.pairs) <= 8
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_alignment_equals_plain_bytes(text):
+    a, b, groups, links = brute.aligned(text)
+    found = BOTH.align(text)
+    assert found.a.ids.tolist() == a and found.b.ids.tolist() == b
+    at_a, at_b = found.links()
+    assert list(zip(found.a.ids[at_a].tolist(), found.b.ids[at_b].tolist(), strict=True)) == links
+    written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+    assert BOTH.groups(found) == written
+    for long in (3, 20):
+        assert BOTH.align(text, long).a.ends.tolist() == found.a.ends.tolist()
+    (own,) = BOTH.segments([text])
+    assert ";".join(segment[2] for segment in own or ()) == written
+    pairs = np.frombuffer(b"".join(segment[3] for segment in own or ()), np.int64)
+    assert [(int(x) >> 32, int(x) & 0xFFFFFFFF) for x in pairs] == links
+    assert [sum(segment[side] for segment in own or ()) for side in (0, 1)] == [len(a), len(b)]
+
+
+def test_spans_are_refined_inside_characters():
+    """Several tokens of one character, and byte pieces, end where their bytes do; the libraries' spans alone would not tell."""
+    found = BOTH.align("x\U0001f9a9y \u6f22")
+    assert found.a.ends.tolist() == np.cumsum(BOTH.a_sizes[found.a.ids]).tolist()
+    assert found.b.ends.tolist() == np.cumsum(BOTH.b_sizes[found.b.ids]).tolist()
+    assert len({b for b in found.b.ends.tolist() if 2 < b < 6}) == 3
+    assert refined(np.array([3, 7, 7, 9]), np.array([True, False, True, True]), np.array([3, 1, 3, 2])).tolist() == [3, 4, 7, 9]
+    assert refined(np.array([0, 4]), np.array([False, True]), np.array([1, 3])).tolist() == [1, 4]
+
+
+def test_many_tiny_shards(spark):
+    """Ten thousand shards are written and read with eight shuffle partitions."""
+    docs = spark.createDataFrame([(n, " ".join(["word"] * 40)) for n in range(2500)], "doc_id long, text string")
+    layout = Layout(length=4, records=2)
+    uri = f"file://{spark.conf.get('spark.checkpoint.dir')}/tiny"
+    manifest = write_order(docs, uri, layout)
+    assert manifest.count() > 10_000
+    rows = read_order(manifest, uri, layout)
+    assert rows.rdd.getNumPartitions() <= 8
+    assert rows.agg(F.count("*"), F.min("slot"), F.max("slot"), F.count_distinct("slot")).first() == (25_000, 0, 24_999, 25_000)
+
+
+def test_revisits_name_their_response(spark, tmp_path):
+    pages = [(3, "http://b/", "same text"), (1, "http://a/1", "same text"), (2, None, "same text"), (None, "http://n/", "same text"), (5, "http://c/", "")]
+    uri = f"file://{tmp_path}/archives"
+    manifest = write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), uri)
+    heads = []
+    for row in manifest.collect():
+        with open(tmp_path / "archives" / row.file, "rb") as stream:
+            heads += [headers for headers, _ in parse(stream)]
+    (response,) = [h for h in heads if h.get("X-Page-ID") == "1"]
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 3
+    for headers in revisits:
+        assert headers["WARC-Refers-To"] == response["WARC-Record-ID"]
+        assert headers["WARC-Refers-To-Target-URI"] == response["WARC-Target-URI"] == "http://a/1"
+
+
 def test_cascade_is_exact(spark):
     made = random.Random(4)
     corpus = [f"host{made.randrange(10**6)}.com/" for _ in range(5000)]

@@ -1,13 +1,19 @@
 """The registered queries on the generated tables, against SQL or brute force, and the pipeline stage by stage."""
 
+import zlib
+from collections import Counter
+
 import brute
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 import corpus_pipeline
 from cabrank.llm import queries
 from cabrank.llm.compression import THRESHOLD, fit, score
+from cabrank.llm.ordering import Layout, Numbering
 
 NAMES = sorted(queries.queries())
 
@@ -40,9 +46,40 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_order(spark, small_dir, texts):
+    """Every sequence's content, and its slot by a plain Feistel network over the numbers of all sequences."""
     rows = run(spark, "op1_training_order", small_dir).collect()
-    assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    assert sum(r.n_tokens for r in rows) == sum(len(brute.token_ids(t)) for _, t in texts)
+    length, key = Layout().length, Layout().key
+    ids = {key: np.array(brute.token_ids(text), "<u2") for key, text in texts}
+    expected = {(doc, at // length): zlib.crc32(found[at : at + length].tobytes()) for doc, found in ids.items() for at in range(0, len(found), length)}
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in rows} == expected and len(rows) == len(expected)
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text")
+    numbering = Numbering.of(docs, Layout())
+    places = {r.doc_id: r.place for r in docs.select("doc_id", F.monotonically_increasing_id().alias("place")).collect()}
+
+    def number(doc, piece):
+        row = (places[doc] >> 33) * numbering.rows + (places[doc] & (1 << 33) - 1)
+        return brute.feistel(row * numbering.pieces + piece, numbering.size, key)
+
+    order = sorted(expected, key=lambda sequence: number(*sequence))
+    assert {(r.doc_id, r.piece): r.slot for r in rows} == {sequence: n for n, sequence in enumerate(order)}
+
+
+def test_lengths(spark, small_dir, texts):
+    lengths = [len(brute.token_ids(text)) for _, text in texts]
+    rows = {r.length: r for r in run(spark, "op7_length_histogram", small_dir).collect()}
+    assert {n: r.n_docs for n, r in rows.items()} == Counter(lengths)
+    for n, r in rows.items():
+        assert r.docs_at_least == sum(x >= n for x in lengths) and r.tokens_if_cut == sum(min(x, n) for x in lengths)
+
+
+def test_pieces(spark, small_dir, texts):
+    found = {r.doc_id: tuple(r)[1:] for r in run(spark, "op11_piece_encoding", small_dir).collect()}
+    assert found == {key: brute.encoding(text) for key, text in texts}
+
+
+def test_alignment(spark, small_dir, texts):
+    found = {r.doc_id: tuple(r)[1:] for r in run(spark, "op13_token_alignment", small_dir).collect()}
+    assert [found[key] for key, _ in texts] == brute.alignment([text for _, text in texts])
 
 
 def test_dedup(spark, small_dir, texts):
