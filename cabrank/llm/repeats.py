@@ -53,7 +53,7 @@ LEAST = 200
 GRAM = 64
 SHARD_BYTES = 1 << 20
 SCAN_BYTES = 1 << 20
-STRETCH = 1 << 16
+STRETCH = 1 << 9
 DIGEST = 16  # bytes
 PLACE_BITS = np.uint64(22)  # of a place in a scanned block
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
@@ -397,6 +397,7 @@ def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     texts = found.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
     )
+    texts = staged(texts, "texts")
     variety = texts.groupBy("anchor").agg(
         F.count("*").alias("different"), F.sum(F.col("first.windows") + sizes.least).alias("bytes")
     )
