@@ -150,6 +150,8 @@ def stage_split(df: DataFrame, path: str, rejected: Column, counts: dict[str, Co
     ``rows``. The counts come from the tasks that write, after any move of rows,
     so a task that has to be run again counts once.
     """
+    if REJECTED in df.columns:
+        raise ValueError(f"the column {REJECTED} tells the parts of the stored table apart")
     marked = df.withColumn(REJECTED, F.coalesce(rejected, F.lit(False)))
     if partition_by is not None:
         marked = marked.hint("rebalance", F.col(partition_by))
