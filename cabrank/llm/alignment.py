@@ -55,7 +55,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK_BYTES = 4 << 20
 LONG = 1 << 12  # characters that are encoded at a time; the libraries slow down on longer texts
 SOME_BYTES = 1 << 19
-KNOWN = 300_000  # segments that are kept
+KNOWN = 200_000  # segments that are kept
 KNOWN_CHARACTERS = 64  # longer ones are not
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
