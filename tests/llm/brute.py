@@ -184,8 +184,9 @@ def aligned(text):
         return [], [], [], []
     ends_a, ends_b = (np.cumsum([len(x) for x in side]).tolist() for side in ([A_BYTES[n] for n in a], [b_bytes(n) for n in b]))
     groups, links, i, j = [], [], 0, 0
-    for end in sorted(set(ends_a) & set(ends_b)):
-        k, m = ends_a.index(end) + 1, ends_b.index(end) + 1
+    after_a, after_b = ({end: n + 1 for n, end in enumerate(ends)} for ends in (ends_a, ends_b))
+    for end in sorted(after_a.keys() & after_b.keys()):
+        k, m = after_a[end], after_b[end]
         groups.append((a[i:k], b[j:m]))
         links.append((a[k - 1], b[m - 1]))
         i, j = k, m
