@@ -10,8 +10,6 @@ NULL text has length 0. A very long text is tokenised whole, whatever it is made
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -11,7 +11,8 @@ for the cost alone gets a sequence of its own.
 
 A group ends with a few sequences that are not full; with 20,000 pieces a group
 that is far below a thousandth of them. NULL text is an empty document of one
-token. A very long text is tokenised whole and cut into as many pieces as it needs. Rows with equal ids are packed as documents of their own; a NULL id stays
+token. A very long text is tokenised whole and cut into as many pieces as it
+needs. Rows with equal ids are packed as documents of their own; a NULL id stays
 NULL. An empty table gives no rows.
 """
 
