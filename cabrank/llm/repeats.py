@@ -272,7 +272,6 @@ def _judged(shard: list[tuple], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
     """What the suffix array of a shard tells of each run, by the first copy of its text."""
     text = Buffer.of([row[6] for row in shard])
     found, first = repeated(text, sizes.least)
-    nothing = np.empty(0, np.int64)
     out = []
     for (_, _, copy, _, split, members, raw), start in zip(shard, text.starts, strict=True):
         if copy:
@@ -280,7 +279,10 @@ def _judged(shard: list[tuple], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
         for run in members:
             low = start + run["place"]
             own = slice(low, low + run["windows"])
-            places = np.flatnonzero(first[own]) if split else nothing
+            if not split:
+                out.append((run["anchor"], run["content"], spans_of(found[own]), [], [], [], []))
+                continue
+            places = np.flatnonzero(first[own])
             digests = [digest(raw[at : at + sizes.least], salt) for at in (places + run["place"]).tolist()]
             highs, lows = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
             out.append((run["anchor"], run["content"], spans_of(found[own]), highs, lows, places, ~found[own][places]))
@@ -292,6 +294,8 @@ def _judged(shard: list[tuple], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
 
 def spans_of(marked: np.ndarray) -> np.ndarray:
     """First and beyond-last places of the marked stretches, one after the other."""
+    if marked.all():
+        return np.array([0, len(marked)] if len(marked) else [], np.int64)
     edges = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
     return np.flatnonzero(edges)
 
@@ -388,9 +392,8 @@ def _stretches(texts: DataFrame) -> DataFrame:
 def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     """Per document with a repeated string: key, size and its stretches of repeated windows.
 
-    A stretch is a start and places relative to it, of the first window and of
-    the one beyond the last, in turn. Equal rows bring the same stretches, which
-    are kept once.
+    ``stretches`` are places of a first window and of the one beyond a last, in
+    turn. Equal rows bring the same ones, which are kept once.
     """
     found = recurring(keyed, sizes, secret)
     place = F.struct("key", "size", "start", "windows")
@@ -409,15 +412,16 @@ def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     )
     marks = judged.filter(F.size("spans") > 0).select("anchor", "content", "spans").unionAll(across)
     hit = found.select("anchor", "content", "key", "size", "start").join(marks, ["anchor", "content"])
-    return hit.groupBy("key", "size").agg(F.collect_set(F.struct("start", "spans")).alias("stretches"))
+    each = hit.groupBy("key", "size").agg(F.collect_set(F.struct("start", "spans")).alias("found"))
+    placed = F.transform("found", lambda run: F.transform(run["spans"], lambda place: place + run["start"]))
+    return each.select("key", "size", F.flatten(placed).alias("stretches"))
 
 
-def covered(size: int, stretches: list[dict] | None, least: int) -> np.ndarray:
+def covered(size: int, stretches: list[int] | None, least: int) -> np.ndarray:
     """Which bytes of a document lie in a repeated window."""
     edges = np.zeros(size + 1, np.int64)
-    if stretches:
-        spans = [np.asarray(s["spans"], np.int64) + s["start"] for s in stretches]
-        flat = np.concatenate(spans)
+    if stretches is not None and len(stretches):
+        flat = np.asarray(stretches, np.int64)
         np.add.at(edges, flat[::2], 1)
         np.add.at(edges, flat[1::2] + least - 1, -1)
     return np.cumsum(edges[:-1]) > 0
@@ -457,7 +461,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     @F.udf("string", useArrow=True)
     def cut(content, stretches):  # noqa: ANN001, ANN202
-        if not stretches:
+        if stretches is None or not len(stretches):
             return content
         raw = np.frombuffer(content.encode(), np.uint8)
         gone = covered(len(raw), stretches, sizes.least)

@@ -94,6 +94,7 @@ def common_prefixes(text: Buffer, order: np.ndarray, least: int) -> tuple[np.nda
     longest_first = np.argsort(-counts, kind="stable")
     starts, counts = text.starts[longest_first], counts[longest_first]
     carry = np.zeros(len(starts), np.int64)
+    ahead = np.arange(0, least, 8)
     for step in range(max(0, int(counts[0])) if len(counts) else 0):
         lanes = int(np.searchsorted(-counts, -step, "left"))
         here = starts[:lanes] + step
@@ -102,6 +103,13 @@ def common_prefixes(text: Buffer, order: np.ndarray, least: int) -> tuple[np.nda
         limit = np.where(known, np.minimum(text.left[there], least), 0)
         length = np.minimum(np.maximum(carry[:lanes] - 1, 0), limit)
         todo = np.flatnonzero(length < limit)
+        if step == 0 and lanes:  # nothing is known yet, so all words are compared at once
+            here_words, there_words = (text.words[np.minimum(side[:, None] + ahead, n - 1)] for side in (here, there))
+            differing = here_words ^ there_words
+            word = np.argmax(differing != 0, axis=1)
+            last = differing[np.arange(lanes), word]
+            length = np.minimum(np.where(last == 0, least, 8 * word + _equal_bytes(last)), limit)
+            todo = todo[:0]
         while len(todo):
             at = length[todo]
             differing = text.words[here[todo] + at] ^ text.words[there[todo] + at]
