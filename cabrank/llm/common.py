@@ -15,6 +15,7 @@ from cabrank.sinks.reports import shared_folder, stage_table
 
 BATCH_BYTES = 1 << 20
 ARCHIVE = "cabrank-package.zip"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,13 +41,20 @@ def with_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, lean: bool = False) -> DataFrame:
     """The same rows, written once under the folder that all executors share.
 
     Later passes start from the files, so neither a lost executor nor a second
-    consumer computes them again.
+    consumer computes them again. ``lean`` has Spark remove what it shuffled for
+    them as soon as they are written, and not when the driver next clears up.
     """
-    return stage_table(df, shared_folder(df.sparkSession, name))
+    conf, path = df.sparkSession.conf, shared_folder(df.sparkSession, name)
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true" if lean else before)
+    try:
+        return stage_table(df, path)
+    finally:
+        conf.set(CLEANUP, before)
 
 
 def tasks_for(df: DataFrame, files: int) -> int:

@@ -209,7 +209,7 @@ def recurring(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     adaptive execution deals the many rows of a popular anchor over several tasks.
     """
     counts = anchors(keyed, sizes).groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("anchor")
-    return staged(runs(keyed, sizes, secret).join(staged(counts, "anchors"), "anchor"), "runs")
+    return staged(runs(keyed, sizes, secret).join(staged(counts, "anchors", lean=True), "anchor"), "runs", lean=True)
 
 
 #: The runs of a segment: anchor, digest, place of the first window in the segment, number of windows.
@@ -400,13 +400,13 @@ def repeated_windows(keyed: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     texts = found.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
     )
-    texts = staged(texts, "texts")
+    texts = staged(texts, "texts", lean=True)
     variety = texts.groupBy("anchor").agg(
         F.count("*").alias("different"), F.sum(F.col("first.windows") + sizes.least).alias("bytes")
     )
-    variety = staged(variety.filter(F.col("different") > 1), "variety")
+    variety = staged(variety.filter(F.col("different") > 1), "variety", lean=True)
     chosen = _stretches(texts.join(variety, "anchor", "left_anti")).unionByName(_singles(texts.join(variety, "anchor"), sizes))
-    judged = staged(_within_shards(_texts(chosen, keyed, sizes), sizes, secret), "judged")
+    judged = staged(_within_shards(_texts(chosen, keyed, sizes), sizes, secret), "judged", lean=True)
     across = _across_shards(judged).groupBy("anchor", "content").agg(
         F.flatten(F.collect_list(F.array(F.col("place"), F.col("place") + 1))).alias("spans")
     )
