@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ from cabrank.sinks.reports import shared_folder, stage_table
 BATCH_BYTES = 1 << 20
 ARCHIVE = "cabrank-package.zip"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +64,17 @@ def tasks_for(df: DataFrame, files: int) -> int:
     return max(1, min(files, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def give_back() -> None:
+    """Return what the allocators of this process hold, and nothing uses, to the system.
+
+    Workers are used again by later tasks, and two of them share an executor's
+    memory with its JVM: what a large batch took would stay with them.
+    """
+    pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_BYTES) -> Iterator[tuple]:
     """Blocks of rows with at most so many bytes of text, a longer text being a block of its own.
 
@@ -79,3 +92,5 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_
             size += n or 0
         if start < batch.num_rows:
             yield rest.slice(start), [x or b"" for x in texts.slice(start).to_pylist()]
+        del batch, rest, texts
+        give_back()

@@ -37,7 +37,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabrank.llm.common import staged
+from cabrank.llm.common import give_back, staged
 
 PER_KIND = 1000
 MOST_BYTES = 16 << 20
@@ -210,7 +210,9 @@ def score(model: Model, text: str = "text") -> Column:
         for texts in batches:
             raw = [x.encode() if x else b"" for x in texts]
             found = differences(raw, model.good, model.bad) if model.good else np.zeros((len(raw), VALUES))
+            del texts, raw
             yield pd.Series(1 / (1 + np.exp(-np.clip(found @ model.weights + model.offset, -30, 30))))
+            give_back()
 
     return scored(F.col(text))
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabrank.llm.common import staged
+from cabrank.llm.common import give_back, staged
 from cabrank.llm.components import components
 
 SHINGLE = 3
@@ -94,7 +94,9 @@ def fingerprint(text: str = "text", shingle: int = SHINGLE) -> Column:
         for texts in batches:
             parts = [texts[at : at + 128] for at in range(0, len(texts), 128)]
             found = [fingerprints([shingle_hashes(x, shingle) for x in part]).view(np.int64) for part in parts]
+            del texts, parts
             yield pd.Series(np.concatenate(found) if found else np.empty(0, np.int64))
+            give_back()
 
     return of(F.col(text))
 

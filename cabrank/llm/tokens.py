@@ -14,6 +14,8 @@ import pyarrow as pa
 import tiktoken
 from tokenizers import Tokenizer
 
+from cabrank.llm.common import give_back
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: The quick encoder's stack holds about ten times as long a run of white space.
@@ -60,3 +62,6 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str, most: int = 256) ->
         for at in range(0, batch.num_rows, most):
             part = batch.slice(at, most)
             yield list(zip(*(part.column(name).to_pylist() for name in names), strict=True))
+            del part
+        del batch
+        give_back()

@@ -17,6 +17,21 @@ from cabrank.llm.phrases import uncontaminated
 from cabrank.llm.repeats import without_repeats
 from cabrank.llm.simhash import one_of_each
 
+BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: A multiple of the blocks that stages cut batches into; as it comes, a batch of texts has 10,000 rows or 64 MB.
+BATCH_BYTES = 8 << 20
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session, its executors able to import the library, and its batches small, unless somebody has set their size.
+
+    A batch lies in the JVM's buffers and in the worker of each task at once, and
+    stages follow each other in the same workers.
+    """
+    if BATCHES not in spark.conf.getAll:
+        spark.conf.set(BATCHES, str(BATCH_BYTES))
+    return with_package(spark)
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier, trained on the labelled ones among them, does not reject.
@@ -26,7 +41,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels are. Equal texts have equal scores, so they stay or go together. A score
     at the threshold stays. Very long texts are scored whole.
     """
-    model = fit(docs, table(with_package(spark), sf_dir, "labels"))
+    model = fit(docs, table(prepared(spark), sf_dir, "labels"))
     return docs.filter(score(model) >= THRESHOLD)
 
 
@@ -37,7 +52,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     equal in every column one stays. Texts without words, NULL among them, have
     fingerprint zero and are a group.
     """
-    with_package(spark)
+    prepared(spark)
     return one_of_each(docs)
 
 
@@ -47,7 +62,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row stays, if with an empty text. NULL stays NULL, as does its length.
     All copies of a string go, the first included.
     """
-    with_package(spark)
+    prepared(spark)
     cut = without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -58,7 +73,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     NULL and empty texts have no words and stay. An item of fewer words counts as
     a whole, one without words never. Rows of one id are judged each by its own text.
     """
-    return uncontaminated(docs, table(with_package(spark), sf_dir, "benchmark"))
+    return uncontaminated(docs, table(prepared(spark), sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +83,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sequence have several pieces. Pieces of equal length are interchangeable, so
     which sequence each is in may differ between runs.
     """
-    with_package(spark)
+    prepared(spark)
     return pack_documents(docs)
 
 

@@ -1,0 +1,39 @@
+"""What stages hold in a worker: the size of batches, and what goes back to the system."""
+
+import pyarrow as pa
+
+import corpus_pipeline
+from cabrank.llm import tokens
+from cabrank.llm.common import text_blocks
+
+
+def largest_batch(docs):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+    return docs.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0]
+
+
+def test_stages_have_small_batches(spark, edge):
+    long = spark.range(40).selectExpr("id", "repeat('x', 1000000) as text").coalesce(1)
+    before = spark.conf.getAll.get(corpus_pipeline.BATCHES)
+    try:
+        spark.conf.unset(corpus_pipeline.BATCHES)
+        corpus_pipeline.near_copies(spark, edge, "")
+        assert largest_batch(long) <= 2 * corpus_pipeline.BATCH_BYTES
+        spark.conf.set(corpus_pipeline.BATCHES, str(32 << 20))
+        corpus_pipeline.near_copies(spark, edge, "")
+        assert spark.conf.get(corpus_pipeline.BATCHES) == str(32 << 20)
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCHES) if before is None else spark.conf.set(corpus_pipeline.BATCHES, before)
+
+
+def test_memory_goes_back_after_each_batch(monkeypatch):
+    given = []
+    monkeypatch.setattr("cabrank.llm.common.give_back", lambda: given.append("blocks"))
+    monkeypatch.setattr(tokens, "give_back", lambda: given.append("rows"))
+    batches = [pa.record_batch({"id": [1, 2], "text": ["a", None]})] * 3
+    assert [texts for _, texts in text_blocks(iter(batches), "text")] == [[b"a", b""]] * 3
+    assert list(tokens.rows_of(iter(batches), "id", "text")) == [[(1, "a"), (2, None)]] * 3
+    assert given == ["blocks"] * 3 + ["rows"] * 3
