@@ -29,6 +29,7 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -41,7 +42,8 @@ from cabrank.llm.common import text_blocks
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CHUNKS, PAIRS = 250_000, 1_000_000  # entries of the memories
+CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+CHUNKS, PAIRS = 400_000, 1_000_000  # entries of the memories
 CHUNK_CHARACTERS = 64  # longer ones are not kept
 NEVER = float("-inf")
 NONE = -1
@@ -84,8 +86,8 @@ class Pieces:
             prefixes = (part[:n] for n in range(len(part) - 1, 0, -1))
             self.shorter[number] = next((numbers[p] for p in prefixes if p in numbers), NONE)
         self.longest.make_automaton()
-        self.chunks: dict[str, Sequence[int]] = {}  # met lately
-        self.earlier: dict[str, Sequence[int]] = {}
+        self.chunks: dict[str, bytes] = {}  # met lately, their ids as 32-bit numbers
+        self.earlier: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
     def merging(self, text: str) -> list[tuple[float, str, str]]:
@@ -177,20 +179,28 @@ class Pieces:
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; NULL is empty."""
+        return self.ids_of(text).tolist()
+
+    def ids_of(self, text: str | None) -> np.ndarray:
         whole = self.library.normalize(text) if text else ""
         if not self.in_chunks:
-            return list(self.numbers_of(whole))
-        out: list[int] = []
-        for chunk in re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", whole):
-            known = self.chunks.get(chunk)
-            if known is None:
-                known = self.earlier.get(chunk) or self.numbers_of(chunk)
-                if len(chunk) <= CHUNK_CHARACTERS:
-                    if len(self.chunks) >= CHUNKS:
-                        self.chunks, self.earlier = {}, self.chunks
-                    self.chunks[chunk] = known
-            out += known
-        return out
+            return np.array(self.numbers_of(whole), np.int32)
+        chunks = CHUNK.findall(whole)
+        found = list(map(self.chunks.get, chunks))
+        if None in found:
+            found = [known or self._met(chunk) for chunk, known in zip(chunks, found, strict=True)]
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def _met(self, chunk: str) -> bytes:
+        """The ids of a chunk that was not among those met lately."""
+        known = self.chunks.get(chunk) or self.earlier.get(chunk)
+        if known is None:
+            known = array("i", self.numbers_of(chunk)).tobytes()
+        if len(chunk) <= CHUNK_CHARACTERS:
+            if len(self.chunks) >= CHUNKS:
+                self.chunks, self.earlier = {}, self.chunks
+            self.chunks[chunk] = known
+        return known
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -216,11 +226,12 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: s
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for rows, texts in text_blocks(batches, "text"):
-            ids = [model.encode(raw.decode()) for raw in texts]
+            ids = [model.ids_of(raw.decode()) for raw in texts]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             columns = [
                 rows.column("doc_id").cast(id_type),
-                pa.array(ids, pa.list_(pa.int32())),
-                pa.array([model.decode(x) for x in ids], pa.string()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
+                pa.array([model.decode(x.tolist()) for x in ids], pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
