@@ -55,7 +55,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK_BYTES = 4 << 20
 LONG = 1 << 12  # characters that are encoded at a time; the libraries slow down on longer texts
 SOME_BYTES = 1 << 19
-KNOWN = 200_000  # segments that are kept
+KNOWN = 300_000  # segments that are kept
 KNOWN_CHARACTERS = 64  # longer ones are not
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -179,7 +179,9 @@ class Aligner:
             self.known, self.earlier = {}, self.known
         known, earlier = self.known, self.earlier
         cuts = [BETWEEN.split(text) if text else [] for text in texts]
-        met = set(chain.from_iterable(cuts)).difference(known)
+        held = [list(map(known.get, own)) for own in cuts]
+        met = {part for own, kept in zip(cuts, held, strict=True) if None in kept for part, segment in zip(own, kept, strict=True) if segment is None}
+        met.difference_update([part for part in met if part in known])  # kept as being without tokens
         found: dict[str, Segment | None] = {part: earlier[part] for part in met if part in earlier}
         new = [part for part in met if part not in found]
         found |= dict.fromkeys(new)
@@ -195,9 +197,8 @@ class Aligner:
             if part[0].isspace() or part[-1].isspace():
                 self._learn([part], found)
         known |= {part: segment for part, segment in found.items() if len(part) <= KNOWN_CHARACTERS}
-        for own in cuts:
-            segments = list(map(known.get, own))
-            if None in segments:  # too long to be kept, or without tokens
+        for own, segments in zip(cuts, held, strict=True):
+            if None in segments:  # new, or without tokens
                 segments = [segment or found.get(part) for part, segment in zip(own, segments, strict=True)]
             yield None if None in segments else segments
 

@@ -1,0 +1,28 @@
+"""How the aligner asks for segments that it keeps."""
+
+from cabrank.llm import alignment
+
+WORDS = [f"w{n:x} {n * n:o}" for n in range(300)]
+
+
+def test_hits_are_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+        def __iter__(self):
+            Counted.asked += len(self)
+            return super().__iter__()
+
+        def __contains__(self, key):
+            Counted.asked += 1
+            return super().__contains__(key)
+
+    both, text = alignment.Aligner(), " ".join(WORDS)
+    first = list(both.segments([text, None, ""]))
+    both.known = Counted(both.known)
+    assert list(both.segments([text, None, ""])) == first
+    assert Counted.asked == len(alignment.BETWEEN.split(text))
