@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cabrank.llm.common import staged, text_blocks
+from cabrank.llm.common import give_back, staged, text_blocks
 from cabrank.llm.suffixes import Buffer, repeated
 from cabrank.llm.tokens import rows_of
 
@@ -221,19 +221,16 @@ def _texts(chosen: DataFrame, keyed: DataFrame, sizes: Sizes) -> DataFrame:
     columns = ["anchor", "content", "copy", "salt", "split", "members"]
     wanted = chosen.groupBy("key", "size").agg(F.collect_list(F.struct(*columns, "start", "windows")).alias("segments"))
     joined = keyed.select("key", "size", "text").join(wanted.hint("shuffle_hash"), ["key", "size"])
-    members = pa.list_(pa.struct({"anchor": pa.int64(), "content": pa.binary(), "place": pa.int32(), "windows": pa.int32()}))
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), members, pa.binary()]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in rows_of(batches, "text", "segments", most=64):
-            out = []
-            for text, found in rows:
-                raw = text.encode()
-                for part in found:
-                    a = part["start"]
-                    content = raw[a : a + part["windows"] - 1 + sizes.least]
-                    out.append((*(part[name] for name in columns), content))
-            arrays = [pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+        for rows, texts in text_blocks(batches, "text"):
+            found = rows.column("segments")
+            segments = found.flatten()
+            owners = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(found).to_numpy()).tolist()
+            starts, windows = (segments.field(name).to_numpy() for name in ("start", "windows"))
+            ends = (starts + windows - 1 + sizes.least).tolist()
+            contents = [texts[n][a:b] for n, a, b in zip(owners, starts.tolist(), ends, strict=True)]
+            arrays = [*map(segments.field, columns), pa.array(contents, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, [*columns, "text"])
 
     schema = f"anchor long, content binary, copy int, salt int, split boolean, members {MEMBERS}, text binary"
@@ -248,19 +245,25 @@ def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     salt = secret.encode()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard: list[tuple] = []
-        size, group = 0, None
-        for rows in rows_of(batches, "anchor", "content", "copy", "salt", "split", "members", "text", most=512):
-            for row in rows:
-                if shard and row[:3] == shard[-1][:3]:
+        shard: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for batch in batches:
+            columns = [batch.column(name).to_pylist() for name in ("anchor", "salt", "content", "copy")]
+            lengths = pa.compute.binary_length(batch.column("text")).to_pylist()
+            kept: list[int] = []
+            for i, (row, n) in enumerate(zip(zip(*columns, strict=True), lengths, strict=True)):
+                if row == last:
                     continue
-                if size >= sizes.shard and (row[0], row[3]) != group:
-                    yield _judged(shard, sizes, salt)
-                    shard, size = [], 0
-                shard.append(row)
-                size += len(row[6])
-                group = row[0], row[3]
-        if shard:
+                if size >= sizes.shard and row[:2] != last[:2]:
+                    yield _judged([*shard, batch.take(pa.array(kept, pa.int32()))], sizes, salt)
+                    shard, size, kept = [], 0, []
+                kept.append(i)
+                size += n
+                last = row
+            shard.append(batch.take(pa.array(kept, pa.int32())))
+            del batch
+            give_back()
+        if size:
             yield _judged(shard, sizes, salt)
 
     dealt = texts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "content", "copy")
@@ -268,28 +271,50 @@ def _within_shards(texts: DataFrame, sizes: Sizes, secret: str) -> DataFrame:
     return dealt.mapInArrow(judge, schema)
 
 
-def _judged(shard: list[tuple], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
+def _judged(shard: list[pa.RecordBatch], sizes: Sizes, salt: bytes) -> pa.RecordBatch:
     """What the suffix array of a shard tells of each run, by the first copy of its text."""
-    text = Buffer.of([row[6] for row in shard])
+    rows = pa.concat_batches(shard)
+    raw = rows.column("text").to_pylist()
+    text = Buffer.of(raw)
     found, first = repeated(text, sizes.least)
-    out = []
-    for (_, _, copy, _, split, members, raw), start in zip(shard, text.starts, strict=True):
-        if copy:
-            continue
-        for run in members:
-            low = start + run["place"]
-            own = slice(low, low + run["windows"])
-            if not split:
-                out.append((run["anchor"], run["content"], spans_of(found[own]), [], [], [], []))
-                continue
-            places = np.flatnonzero(first[own])
-            digests = [digest(raw[at : at + sizes.least], salt) for at in (places + run["place"]).tolist()]
-            highs, lows = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
-            out.append((run["anchor"], run["content"], spans_of(found[own]), highs, lows, places, ~found[own][places]))
-    kinds = [pa.int64(), pa.binary(), *map(pa.list_, (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))]
-    names = ["anchor", "content", "spans", "highs", "lows", "places", "single"]
-    columns = zip(*out, strict=True) if out else [[]] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names)
+    one = np.flatnonzero(rows.column("copy").to_numpy() == 0)
+    members = rows.column("members").take(pa.array(one))
+    owner = np.repeat(one, pa.compute.list_value_length(members).to_numpy())
+    runs = members.flatten()
+    place, windows = (runs.field(name).to_numpy().astype(np.int64) for name in ("place", "windows"))
+    run = np.repeat(np.arange(len(runs)), windows)  # of each window
+    begin = np.cumsum(windows) - windows  # of each run among the windows
+    at = np.arange(len(run)) + (text.starts[owner] + place - begin)[run]
+    marked = found[at]
+    split = rows.column("split").to_numpy(zero_copy_only=False)[owner]
+    sent = np.flatnonzero(first[at] & split[run])
+    own = owner[run[sent]]
+    digests = [
+        digest(raw[n][a : a + sizes.least], salt) for n, a in zip(own.tolist(), (at[sent] - text.starts[own]).tolist(), strict=True)
+    ]
+    highs, lows = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T
+
+    fresh = np.zeros(len(run) + 1, bool)
+    fresh[begin] = True
+    fresh[-1] = True
+    low = np.flatnonzero(marked & (fresh[:-1] | ~np.roll(marked, 1)))
+    high = np.flatnonzero(marked & (fresh[1:] | ~np.roll(marked, -1)))
+    spans = (np.stack([low, high + 1], axis=1) - begin[run[low], None]).ravel()
+
+    def lists(values: np.ndarray, kind: pa.DataType, of: np.ndarray) -> pa.ListArray:
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(runs)))])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+    columns = {
+        "anchor": runs.field("anchor"),
+        "content": runs.field("content"),
+        "spans": lists(spans, pa.int32(), np.repeat(run[low], 2)),
+        "highs": lists(highs, pa.int64(), run[sent]),
+        "lows": lists(lows, pa.int64(), run[sent]),
+        "places": lists(sent - begin[run[sent]], pa.int32(), run[sent]),
+        "single": lists(~marked[sent], pa.bool_(), run[sent]),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def spans_of(marked: np.ndarray) -> np.ndarray:

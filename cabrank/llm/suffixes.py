@@ -42,82 +42,81 @@ class Buffer:
 def suffix_order(text: Buffer) -> np.ndarray:
     """Positions in the order of their suffixes.
 
-    Suffixes are sorted by 8 bytes first. Groups that are not yet single are
-    then sorted by the ranks of the suffixes as far along as they already agree,
-    and as far again where three ranks fit a key, which triples the compared
-    length each time, and doubles it otherwise. Suffixes shorter than the compared
-    length are single from the start, so segments never run together.
+    Suffixes are sorted by their first bytes, those that fit a word beside the
+    position. Groups that are not yet single are then sorted by the ranks of the
+    suffixes as far along as they already agree, and as far again where three
+    ranks fit a key, which triples the compared length each time, and doubles it
+    otherwise. Suffixes shorter than the compared length are single from the
+    start, so segments never run together, and what stands beyond their end in a
+    key decides nothing: the rank before it is of one suffix alone.
     """
     n = len(text.words)
-    order = np.argsort(text.words)
-    slots = np.flatnonzero(text.left[order] < 8)
-    ends = order[slots]
-    order[slots] = ends[np.lexsort((ends, text.words[ends]))]
-    ordered, short = text.words[order], text.left[order] < 8
+    bits = RANK_BITS if n < 1 << RANK_BITS else 32
+    depth = (64 - bits) // 8
+    packed = text.words >> np.uint64(64 - 8 * depth) << np.uint64(bits) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    order = (packed & np.uint64((1 << bits) - 1)).view(np.int64)
+    packed >>= np.uint64(bits)
+    short = text.left[order] < depth
     head = np.ones(n + 1, bool)
-    head[1:n] = (ordered[1:] != ordered[:-1]) | short[1:] | short[:-1]
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head[:n], np.arange(n), 0))
-    depth = 8
-    while True:
-        slots = np.flatnonzero(~(head[:n] & head[1:]))
-        if not len(slots):
-            return order
-        found = order[slots]
-        if n < 1 << RANK_BITS:
-            beyond = np.where(text.left[found] >= 2 * depth, rank[np.minimum(found + 2 * depth, n - 1)], 0)
-            keys = (((rank[found] << RANK_BITS) | rank[found + depth]) << RANK_BITS) | beyond
-        else:
-            keys = (rank[found] << 32) | rank[found + depth]
+    head[1:n] = (packed[1:] != packed[:-1]) | short[1:] | short[:-1]
+    rank = np.empty(n, np.int64 if bits > 31 else np.int32)
+    first = np.maximum.accumulate(np.where(head[:n], np.arange(n), 0))  # slot of each group's first
+    rank[order] = first
+    slots = np.flatnonzero(~(head[:n] & head[1:]))
+    found, first = order[slots], first[slots]
+    while len(slots):
+        keys = first << bits | rank[found + depth]
+        if bits == RANK_BITS:
+            keys = keys << bits | rank.take(found + 2 * depth, mode="clip")
         sorting = np.argsort(keys)
         keys, found = keys[sorting], found[sorting]
         order[slots] = found
-        new = np.ones(len(slots), bool)
-        new[1:] = keys[1:] != keys[:-1]
-        head[slots] = new
-        rank[found] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
-        depth *= 3 if n < 1 << RANK_BITS else 2
+        head = np.ones(len(slots) + 1, bool)
+        head[1:-1] = keys[1:] != keys[:-1]
+        first = np.maximum.accumulate(np.where(head[:-1], slots, 0))
+        rank[found] = first
+        rest = np.flatnonzero(~(head[:-1] & head[1:]))
+        slots, found, first = slots[rest], found[rest], first[rest]
+        depth *= 3 if bits == RANK_BITS else 2
+    return order
 
 
 def common_prefixes(text: Buffer, order: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For each suffix of at least ``least`` bytes: its predecessor, and the bytes they share, up to ``least``.
 
-    Kasai's scan in text order, with all segments side by side: the next suffix
-    of a segment shares at least one byte less than the one before.
+    Kasai's scan in text order, with all places side by side: where a suffix and
+    its predecessor follow equal bytes, the suffixes from there are neighbours
+    too, and share one byte more. So only the others are compared, to the first
+    byte that differs, and each tells those that follow it.
     """
     n = len(order)
     before = np.empty(n, np.int64)
     before[order[0]] = -1
     before[order[1:]] = order[:-1]
     shared = np.zeros(n, np.int64)
-    counts = text.lengths - least + 1
-    longest_first = np.argsort(-counts, kind="stable")
-    starts, counts = text.starts[longest_first], counts[longest_first]
-    carry = np.zeros(len(starts), np.int64)
-    ahead = np.arange(0, least, 8)
-    for step in range(max(0, int(counts[0])) if len(counts) else 0):
-        lanes = int(np.searchsorted(-counts, -step, "left"))
-        here = starts[:lanes] + step
-        there = before[here]
-        known = there >= 0
-        limit = np.where(known, np.minimum(text.left[there], least), 0)
-        length = np.minimum(np.maximum(carry[:lanes] - 1, 0), limit)
-        todo = np.flatnonzero(length < limit)
-        if step == 0 and lanes:  # nothing is known yet, so all words are compared at once
-            here_words, there_words = (text.words[np.minimum(side[:, None] + ahead, n - 1)] for side in (here, there))
-            differing = here_words ^ there_words
-            word = np.argmax(differing != 0, axis=1)
-            last = differing[np.arange(lanes), word]
-            length = np.minimum(np.where(last == 0, least, 8 * word + _equal_bytes(last)), limit)
-            todo = todo[:0]
-        while len(todo):
-            at = length[todo]
-            differing = text.words[here[todo] + at] ^ text.words[there[todo] + at]
-            same = np.where(differing == 0, 8, _equal_bytes(differing))
-            length[todo] = np.minimum(at + same, limit[todo])
-            todo = todo[(same == 8) & (length[todo] < limit[todo])]
-        shared[here] = length
-        carry[:lanes] = length
+    if text.lengths.max(initial=0) < least:
+        return before, shared
+    byte = (text.words >> np.uint64(56)).astype(np.uint8)  # zero where a segment ends
+    follows = byte[:-1] == byte.take(before[1:] - 1, mode="clip")
+    follows &= (byte[:-1] != 0) & (before[1:] > 0)
+    compared = np.concatenate([[True], ~follows])
+    here = np.flatnonzero(compared & (text.left >= least))
+    there = before[here]
+    here, there = here[there >= 0], there[there >= 0]
+    at, todo = here, there
+    while len(at):
+        differing = text.words[at] ^ text.words[todo]
+        whole = differing == 0
+        ended = ~whole
+        shared[here[ended]] = at[ended] - here[ended] + _equal_bytes(differing[ended])
+        here, at, todo = here[whole], at[whole] + 8, todo[whole] + 8
+        limit = np.minimum(text.left[at - 8], text.left[todo - 8])
+        full = limit > 8
+        shared[here[~full]] = at[~full] - 8 + limit[~full] - here[~full]
+        here, at, todo = here[full], at[full], todo[full]
+    known = np.maximum.accumulate(np.where(compared, np.arange(n), 0))
+    shared = np.where(text.left >= least, np.minimum(shared[known] - np.arange(n) + known, least), 0)
     return before, shared
 
 

@@ -1,6 +1,7 @@
 """The parts of the operators against plain computations."""
 
 import gzip
+import os
 import random
 import zlib
 from collections import Counter
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cabrank.llm import compression, phrases, sql
+from cabrank.llm import compression, phrases, sql, suffixes
 from cabrank.llm.alignment import aligner, refined
 from cabrank.llm.components import components
 from cabrank.llm.ordering import Layout, permute, read_order, write_order
@@ -53,6 +54,50 @@ def test_suffix_arrays(segments, least, times):
     assert first.sum() == len(counts)
 
 
+@pytest.mark.parametrize("bits", [3, 5, 21])
+def test_long_shards_have_the_same_order(monkeypatch, bits):
+    """A shard too long for three ranks in a key."""
+    monkeypatch.setattr(suffixes, "RANK_BITS", bits)
+    made = random.Random(bits)
+    parts = ["".join(made.choice("ab") for _ in range(made.randint(1, 12))) for _ in range(4)]
+    segments = ["".join(made.choices(parts, k=made.randint(0, 12))).encode() for _ in range(40)] + [b"a" * 300] * 2
+    text = Buffer.of(segments)
+    assert len(text.words) > 1 << 5
+    after = {int(start) + i: s[i:] for s, start in zip(segments, text.starts, strict=True) for i in range(len(s) + 1)}
+    order = suffix_order(text)
+    assert order.tolist() == sorted(after, key=lambda p: (after[p], p))
+    before, shared = common_prefixes(text, order, 20)
+    for p in np.flatnonzero((text.left >= 20) & (before >= 0)).tolist():
+        assert shared[p] == min(20, len(os.path.commonprefix([after[p], after[int(before[p])]])))
+
+
+def test_what_follows_a_compared_place_is_not_compared(monkeypatch):
+    """Two copies of a text are compared from their start alone: a pass for each word of it, and none for each place."""
+    passes = []
+    monkeypatch.setattr(suffixes, "_equal_bytes", lambda differing, f=suffixes._equal_bytes: passes.append(len(differing)) or f(differing))
+    segment = random.Random(1).randbytes(3000).translate(bytes(97 + x % 26 for x in range(256)))
+    found, first = repeated(Buffer.of([segment, segment]), 200)
+    assert found.sum() == 2 * first.sum() == 2 * 2801
+    assert len(passes) <= 3000 // 8 + 1 and sum(passes) <= 3001
+
+
+def test_shards_over_several_batches(spark):
+    """Shards begin and end inside batches of rows, equal rows included."""
+    made = random.Random(4)
+    parts = ["".join(made.choice("abcd") for _ in range(made.randint(20, 60))) for _ in range(15)]
+    rows = [(n, "".join(made.choices(parts, k=made.randint(0, 6)))) for n in range(60)]
+    rows += rows[:20]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        found = sorted(map(tuple, dedup(docs, sizes=Sizes(least=24, gram=8, shard=700)).collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert found == sorted((n, *x) for (n, _), x in zip(rows, brute.removed([t for _, t in rows], 24), strict=True))
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_popular_passage_over_shards(spark, seed):
     """One passage in every text, with other text around it, so that its anchor takes many shards."""
